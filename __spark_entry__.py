@@ -70,16 +70,12 @@ def clean_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return clean.BUILDERS[name](table(spark, sf_dir, name))
 
 
-def clean_zone(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: clean_table(spark, sf_dir, name) for name in schemas.TABLES}
+def star_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return star.star_table(name, lambda t: clean_table(spark, sf_dir, t))
 
 
 def star_zone(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return star.star_tables(clean_zone(spark, sf_dir))
-
-
-def star_table(name: str) -> Query:
-    return lambda spark, sf_dir: star_zone(spark, sf_dir)[name]
+    return star.star_tables(lambda t: clean_table(spark, sf_dir, t))
 
 
 # --- sources and sinks ----------------------------------------------------------
@@ -112,7 +108,7 @@ def zone_clean_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def zone_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     zone = scratch_dir(spark)
-    fact = star_zone(spark, sf_dir)["fact_sales"]
+    fact = star_table(spark, sf_dir, "fact_sales")
     write_zone(fact, zone, "fact_sales", jobs.PARTITIONS["fact_sales"])
     return read_zone(spark, zone, "fact_sales")
 
@@ -121,7 +117,8 @@ def published_database(spark: SparkSession, sf_dir: str) -> str:
     """Clean zone, star zone and registered tables from the given tables."""
     scratch = scratch_dir(spark)
     database = f"starmart_{uuid.uuid4().hex}"
-    jobs.write_tables(clean_zone(spark, sf_dir), f"{scratch}/clean")
+    tables = clean.clean_tables(lambda t: table(spark, sf_dir, t))
+    jobs.write_tables(tables, f"{scratch}/clean")
     jobs.run_star(spark, f"{scratch}/clean", f"{scratch}/star", strict=False)
     jobs.run_register(spark, f"{scratch}/star", database, f"{scratch}/db")
     return database
@@ -203,7 +200,7 @@ def renamed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dq_checks(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         key, unique = next((k, u) for t, k, u, _ in quality.SUBJECTS if t == name)
-        return quality.key_checks(star_zone(spark, sf_dir)[name], key, unique)
+        return quality.key_checks(star_table(spark, sf_dir, name), key, unique)
 
     return query
 
@@ -273,19 +270,21 @@ CHECKED_PRIMARY_KEYS = [t for t in schemas.PRIMARY_KEYS if t != "partsupp"]
 
 
 def mart_revenue_by_region_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = star_zone(spark, sf_dir)
-    return marts.revenue_by_region_year(tables["fact_sales"], tables["dim_customer"])
+    return marts.revenue_by_region_year(
+        star_table(spark, sf_dir, "fact_sales"),
+        star_table(spark, sf_dir, "dim_customer"),
+    )
 
 
 def mart_revenue_by_supplier_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = star_zone(spark, sf_dir)
     return marts.revenue_by_supplier_nation(
-        tables["fact_sales"], tables["dim_supplier"]
+        star_table(spark, sf_dir, "fact_sales"),
+        star_table(spark, sf_dir, "dim_supplier"),
     )
 
 
 def mart_orders_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.orders_by_month(star_zone(spark, sf_dir)["fact_sales"])
+    return marts.orders_by_month(star_table(spark, sf_dir, "fact_sales"))
 
 
 def mart_balance_class_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -322,7 +321,10 @@ def queries() -> dict[str, Query]:
         f"clean_{name}": (lambda spark, sf_dir, n=name: clean_table(spark, sf_dir, n))
         for name in schemas.TABLES
     }
-    registered |= {name: star_table(name) for name in schemas.STAR_TABLES}
+    registered |= {
+        name: (lambda spark, sf_dir, n=name: star_table(spark, sf_dir, n))
+        for name in schemas.STAR_TABLES
+    }
     registered |= {
         "dq_sales_checks": dq_checks("fact_sales"),
         "dq_customer_checks": dq_checks("dim_customer"),

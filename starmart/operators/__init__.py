@@ -6,7 +6,7 @@ from starmart.operators.constraints import (
     primary_key_summary,
     primary_key_violations,
 )
-from starmart.operators.joins import full_outer
+from starmart.operators.joins import full_outer, is_small
 from starmart.operators.projections import contract, prefix_rename
 
 __all__ = [
@@ -14,6 +14,7 @@ __all__ = [
     "foreign_key_summary",
     "foreign_key_violations",
     "full_outer",
+    "is_small",
     "not_null_summary",
     "not_null_violations",
     "prefix_rename",

@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmart.operators.joins import is_small
+
 
 def _summary(table: str, check: str, violations: Column) -> list[Column]:
     return [
@@ -42,6 +44,10 @@ def not_null_summary(df: DataFrame, table: str, columns: Sequence[str]) -> DataF
     )
 
 
+def _with_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    return df.where(reduce(and_, [F.col(name).isNotNull() for name in key]))
+
+
 def primary_key_violations(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Keys held by more than one row, with the number of rows.
 
@@ -49,7 +55,7 @@ def primary_key_violations(df: DataFrame, key: Sequence[str]) -> DataFrame:
     before the shuffle, so a hot key arrives as one partial count per task.
     """
     return (
-        df.dropna(subset=list(key))
+        _with_key(df, key)
         .groupBy(*key)
         .agg(F.count("*").alias("n_rows"))
         .where("n_rows > 1")
@@ -63,12 +69,23 @@ def primary_key_summary(df: DataFrame, table: str, key: Sequence[str]) -> DataFr
     return violations.select(*_summary(table, check, F.col("violations")))
 
 
-def _parent_keys(
-    parent: DataFrame, parent_key: Sequence[str], child_key: Sequence[str]
+def _orphan_keys(
+    child: DataFrame,
+    child_key: Sequence[str],
+    parent: DataFrame,
+    parent_key: Sequence[str],
 ) -> DataFrame:
-    return parent.select(
+    """Child keys the parent does not know, with their number of rows.
+
+    Only key columns are read. Both sides are reduced to one row per key before the
+    shuffle, so no key is hot in the join.
+    """
+    names = list(child_key)
+    known = parent.select(
         *[F.col(p).alias(c) for p, c in zip(parent_key, child_key, strict=True)]
     )
+    counts = _with_key(child, names).groupBy(*names).agg(F.count("*").alias("n_rows"))
+    return counts.join(known.distinct(), names, "left_anti")
 
 
 def foreign_key_violations(
@@ -77,10 +94,15 @@ def foreign_key_violations(
     parent: DataFrame,
     parent_key: Sequence[str],
 ) -> DataFrame:
-    """Child rows whose key is unknown to the parent; a NULL key is no violation."""
-    return child.dropna(subset=list(child_key)).join(
-        _parent_keys(parent, parent_key, child_key), list(child_key), "left_anti"
-    )
+    """Child rows whose key is unknown to the parent; a NULL key is no violation.
+
+    The unknown keys are found first. As long as they are few they are broadcast and
+    the child is filtered without a shuffle.
+    """
+    unknown = _orphan_keys(child, child_key, parent, parent_key).select(*child_key)
+    if is_small(unknown):
+        unknown = F.broadcast(unknown)
+    return child.join(unknown, list(child_key), "left_semi")
 
 
 def foreign_key_summary(
@@ -91,18 +113,8 @@ def foreign_key_summary(
     parent_table: str,
     parent_key: Sequence[str],
 ) -> DataFrame:
-    """Number of child rows with an unknown key.
-
-    Only the key columns are read, and the child is reduced to one counted row per
-    key before it meets the parent.
-    """
+    """Number of child rows with an unknown key."""
     check = f"foreign_key({', '.join(child_key)} -> {parent_table})"
-    orphans = (
-        child.dropna(subset=list(child_key))
-        .groupBy(*child_key)
-        .agg(F.count("*").alias("n_rows"))
-        .join(_parent_keys(parent, parent_key, child_key), list(child_key), "left_anti")
-    )
-    return orphans.agg(
-        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("violations")
-    ).select(*_summary(table, check, F.col("violations")))
+    orphans = _orphan_keys(child, child_key, parent, parent_key)
+    total = orphans.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("violations"))
+    return total.select(*_summary(table, check, F.col("violations")))

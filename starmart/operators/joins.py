@@ -1,32 +1,122 @@
-"""The one join the star schema needs: full outer on one key."""
+"""The one join the star schema needs: full outer on one key.
+
+Spark can neither broadcast a side of a full outer join nor split one of its skewed
+partitions, so both are arranged for here, with the same result as
+``many.join(one, key, "outer")``: NULL keys match nothing and survive on both sides,
+duplicate keys multiply.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
+
+# What counts as small enough to send to every executor.
+SMALL_ROWS = 1_000
+SMALL_BYTES = 4 * 1024 * 1024
+
+# A key with more rows than this is dealt out over several join groups. At most
+# MAX_HOT keys are, the most frequent ones first; the rest is joined as it is.
+HOT_ROWS = 1_000_000
+MAX_HOT = 10_000
 
+_SPLITS, _SALT, _PRESENT = "__splits", "__salt", "__present"
 
-def full_outer(many: DataFrame, one: DataFrame, key: str) -> DataFrame:
-    """Full outer join on ``key``, as a left join plus the rows only ``one`` has.
 
-    Gives the same bag of rows as ``many.join(one, key, "outer")``: NULL keys match
-    nothing and survive on both sides, duplicate keys multiply. The reason to write
-    it in two halves is the physical plan. Spark can neither broadcast a side of a
-    full outer join nor split a skewed partition of one. Here
+def full_outer(
+    many: DataFrame,
+    one: DataFrame,
+    key: str,
+    small: bool | None = None,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Full outer join of the foreign-key side ``many`` and the primary-key side ``one``.
+
+    ``small`` tells whether ``one`` may be broadcast; left out, its size is checked.
+    Otherwise both sides are shuffled once: plainly if no key of ``many`` has more
+    than ``hot_rows`` rows, else salted. Rows of ``one`` without a key can have no
+    partner and bypass the shuffle.
+    """
+    if is_small(one) if small is None else small:
+        return broadcast_full_outer(many, one, key)
+    keyed, keyless = one.where(F.col(key).isNotNull()), one.where(F.col(key).isNull())
+    hot = hot_keys(many, key, hot_rows)
+    if hot:
+        joined = salted_full_outer(many, keyed, key, hot)
+    else:
+        joined = many.join(keyed, key, "outer")
+    return joined.unionByName(keyless, allowMissingColumns=True)
+
 
-    * a small ``one`` (nation, region) is broadcast and ``many`` never shuffles;
-      Spark decides this by the estimated or measured size of ``one`` against
-      ``spark.sql.autoBroadcastJoinThreshold``, and sort-merges beyond it, so
-      there is no hint to outgrow;
-    * in the sort-merge case adaptive execution splits the partition of a hot key
-      of ``many``: left joins may be split on the left, full joins on no side;
-    * the second half reads only the key column of ``many`` and reduces it to
-      distinct keys before the shuffle, so a hot key costs one row per task there,
-      and the shuffle of ``one`` is reused from the first half.
+def is_small(df: DataFrame) -> bool:
+    """Whether a frame is within the bounds for a broadcast.
 
-    ``one`` should be the primary-key side: a key repeated in it is legal but grows
-    the output by that factor, as in any join.
+    Fetches the sizes of at most ``SMALL_ROWS + 1`` rows; on a large frame the first
+    partition already settles it.
     """
-    matched = many.join(one, key, "left")
-    seen = many.select(key).dropna().distinct()
+    size = F.octet_length(F.to_json(F.struct("*")))
+    sizes = [row[0] for row in df.select(size).take(SMALL_ROWS + 1)]
+    return len(sizes) <= SMALL_ROWS and sum(sizes) <= SMALL_BYTES
+
+
+def broadcast_full_outer(many: DataFrame, one: DataFrame, key: str) -> DataFrame:
+    """For a small ``one``: a broadcast left join, plus the rows only ``one`` has.
+
+    ``many`` is never shuffled. The second half reads nothing but its key column,
+    reduced to distinct keys before the shuffle.
+    """
+    matched = many.join(F.broadcast(one), key, "left")
+    seen = many.select(key).where(F.col(key).isNotNull()).distinct()
     unmatched = one.join(seen, key, "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)
+
+
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list[Row]:
+    """The keys (NULL included) with more than ``hot_rows`` rows, most frequent first.
+
+    A statistics pass over the key column alone, run when the join is built. Counts
+    are exact and combined before the shuffle; at most ``MAX_HOT`` rows come back,
+    each a key and the number of groups to deal it out over.
+    """
+    counts = df.groupBy(key).agg(F.count("*").alias("n_rows"))
+    return (
+        counts.where(F.col("n_rows") > hot_rows)
+        .orderBy(F.desc("n_rows"))
+        .limit(MAX_HOT)
+        .select(key, F.ceil(F.col("n_rows") / hot_rows).cast("int").alias(_SPLITS))
+        .collect()
+    )
+
+
+def salted_full_outer(
+    many: DataFrame, one: DataFrame, key: str, hot: list[Row]
+) -> DataFrame:
+    """Full outer join on the key and a salt, for ``one`` without NULL keys.
+
+    Rows of a hot key of ``many`` are dealt out over salts, and the row of ``one``
+    is repeated once per salt; every other key has the single salt 0. A copy whose
+    salt stayed empty is dropped again: its key does occur in ``many``, or it would
+    not be hot. Keys without a partner are therefore never lost or repeated.
+
+    The salt is the task's partition number. Unlike a random number it is the same
+    when a lost task runs again, and unlike a hash it separates exact copies.
+    """
+    splits, task = F.col(_SPLITS), F.spark_partition_id()
+    schema = many.select(key, F.lit(0).alias(_SPLITS)).schema
+    # Bounded by MAX_HOT rows.
+    lookup = F.broadcast(many.sparkSession.createDataFrame(hot, schema))
+
+    salt = (
+        F.when(F.col(key).isNull(), task)
+        .when(splits.isNotNull(), F.pmod(task, splits))
+        .otherwise(F.lit(0))
+    )
+    dealt = many.join(lookup, key, "left").withColumns(
+        {_SALT: salt, _PRESENT: F.lit(True)}
+    )
+    salts = F.sequence(F.lit(0), F.coalesce(splits, F.lit(1)) - 1)
+    repeated = one.join(lookup, key, "left").withColumn(_SALT, F.explode(salts))
+
+    joined = dealt.drop(_SPLITS).join(repeated, [key, _SALT], "outer")
+    real = F.col(_PRESENT).isNotNull() | splits.isNull()
+    return joined.where(real).drop(_SALT, _PRESENT, _SPLITS)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -88,6 +88,7 @@ BUILDERS = {
 
 
 def clean_tables(
-    raw: Mapping[str, DataFrame], strict: bool = False
+    raw: Callable[[str], DataFrame], strict: bool = False
 ) -> dict[str, DataFrame]:
-    return {table: build(raw[table], strict) for table, build in BUILDERS.items()}
+    """All clean tables from the raw tables that ``raw`` gives by name."""
+    return {table: build(raw(table), strict) for table, build in BUILDERS.items()}

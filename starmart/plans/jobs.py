@@ -45,18 +45,18 @@ def run_clean(
     spark: SparkSession, raw: str, clean: str, lineitem_layout: str = "stock"
 ) -> None:
     """Raw text zone to clean Parquet zone."""
-    tables = {
-        table: read_raw(spark, raw, table, lineitem_layout) for table in TABLES
-    }
-    write_tables(clean_tables(tables, strict=True), clean)
+    tables = clean_tables(
+        lambda table: read_raw(spark, raw, table, lineitem_layout), strict=True
+    )
+    write_tables(tables, clean)
 
 
 def run_star(
     spark: SparkSession, clean: str, star: str, strict: bool = True
 ) -> None:
     """Clean zone to star zone."""
-    tables = {table: read_zone(spark, clean, table) for table in TABLES}
-    write_tables(star_tables(tables, strict), star)
+    tables = star_tables(lambda table: read_zone(spark, clean, table), strict)
+    write_tables(tables, star)
 
 
 def run_register(

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions import surrogate_key
-from starmart.operators import contract, full_outer, prefix_rename
+from starmart.operators import contract, full_outer, is_small, prefix_rename
 from starmart.schemas import STAR_COLUMNS
 
 
@@ -37,24 +37,38 @@ def fact_sales(
     return contract(sales, columns, strict)
 
 
-def geography(nation: DataFrame, region: DataFrame) -> DataFrame:
+def geography(
+    nation: DataFrame, region: DataFrame, small: bool | None = None
+) -> DataFrame:
     """Nations with their regions, under neutral names; shared by two dimensions."""
     nations = nation.withColumnsRenamed(
         {"n_nationkey": "nationkey", "n_regionkey": "regionkey"}
     )
     regions = region.withColumnsRenamed({"r_regionkey": "regionkey"})
-    joined = full_outer(nations, regions, "regionkey")
+    joined = full_outer(nations, regions, "regionkey", small)
     return contract(
         joined, ["nationkey", "n_name", "n_comment", "regionkey", "r_name", "r_comment"]
     )
 
 
+def _with_geography(
+    df: DataFrame, nation: DataFrame, region: DataFrame, prefix: str
+) -> DataFrame:
+    """Full outer join to the geography, whose columns take the dimension's prefix.
+
+    The geography is small when both of its tables are: their bounds also limit
+    what they can become in the join.
+    """
+    small = is_small(nation) and is_small(region)
+    places = prefix_rename(geography(nation, region, small), "", prefix)
+    return full_outer(df, places, f"{prefix}nationkey", small)
+
+
 def dim_customer(
     customer: DataFrame, nation: DataFrame, region: DataFrame, strict: bool = False
 ) -> DataFrame:
     """Customers with nation and region; nations without customers are kept."""
-    places = prefix_rename(geography(nation, region), "", "c_")
-    joined = full_outer(customer, places, "c_nationkey")
+    joined = _with_geography(customer, nation, region, "c_")
     return contract(joined, STAR_COLUMNS["dim_customer"], strict)
 
 
@@ -62,10 +76,8 @@ def dim_supplier(
     supplier: DataFrame, nation: DataFrame, region: DataFrame, strict: bool = False
 ) -> DataFrame:
     """Suppliers with nation and region; nations without suppliers are kept."""
-    places = prefix_rename(geography(nation, region), "", "supp_")
-    joined = full_outer(
-        prefix_rename(supplier, "s_", "supp_"), places, "supp_nationkey"
-    )
+    renamed = prefix_rename(supplier, "s_", "supp_")
+    joined = _with_geography(renamed, nation, region, "supp_")
     return contract(joined, STAR_COLUMNS["dim_supplier"], strict)
 
 
@@ -78,16 +90,24 @@ def dim_part(part: DataFrame, partsupp: DataFrame, strict: bool = False) -> Data
     return contract(joined, STAR_COLUMNS["dim_part"], strict)
 
 
+# Builder and inputs of every star table.
+BUILDERS = {
+    "fact_sales": (fact_sales, ("orders", "lineitem")),
+    "dim_customer": (dim_customer, ("customer", "nation", "region")),
+    "dim_supplier": (dim_supplier, ("supplier", "nation", "region")),
+    "dim_part": (dim_part, ("part", "partsupp")),
+}
+
+
+def star_table(
+    name: str, clean: Callable[[str], DataFrame], strict: bool = False
+) -> DataFrame:
+    """One star table from the clean tables that ``clean`` gives by name."""
+    build, inputs = BUILDERS[name]
+    return build(*[clean(table) for table in inputs], strict=strict)
+
+
 def star_tables(
-    clean: Mapping[str, DataFrame], strict: bool = False
+    clean: Callable[[str], DataFrame], strict: bool = False
 ) -> dict[str, DataFrame]:
-    return {
-        "fact_sales": fact_sales(clean["orders"], clean["lineitem"], strict),
-        "dim_customer": dim_customer(
-            clean["customer"], clean["nation"], clean["region"], strict
-        ),
-        "dim_supplier": dim_supplier(
-            clean["supplier"], clean["nation"], clean["region"], strict
-        ),
-        "dim_part": dim_part(clean["part"], clean["partsupp"], strict),
-    }
+    return {name: star_table(name, clean, strict) for name in BUILDERS}

@@ -1,5 +1,6 @@
 import os
 import sys
+from contextlib import contextmanager
 
 import pytest
 
@@ -10,10 +11,10 @@ from starmart.session import get_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    os.environ.setdefault("PYSPARK_SUBMIT_ARGS", "--master local[8] pyspark-shell")
     session = get_session(
         "starmart-tests",
         **{
+            "spark.master": "local[8]",
             "spark.sql.shuffle.partitions": "8",
             "spark.sql.session.timeZone": "UTC",
             "spark.ui.enabled": "false",
@@ -25,23 +26,33 @@ def spark():
     session.stop()
 
 
-@pytest.fixture(scope="session")
-def with_conf():
-    """Conf overrides for a block: ``with with_conf(spark, {"key": "value"}):``"""
-    from contextlib import contextmanager
+@pytest.fixture
+def with_conf(spark):
+    """``with with_conf({"key": "value"}):`` sets session conf for the block."""
 
     @contextmanager
-    def override(session, conf):
-        before = {key: session.conf.get(key, None) for key in conf}
+    def override(conf):
+        before = {key: spark.conf.get(key, None) for key in conf}
         for key, value in conf.items():
-            session.conf.set(key, value)
+            spark.conf.set(key, value)
         try:
             yield
         finally:
             for key, value in before.items():
                 if value is None:
-                    session.conf.unset(key)
+                    spark.conf.unset(key)
                 else:
-                    session.conf.set(key, value)
+                    spark.conf.set(key, value)
 
     return override
+
+
+def bag(df, columns=None):
+    """Rows as a sorted list, NULLs first, so that order does not matter."""
+    rows = df.select(*(columns or sorted(df.columns))).collect()
+    return sorted(tuple((v is not None, str(v)) for v in row) for row in rows)
+
+
+def plan(df):
+    """The physical plan as text; after an action on ``df``, the final one."""
+    return df._jdf.queryExecution().executedPlan().toString()
