@@ -17,6 +17,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -56,14 +57,24 @@ DATASET = "starmart"
 # --- inputs ---------------------------------------------------------------------
 
 
+_file_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name == "partsupp":
-        lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-        return lineitem.select(
-            F.col("l_partkey").alias("ps_partkey"),
-            F.col("l_suppkey").alias("ps_suppkey"),
-        ).distinct()
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return (
+            table(spark, sf_dir, "lineitem")
+            .select(
+                F.col("l_partkey").alias("ps_partkey"),
+                F.col("l_suppkey").alias("ps_suppkey"),
+            )
+            .distinct()
+        )
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _file_schemas:
+        # Inferring a schema is a job of its own; once per file is enough.
+        _file_schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_file_schemas[path]).parquet(path)
 
 
 def clean_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

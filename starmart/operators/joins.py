@@ -76,8 +76,11 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list[Row]:
 
     A statistics pass over the key column alone, run when the join is built. Counts
     are exact and combined before the shuffle; at most ``MAX_HOT`` rows come back,
-    each a key and the number of groups to deal it out over.
+    each a key and the number of groups to deal it out over. No key can have more
+    rows than the table, whose number Parquet gives without reading any column.
     """
+    if df.count() <= hot_rows:
+        return []
     counts = df.groupBy(key).agg(F.count("*").alias("n_rows"))
     return (
         counts.where(F.col("n_rows") > hot_rows)

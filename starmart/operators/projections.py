@@ -12,10 +12,11 @@ def contract(df: DataFrame, columns: Sequence[str], strict: bool = False) -> Dat
 
     Sources that carry fewer columns keep those they have; ``strict`` refuses them.
     """
-    missing = [name for name in columns if name not in df.columns]
+    given = set(df.columns)
+    missing = [name for name in columns if name not in given]
     if strict and missing:
         raise ValueError(f"columns missing: {', '.join(missing)}")
-    return df.select(*[name for name in columns if name in df.columns])
+    return df.select(*[name for name in columns if name in given])
 
 
 def prefix_rename(df: DataFrame, old: str, new: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ def fact_sales(
     sales_line = prefix_rename(lineitem, "l_", "s_").withColumnsRenamed(
         {"s_comment": "s_l_comment", "s_ps_id": "s_suppkey"}
     )
-    sales = full_outer(sales_line, sales_order, "s_orderkey").withColumn(
+    sales = full_outer(sales_line, sales_order, "s_orderkey", small=False).withColumn(
         "s_orderkey_linenumber",
         surrogate_key(F.col("s_orderkey"), F.col("s_linenumber")),
     )
@@ -84,7 +85,7 @@ def dim_supplier(
 def dim_part(part: DataFrame, partsupp: DataFrame, strict: bool = False) -> DataFrame:
     """One row per part and supplier; parts without supplier and the reverse are kept."""
     offers = partsupp.drop("ps_id").withColumnRenamed("ps_partkey", "p_partkey")
-    joined = full_outer(offers, part, "p_partkey").withColumn(
+    joined = full_outer(offers, part, "p_partkey", small=False).withColumn(
         "p_partkey_suppkey", surrogate_key(F.col("p_partkey"), F.col("ps_suppkey"))
     )
     return contract(joined, STAR_COLUMNS["dim_part"], strict)
@@ -110,4 +111,5 @@ def star_table(
 def star_tables(
     clean: Callable[[str], DataFrame], strict: bool = False
 ) -> dict[str, DataFrame]:
-    return {name: star_table(name, clean, strict) for name in BUILDERS}
+    once = cache(clean)
+    return {name: star_table(name, once, strict) for name in BUILDERS}

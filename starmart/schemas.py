@@ -89,7 +89,7 @@ def raw_schema(table: str, layout: str = "stock") -> StructType:
 
 
 def with_trailing_field(schema: StructType) -> StructType:
-    return StructType(schema.fields).add(TRAILING_FIELD, DoubleType(), True)
+    return StructType([*schema.fields, StructField(TRAILING_FIELD, DoubleType(), True)])
 
 
 CLEAN_COLUMNS = {

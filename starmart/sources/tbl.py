@@ -31,6 +31,9 @@ def read_tbl(
     if corrupt_column:
         schema = schema.add(corrupt_column, StringType(), True)
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
+    if corrupt_column or mode != "PERMISSIVE":
+        # Reading only some columns of a line, Spark would not notice that it is short.
+        reader = reader.option("columnPruning", "false")
     return reader.schema(schema).csv(path).drop(TRAILING_FIELD)
 
 

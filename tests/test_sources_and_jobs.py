@@ -3,6 +3,7 @@
 import os
 import subprocess
 import sys
+from types import SimpleNamespace
 
 import pytest
 
@@ -118,6 +119,8 @@ def test_malformed_values_keep_the_row(spark, tmp_path):
     assert with_rejects[2].reject == "3|1"
     with pytest.raises(Exception, match="MALFORMED|malformed"):
         read_tbl(spark, str(path), schema, mode="FAILFAST").collect()
+    whole_lines = read_tbl(spark, str(path), schema, mode="DROPMALFORMED").collect()
+    assert [r.o_orderkey for r in whole_lines] == [4]
 
 
 def test_land_raw_copies_lines(spark, raw, tmp_path):
@@ -198,7 +201,7 @@ def test_whole_chain(spark, raw, tmp_path):
     types = dict(spark.table("chain.fact_sales").dtypes)
     assert types["s_linenumber"] == "bigint" and types["s_suppkey"] == "int"
     corrected = jobs.run_quality(spark, "chain", nulls="corrected", on_fail="return")
-    assert corrected.first().issues_found == 2
+    assert corrected.first().issues_found == 4
 
 
 def test_named_layout(spark, raw):
@@ -212,10 +215,20 @@ def test_missing_input_is_an_error(spark, tmp_path):
         jobs.run_clean(spark, str(tmp_path / "none"), str(tmp_path / "clean"))
 
 
-def test_scratch_dir_follows_the_session(spark, with_conf):
-    with with_conf({"spark.checkpoint.dir": "hdfs://shared/checkpoints/"}):
-        first, second = scratch_dir(spark), scratch_dir(spark)
+def test_scratch_dir_follows_the_session(spark):
+    class Session:
+        """Only what scratch_dir asks for: the setting and the master."""
+
+        def __init__(self, master, **conf):
+            self.sparkContext = SimpleNamespace(master=master)
+            self.conf = SimpleNamespace(get=lambda key, default: conf.get("dir", default))
+
+    cluster = Session("yarn", dir="hdfs://shared/checkpoints/")
+    first, second = scratch_dir(cluster), scratch_dir(cluster)
     assert first.startswith("hdfs://shared/checkpoints/starmart-") and first != second
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Session("yarn"))
+    assert os.path.isdir(scratch_dir(Session("local[2]")))
 
 
 def test_command_line(raw, tmp_path):
