@@ -103,7 +103,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--source", help="folder with the text tables to land")
     parser.add_argument("--raw")
     parser.add_argument("--clean")
-    parser.add_argument("--star")
+    parser.add_argument(
+        "--star", help="for quality: register it first (a catalog may not persist)"
+    )
     parser.add_argument("--database", default="starmart")
     parser.add_argument("--location", help="folder of the database")
     parser.add_argument(
@@ -121,6 +123,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif args.job == "register":
         run_register(spark, args.star, args.database, args.location)
     elif args.job == "quality":
+        if args.star:
+            run_register(spark, args.star, args.database, args.location)
         report = run_quality(spark, args.database)
     else:
         report = run_all(

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from starmart.functions import array_length
 
-# Tables in report order as (table, key, uniqueness checked, name).
+# Fixed values of the report: its tables in order, as (table, key, whether uniqueness
+# is checked, name in the texts), and its wording.
 SUBJECTS = (
     ("fact_sales", "s_orderkey_linenumber", False, "sales"),
     ("dim_customer", "c_custkey", True, "customer"),

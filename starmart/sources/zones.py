@@ -25,8 +25,11 @@ def write_zone(
     """
     path = zone_path(zone, table)
     if partition_by:
-        df = df.hint("rebalance", *partition_by)
-    df.write.mode("overwrite").parquet(path, partitionBy=list(partition_by) or None)
+        writer = df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
+    else:
+        writer = df.write
+    # A full refresh, also in sessions that overwrite only the partitions they meet.
+    writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return path
 
 
