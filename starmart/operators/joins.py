@@ -8,20 +8,21 @@ duplicate keys multiply.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row
+from typing import Any
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 # What counts as small enough to send to every executor.
 SMALL_ROWS = 1_000
 SMALL_BYTES = 4 * 1024 * 1024
 
 # A key with more rows than this is dealt out over several join groups. At most
-# MAX_HOT keys are, the most frequent ones first; the rest is joined as it is.
+# MAX_HOT keys per side are, the most frequent ones first; the rest is joined as it is.
 HOT_ROWS = 1_000_000
 MAX_HOT = 10_000
 
-_SPLITS, _SALT, _PRESENT = "__splits", "__salt", "__present"
-
 
 def full_outer(
     many: DataFrame,
@@ -33,19 +34,15 @@ def full_outer(
     """Full outer join of the foreign-key side ``many`` and the primary-key side ``one``.
 
     ``small`` tells whether ``one`` may be broadcast; left out, its size is checked.
-    Otherwise both sides are shuffled once: plainly if no key of ``many`` has more
-    than ``hot_rows`` rows, else salted. Rows of ``one`` without a key can have no
-    partner and bypass the shuffle.
+    Otherwise both sides are shuffled once: plainly if no key has more than
+    ``hot_rows`` rows on a side, else salted.
     """
     if is_small(one) if small is None else small:
         return broadcast_full_outer(many, one, key)
-    keyed, keyless = one.where(F.col(key).isNotNull()), one.where(F.col(key).isNull())
-    hot = hot_keys(many, key, hot_rows)
-    if hot:
-        joined = salted_full_outer(many, keyed, key, hot)
-    else:
-        joined = many.join(keyed, key, "outer")
-    return joined.unionByName(keyless, allowMissingColumns=True)
+    hot_many, hot_one = hot_keys(many, key, hot_rows), hot_keys(one, key, hot_rows)
+    if hot_many or hot_one:
+        return salted_full_outer(many, one, key, hot_many, hot_one)
+    return many.join(one, key, "outer")
 
 
 def is_small(df: DataFrame) -> bool:
@@ -71,55 +68,87 @@ def broadcast_full_outer(many: DataFrame, one: DataFrame, key: str) -> DataFrame
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list[Row]:
-    """The keys (NULL included) with more than ``hot_rows`` rows, most frequent first.
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> dict[Any, int]:
+    """The keys (None included) with more than ``hot_rows`` rows, and their splits.
 
-    A statistics pass over the key column alone, run when the join is built. Counts
-    are exact and combined before the shuffle; at most ``MAX_HOT`` rows come back,
-    each a key and the number of groups to deal it out over. No key can have more
-    rows than the table, whose number Parquet gives without reading any column.
+    The splits are the number of groups to deal the rows out over. They come from a
+    statistics pass over the key column alone, run when the join is built. Counts are
+    exact and combined before the shuffle; at most ``MAX_HOT`` rows come back. No key
+    can have more rows than the table, whose number Parquet gives without reading any
+    column.
     """
     if df.count() <= hot_rows:
-        return []
+        return {}
     counts = df.groupBy(key).agg(F.count("*").alias("n_rows"))
-    return (
+    hot = (
         counts.where(F.col("n_rows") > hot_rows)
         .orderBy(F.desc("n_rows"))
         .limit(MAX_HOT)
-        .select(key, F.ceil(F.col("n_rows") / hot_rows).cast("int").alias(_SPLITS))
-        .collect()
+        .select(key, F.ceil(F.col("n_rows") / hot_rows).cast("int"))
     )
+    return dict(map(tuple, hot.collect()))
 
 
 def salted_full_outer(
-    many: DataFrame, one: DataFrame, key: str, hot: list[Row]
+    many: DataFrame,
+    one: DataFrame,
+    key: str,
+    hot_many: dict[Any, int],
+    hot_one: dict[Any, int],
 ) -> DataFrame:
-    """Full outer join on the key and a salt, for ``one`` without NULL keys.
+    """Full outer join on the key and one salt per side.
 
-    Rows of a hot key of ``many`` are dealt out over salts, and the row of ``one``
-    is repeated once per salt; every other key has the single salt 0. A copy whose
-    salt stayed empty is dropped again: its key does occur in ``many``, or it would
-    not be hot. Keys without a partner are therefore never lost or repeated.
+    A side deals the rows of its own hot keys out over its salt, and repeats the rows
+    of the other side's hot keys once per salt of that side. So every pair of rows
+    meets exactly once, and keys that are hot nowhere have the single salt 0.
+
+    A repeated row can end up alone where its partner's salt stayed empty. It is
+    dropped there: its key does occur on the other side, or it would not be hot, so
+    the row is joined elsewhere. Rows without any partner are never repeated.
 
     The salt is the task's partition number. Unlike a random number it is the same
-    when a lost task runs again, and unlike a hash it separates exact copies.
+    when a lost task runs again, and unlike a hash it separates exact copies. NULL
+    keys, which match nothing, are spread by it over all partitions.
     """
-    splits, task = F.col(_SPLITS), F.spark_partition_id()
-    schema = many.select(key, F.lit(0).alias(_SPLITS)).schema
-    # Bounded by MAX_HOT rows.
-    lookup = F.broadcast(many.sparkSession.createDataFrame(hot, schema))
+    keys = many.select(key).union(one.select(key)).schema.fields
+    schema = StructType(
+        [*keys, *[StructField(f"__splits_{s}", IntegerType()) for s in ("many", "one")]]
+    )
+    rows = [(k, hot_many.get(k), hot_one.get(k)) for k in {**hot_many, **hot_one}]
+    # Bounded: at most MAX_HOT rows per side.
+    splits = F.broadcast(many.sparkSession.createDataFrame(rows, schema))
+
+    joined = _deal(many, key, splits, "many", "one", bool(hot_one)).join(
+        _deal(one, key, splits, "one", "many", bool(hot_many)),
+        [key, "__salt_many", "__salt_one"],
+        "outer",
+    )
+    has_many, has_one = F.col("__has_many"), F.col("__has_one")
+    real = (has_one | F.col("__splits_one").isNull()) & (
+        has_many | F.col("__splits_many").isNull()
+    )
+    helpers = [c for c in joined.columns if c.startswith("__")]
+    return (
+        joined.fillna(False, ["__has_many", "__has_one"]).where(real).drop(*helpers)
+    )
 
+
+def _deal(
+    df: DataFrame, key: str, splits: DataFrame, own: str, other: str, repeat: bool
+) -> DataFrame:
+    """One side of the salted join: dealt out by its own salt, repeated for the other."""
+    task = F.spark_partition_id()
+    own_splits, other_splits = F.col(f"__splits_{own}"), F.col(f"__splits_{other}")
     salt = (
         F.when(F.col(key).isNull(), task)
-        .when(splits.isNotNull(), F.pmod(task, splits))
+        .when(own_splits.isNotNull(), F.pmod(task, own_splits))
         .otherwise(F.lit(0))
     )
-    dealt = many.join(lookup, key, "left").withColumns(
-        {_SALT: salt, _PRESENT: F.lit(True)}
+    every = F.sequence(F.lit(0), F.coalesce(other_splits, F.lit(1)) - 1)
+    return (
+        df.join(splits, key, "left")
+        .withColumn(f"__salt_{own}", salt)
+        .withColumn(f"__salt_{other}", F.explode(every) if repeat else F.lit(0))
+        .withColumn(f"__has_{own}", F.lit(True))
+        .drop(f"__splits_{own}")
     )
-    salts = F.sequence(F.lit(0), F.coalesce(splits, F.lit(1)) - 1)
-    repeated = one.join(lookup, key, "left").withColumn(_SALT, F.explode(salts))
-
-    joined = dealt.drop(_SPLITS).join(repeated, [key, _SALT], "outer")
-    real = F.col(_PRESENT).isNotNull() | splits.isNull()
-    return joined.where(real).drop(_SALT, _PRESENT, _SPLITS)

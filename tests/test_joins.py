@@ -88,9 +88,9 @@ def hot_fixture(spark):
 
 def test_hot_keys_are_exact_and_bounded(spark):
     many, _ = hot_fixture(spark)
-    hot = {row[0]: row[1] for row in hot_keys(many, "k", 1_000)}
-    assert hot == {7: 10, None: 10}
-    assert hot_keys(many, "k", 10_000) == []
+    assert hot_keys(many, "k", 1_000) == {7: 10, None: 10}
+    assert hot_keys(many, "k", 10_000) == {}
+    assert hot_keys(many.limit(0), "k", 1_000) == {}
 
 
 def test_hot_key_is_dealt_out_over_tasks(spark, with_conf):
@@ -113,6 +113,38 @@ def test_hot_key_is_dealt_out_over_tasks(spark, with_conf):
         assert largest_task(dealt) < 6_000
 
 
+def test_hot_key_of_the_other_side_is_dealt_out_too(spark, with_conf):
+    many, one = hot_fixture(spark)
+    with with_conf(
+        {
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "32",
+        }
+    ):
+        # The hot key and the missing ones are now on the primary-key side.
+        one = one.where("k between 9000 and 9100")
+        repeated = many.withColumnRenamed("a", "b").withColumn("k", F.col("k") + 9_000)
+        few = one.withColumnRenamed("b", "a")
+        assert bag(salted(few, repeated, 1_000)) == bag(few.join(repeated, "k", "outer"))
+        per_task = salted(few, repeated, 1_000).groupBy(F.spark_partition_id()).count()
+        assert per_task.agg(F.max("count")).first()[0] < 6_000
+
+
+@pytest.mark.parametrize("copies", [(50, 3), (3, 50), (20, 20)])
+def test_key_hot_on_both_sides(spark, copies):
+    many = spark.range(copies[0], numPartitions=8).select(
+        F.lit(1).alias("k"), F.concat(F.lit("a"), F.col("id")).alias("a")
+    )
+    one = spark.range(copies[1], numPartitions=8).select(
+        F.lit(1).alias("k"), F.concat(F.lit("b"), F.col("id")).alias("b")
+    )
+    loner = spark.createDataFrame([(2, "x"), (None, "y")], MANY)
+    for hot_rows in (1, 4, 10):
+        check_pair = salted(many.union(loner), one.union(loner.where("k = 2")), hot_rows)
+        expected = many.union(loner).join(one.union(loner.where("k = 2")), "k", "outer")
+        assert bag(check_pair) == bag(expected)
+
+
 def test_sizes_decide_the_strategy(spark, with_conf):
     many = spark.range(3_000).select(F.col("id").alias("k"), F.lit("a").alias("a"))
     small, large = many.limit(10), many.withColumnRenamed("a", "b")
@@ -131,5 +163,5 @@ def test_wide_rows_are_not_small(spark):
 
 def test_salt_is_computed_without_random_numbers(spark):
     many, one = hot_fixture(spark)
-    text = plan(salted_full_outer(many, one, "k", hot_keys(many, "k", 1_000)))
+    text = plan(salted_full_outer(many, one, "k", hot_keys(many, "k", 1_000), {}))
     assert "SPARK_PARTITION_ID" in text and "rand(" not in text
