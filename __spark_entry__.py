@@ -89,6 +89,18 @@ def star_zone(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return star.star_tables(lambda t: clean_table(spark, sf_dir, t))
 
 
+def fact_sales_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact with every order of more than three lines taken for a hot key."""
+    orders, lineitem = (clean_table(spark, sf_dir, t) for t in ("orders", "lineitem"))
+    return star.fact_sales(orders, lineitem, hot_rows=3)
+
+
+def dim_part_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part dimension with every part of more than 25 suppliers taken for hot."""
+    part, partsupp = (clean_table(spark, sf_dir, t) for t in ("part", "partsupp"))
+    return star.dim_part(part, partsupp, hot_rows=25)
+
+
 # --- sources and sinks ----------------------------------------------------------
 
 
@@ -337,6 +349,8 @@ def queries() -> dict[str, Query]:
         for name in schemas.STAR_TABLES
     }
     registered |= {
+        "fact_sales_salted": fact_sales_salted,
+        "dim_part_salted": dim_part_salted,
         "dq_sales_checks": dq_checks("fact_sales"),
         "dq_customer_checks": dq_checks("dim_customer"),
         "dq_supplier_checks": dq_checks("dim_supplier"),
@@ -611,6 +625,7 @@ def oracle_sql() -> dict[str, str]:
     }
     sql |= {f"clean_{name}": text for name, text in CLEAN_SQL.items()}
     sql |= STAR_SQL
+    sql |= {f"{n}_salted": STAR_SQL[n] for n in ("fact_sales", "dim_part")}
     sql |= {
         f"dq_{label}_checks": dq_checks_sql(name, key, unique)
         for name, key, unique, label in quality.SUBJECTS

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from starmart.functions import surrogate_key
 from starmart.operators import contract, full_outer, is_small, prefix_rename
+from starmart.operators.joins import HOT_ROWS
 from starmart.schemas import STAR_COLUMNS
 
 
@@ -18,6 +19,7 @@ def fact_sales(
     lineitem: DataFrame,
     strict: bool = False,
     with_partkey: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Clean orders and line items joined on the order key, one row per line item.
 
@@ -30,7 +32,10 @@ def fact_sales(
     sales_line = prefix_rename(lineitem, "l_", "s_").withColumnsRenamed(
         {"s_comment": "s_l_comment", "s_ps_id": "s_suppkey"}
     )
-    sales = full_outer(sales_line, sales_order, "s_orderkey", small=False).withColumn(
+    joined = full_outer(
+        sales_line, sales_order, "s_orderkey", small=False, hot_rows=hot_rows
+    )
+    sales = joined.withColumn(
         "s_orderkey_linenumber",
         surrogate_key(F.col("s_orderkey"), F.col("s_linenumber")),
     )
@@ -82,13 +87,19 @@ def dim_supplier(
     return contract(joined, STAR_COLUMNS["dim_supplier"], strict)
 
 
-def dim_part(part: DataFrame, partsupp: DataFrame, strict: bool = False) -> DataFrame:
+def dim_part(
+    part: DataFrame,
+    partsupp: DataFrame,
+    strict: bool = False,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
     """One row per part and supplier; parts without supplier and the reverse are kept."""
     offers = partsupp.drop("ps_id").withColumnRenamed("ps_partkey", "p_partkey")
-    joined = full_outer(offers, part, "p_partkey", small=False).withColumn(
+    joined = full_outer(offers, part, "p_partkey", small=False, hot_rows=hot_rows)
+    keyed = joined.withColumn(
         "p_partkey_suppkey", surrogate_key(F.col("p_partkey"), F.col("ps_suppkey"))
     )
-    return contract(joined, STAR_COLUMNS["dim_part"], strict)
+    return contract(keyed, STAR_COLUMNS["dim_part"], strict)
 
 
 # Builder and inputs of every star table.
