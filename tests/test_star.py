@@ -148,6 +148,33 @@ def test_dim_supplier(spark, nation, region):
     assert (row.supp_n_name, row.supp_r_name, row.supp_comment) == ("PERU", "AMERICA", "c")
 
 
+def test_dimension_over_a_geography_too_large_to_broadcast(spark, region):
+    nation = spark.range(1_500).select(
+        F.col("id").cast("int").alias("n_nationkey"),
+        F.concat(F.lit("N"), "id").alias("n_name"),
+        (F.col("id") % 6).cast("int").alias("n_regionkey"),
+        F.lit("c").alias("n_comment"),
+    )
+    customer = spark.range(4_000).select(
+        F.col("id").cast("int").alias("c_custkey"),
+        F.when(F.col("id") % 3 > 0, F.col("id") % 2_000).cast("int").alias("c_nationkey"),
+    )
+    dim = star.dim_customer(customer, nation, region)
+    places = nation.join(
+        region, nation.n_regionkey == region.r_regionkey, "outer"
+    ).select("n_nationkey", "n_name", "r_name")
+    expected = customer.join(
+        places, customer.c_nationkey == places.n_nationkey, "outer"
+    ).select(
+        "c_custkey",
+        F.coalesce("c_nationkey", "n_nationkey").alias("c_nationkey"),
+        F.col("n_name").alias("c_n_name"),
+        F.col("r_name").alias("c_r_name"),
+    )
+    columns = ["c_custkey", "c_nationkey", "c_n_name", "c_r_name"]
+    assert bag(dim, columns) == bag(expected, columns)
+
+
 def test_dim_part_keeps_both_unmatched_sides(spark):
     part = frame(
         spark,
