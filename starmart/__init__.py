@@ -1 +1 @@
-"""Star-schema analytics on Spark: raw order tables in, checked fact and dimension tables out."""
+"""Star-schema analytics on Spark: raw order tables in, checked star tables out."""

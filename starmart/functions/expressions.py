@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def acctbal_class(balance: Column, average: Column) -> Column:
-    """Three balance classes; a NULL balance and one at the average are above average."""
+    """Three balance classes; NULL and the average itself count as above average."""
     return (
         F.when(balance < 0, "negative")
         .when(balance < average, "below_average")

@@ -31,7 +31,7 @@ def full_outer(
     small: bool | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Full outer join of the foreign-key side ``many`` and the primary-key side ``one``.
+    """Full outer join of a foreign-key side ``many`` and a primary-key side ``one``.
 
     ``small`` tells whether ``one`` may be broadcast; left out, its size is checked.
     Otherwise both sides are shuffled once: plainly if no key has more than
@@ -136,7 +136,7 @@ def salted_full_outer(
 def _deal(
     df: DataFrame, key: str, splits: DataFrame, own: str, other: str, repeat: bool
 ) -> DataFrame:
-    """One side of the salted join: dealt out by its own salt, repeated for the other."""
+    """One side of the salted join: dealt out by its salt, repeated for the other."""
     task = F.spark_partition_id()
     own_splits, other_splits = F.col(f"__splits_{own}"), F.col(f"__splits_{other}")
     salt = (

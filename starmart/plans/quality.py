@@ -56,7 +56,8 @@ def _alerts(key: str, unique: bool, name: str, nulls: str) -> list[Column]:
     if unique:
         duplicate = F.lit(f"Duplicate {name} primary key found; ")
         alerts.append(F.when(count != F.col(f"{key}_unique"), duplicate))
-    found = F.concat(null_count.cast("string"), F.lit(f" NULL {name} primary key found"))
+    null_keys = F.lit(f" NULL {name} primary key found")
+    found = F.concat(null_count.cast("string"), null_keys)
     alerts.append(F.when(null_count != 0, found))
     return alerts
 

@@ -99,7 +99,7 @@ def dim_part(
     strict: bool = False,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """One row per part and supplier; parts without supplier and the reverse are kept."""
+    """Parts with their suppliers; parts without supplier and the reverse are kept."""
     offers = partsupp.drop("ps_id").withColumnRenamed("ps_partkey", "p_partkey")
     joined = full_outer(offers, part, "p_partkey", small=False, hot_rows=hot_rows)
     keyed = joined.withColumn(

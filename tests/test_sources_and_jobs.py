@@ -204,6 +204,21 @@ def test_whole_chain(spark, raw, tmp_path):
     assert corrected.first().issues_found == 4
 
 
+def test_jobs_one_by_one_and_a_failing_gate(spark, raw, tmp_path, capsys):
+    zones = {name: str(tmp_path / name) for name in ("raw", "clean", "star", "db")}
+    customer = tmp_path / "landing" / "customer.tbl"
+    customer.write_text(customer.read_text() + LINES["customer"][0] + "\n")
+    jobs.main(["land", "--source", raw, "--raw", zones["raw"]])
+    jobs.main(["clean", "--raw", zones["raw"], "--clean", zones["clean"]])
+    jobs.main(["star", "--clean", zones["clean"], "--star", zones["star"]])
+    place = ["--star", zones["star"], "--database", "single", "--location", zones["db"]]
+    jobs.main(["register", *place])
+    assert spark.table("single.dim_customer").count() == 4
+    with pytest.raises(Exception, match="Duplicate customer primary key found"):
+        jobs.main(["quality", *place])
+    assert "all good" not in capsys.readouterr().out
+
+
 def test_named_layout(spark, raw):
     df = read_raw(spark, raw, "lineitem", "named")
     row = df.where("l_linenumber = 1").first()
