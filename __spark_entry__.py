@@ -48,6 +48,11 @@ from starmart.sources import (  # noqa: E402
     write_zone,
 )
 
+try:  # The operators for training data are an optional part of the library.
+    from starmart.llm import queries as llm
+except ImportError:
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
@@ -380,7 +385,7 @@ def queries() -> dict[str, Query]:
         "mart_orders_by_month": mart_orders_by_month,
         "mart_balance_class_by_segment": mart_balance_class_by_segment,
     }
-    return registered
+    return registered | (llm.QUERIES if llm else {})
 
 
 # --- the same results in SQL ----------------------------------------------------
@@ -670,4 +675,4 @@ def oracle_sql() -> dict[str, str]:
             GROUP BY c_mktsegment, c_acctbal_class
         """,
     }
-    return sql
+    return sql | (llm.ORACLE_SQL if llm else {})
