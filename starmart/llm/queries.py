@@ -7,12 +7,34 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import quality_rules, url_filters
-from starmart.llm.common import read
+from starmart.llm import language_id, quality_rules, toxicity, url_filters
+from starmart.llm.common import held_out, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    labels = read(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id")))
+    model = toxicity.fit(docs, labels)
+    scored = toxicity.score(docs.select("doc_id", "text", "lang"), model)
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        toxicity.is_toxic(model).alias("toxic_for_language"),
+    )
+
+
+def language_id_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = language_id.fit(docs.filter(~held_out(F.col("doc_id"))))
+    return language_id.identify(docs, model).withColumn(
+        "held_out", held_out(F.col("doc_id"))
+    )
+
+
 def quality_rules_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words".split()
     return quality_rules.judge(read(spark, sf_dir, "documents")).select(
@@ -28,8 +50,10 @@ def url_filters_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": toxicity_query,
     "op5_quality_rules": quality_rules_query,
     "op6_url_filters": url_filters_query,
+    "op8_language_id": language_id_query,
 }
 
 ORACLE_SQL: dict[str, str] = {
