@@ -33,6 +33,10 @@ MAX_TRAIN_CHARS = 200_000
 ROUNDS = 10
 # The share of training texts of a language that its rejection limit would turn away.
 REJECTED_SHARE = 0.01
+# What a centroid needs: this share of its language's training texts near it, and this
+# share of the texts near it in its language.
+MIN_SHARE = 0.05
+MIN_PURITY = 0.8
 BLOCK = 256
 
 
@@ -85,22 +89,24 @@ def cluster(vectors: np.ndarray, k: int) -> np.ndarray:
 def pure(
     vectors: np.ndarray, labels: np.ndarray, groups: list[np.ndarray]
 ) -> list[np.ndarray]:
-    """The centroids whose nearest training texts are mostly of their own language.
+    """The centroids that stand for their language.
 
-    Mislabelled texts form clusters of their own; those would attract the texts of the
-    language that they are really in. Languages count equally; each keeps its best.
+    Mislabelled texts form small clusters of their own, which would attract the texts
+    of the language that they are really in. A centroid goes where its language has
+    few texts near it, or where too many texts near it are of another language.
+    Languages count equally; each keeps its best centroid.
     """
     owners = np.repeat(np.arange(len(groups)), [len(g) for g in groups])
     nearest = (vectors @ np.concatenate(groups).T).argmax(axis=1)
     votes = np.zeros((len(owners), len(groups)))
     np.add.at(votes, (nearest, labels), 1 / np.bincount(labels)[labels])
     own = votes[np.arange(len(owners)), owners]
-    share = own / np.maximum(votes.sum(axis=1), 1e-12)
+    good = (own >= MIN_SHARE) & (own >= MIN_PURITY * votes.sum(axis=1))
     kept = []
     for g, group in enumerate(groups):
-        good = (share[owners == g] > 0.5) & (own[owners == g] > 0)
-        good[own[owners == g].argmax()] = True
-        kept.append(group[good])
+        keep = good[owners == g]
+        keep[own[owners == g].argmax()] = True
+        kept.append(group[keep])
     return kept
 
 

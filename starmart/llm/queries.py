@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import language_id, quality_rules, toxicity, url_filters
+from starmart.llm import html_extraction, language_id, quality_rules, toxicity, url_filters
 from starmart.llm.common import held_out, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,10 @@ def language_id_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def html_extraction_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(read(spark, sf_dir, "pages"))
+
+
 def quality_rules_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words".split()
     return quality_rules.judge(read(spark, sf_dir, "documents")).select(
@@ -51,6 +55,7 @@ def url_filters_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_toxicity": toxicity_query,
+    "op3_html_extraction": html_extraction_query,
     "op5_quality_rules": quality_rules_query,
     "op6_url_filters": url_filters_query,
     "op8_language_id": language_id_query,
