@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import html_extraction, language_id, quality_rules, toxicity, url_filters
+from starmart.llm import (
+    decontamination,
+    html_extraction,
+    language_id,
+    line_dedup,
+    quality_rules,
+    toxicity,
+    url_filters,
+)
 from starmart.llm.common import held_out, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +47,13 @@ def html_extraction_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract(read(spark, sf_dir, "pages"))
 
 
+def decontamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item that it contains."""
+    return decontamination.matches(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    )
+
+
 def quality_rules_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words".split()
     return quality_rules.judge(read(spark, sf_dir, "documents")).select(
@@ -53,15 +68,63 @@ def url_filters_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", rule.alias("rule"), "verdict")
 
 
+def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its lines, which of them go, links of its lines to other texts, and
+    the documents where the classes of the lines that go begin."""
+    return line_dedup.dedup(read(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_lines",
+        "n_removed",
+        "n_links",
+        F.sha2("text", 256).alias("kept_sha256"),
+        F.array_join(F.col("classes").cast("array<string>"), ",").alias("class_ids"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": toxicity_query,
     "op3_html_extraction": html_extraction_query,
+    "op4_decontamination": decontamination_query,
     "op5_quality_rules": quality_rules_query,
     "op6_url_filters": url_filters_query,
     "op8_language_id": language_id_query,
+    "op10_line_dedup": line_dedup_query,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_decontamination": r"""
+        WITH items AS (
+            SELECT item_id, unnest(range(1, greatest(len(w) - 3, 2))) AS place, w
+            FROM (SELECT item_id, regexp_extract_all(translate(text,
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                      '[^\x20\x09-\x0D]+') AS w
+                  FROM benchmark)
+            WHERE len(w) > 0
+        ), item_shingles AS (
+            SELECT DISTINCT item_id, least(len(w), 5) AS width,
+                   array_to_string(w[place:place + 4], ' ') AS shingle
+            FROM items
+        ), docs AS (
+            SELECT row_number() OVER () AS row_id, doc_id,
+                   regexp_extract_all(translate(text,
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), places AS (
+            SELECT row_id, doc_id, width, w, unnest(range(1, len(w) - width + 2)) AS place
+            FROM docs, (SELECT DISTINCT width FROM item_shingles)
+        ), doc_shingles AS (
+            SELECT DISTINCT row_id, doc_id, width,
+                   array_to_string(w[place:place + width - 1], ' ') AS shingle
+            FROM places
+        ), sizes AS (
+            SELECT item_id, count(*) AS n_item FROM item_shingles GROUP BY item_id
+        )
+        SELECT doc_id, item_id, any_value(n_item) AS n_item, count(*) AS n_shared
+        FROM doc_shingles JOIN item_shingles USING (width, shingle) JOIN sizes USING (item_id)
+        GROUP BY row_id, doc_id, item_id
+        HAVING 10 * count(*) >= 8 * any_value(n_item)
+    """,
     "op5_quality_rules": r"""
         WITH texts AS (
             SELECT row_number() OVER () AS row_id, doc_id, source,
