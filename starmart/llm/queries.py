@@ -221,4 +221,59 @@ ORACLE_SQL: dict[str, str] = {
                     THEN 'block' ELSE 'allow' END AS verdict
         FROM ruled
     """,
+    # Lines within one edit share what is left when each loses a certain character.
+    "op10_line_dedup": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS row_id, doc_id, text,
+                   string_split(coalesce(text, ''), chr(10)) AS lines
+            FROM documents
+        ), places AS (
+            SELECT row_id, doc_id, lines, unnest(range(1, len(lines) + 1)) AS n FROM docs
+        ), seen AS (
+            SELECT row_id, doc_id, n, lines[n] AS line,
+                   regexp_matches(lines[n], '[^\x20\x09-\x0D]') AS has_word
+            FROM places
+        ), firsts AS (
+            SELECT line, length(line) AS size, min({'doc_id': doc_id, 'n': n}) AS earliest
+            FROM seen WHERE has_word AND doc_id IS NOT NULL GROUP BY line
+        ), places_of AS (
+            SELECT line, size, unnest(range(1, size + 1)) AS i FROM firsts WHERE size > 1
+        ), shorter AS (
+            SELECT line, size, i, hash(left(line, i - 1) || substr(line, i + 1)) AS rest
+            FROM places_of
+        ), one_less AS (
+            SELECT DISTINCT a.line AS x, b.line AS y
+            FROM shorter a JOIN firsts b
+              ON a.rest = hash(b.line) AND a.size = b.size + 1 AND b.size > 1
+        ), links AS (
+            SELECT DISTINCT a.line AS x, b.line AS y
+            FROM shorter a JOIN shorter b USING (size, i, rest) WHERE a.line <> b.line
+            UNION ALL SELECT x, y FROM one_less UNION ALL SELECT y, x FROM one_less
+        ), around AS (
+            SELECT x AS line, min(earliest) AS near, count(*) AS n_links
+            FROM links JOIN firsts ON firsts.line = y GROUP BY x
+        ), classes AS (
+            SELECT line, coalesce(n_links, 0) AS n_links,
+                   CASE WHEN near < earliest THEN near ELSE earliest END AS before
+            FROM firsts LEFT JOIN around USING (line)
+        ), judged AS (
+            SELECT row_id, n, seen.line, has_word, n_links, before,
+                   coalesce(before < {'doc_id': doc_id, 'n': n}, false) AS repeat
+            FROM seen LEFT JOIN classes
+              ON seen.line = classes.line AND has_word AND doc_id IS NOT NULL
+        ), digests AS (
+            SELECT row_id, count(*) FILTER (WHERE has_word) AS n_lines,
+                   count(*) FILTER (WHERE repeat) AS n_removed,
+                   CAST(coalesce(sum(n_links), 0) AS BIGINT) AS n_links,
+                   coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE NOT repeat), '')
+                       AS kept,
+                   list_sort(list_distinct(list(before.doc_id) FILTER (WHERE repeat)))
+                       AS classes
+            FROM judged GROUP BY row_id
+        )
+        SELECT doc_id, n_lines, n_removed, n_links,
+               sha256(CASE WHEN n_removed > 0 THEN kept ELSE text END) AS kept_sha256,
+               coalesce(array_to_string(classes, ','), '') AS class_ids
+        FROM docs JOIN digests USING (row_id)
+    """,
 }
