@@ -12,6 +12,7 @@ from starmart.llm import (
     html_extraction,
     language_id,
     line_dedup,
+    mixing,
     quality_rules,
     toxicity,
     url_filters,
@@ -35,6 +36,10 @@ def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(read(spark, sf_dir, "documents"))
+
+
 def language_id_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = language_id.fit(docs.filter(~held_out(F.col("doc_id"))))
@@ -87,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op4_decontamination": decontamination_query,
     "op5_quality_rules": quality_rules_query,
     "op6_url_filters": url_filters_query,
+    "op7_mixing": mixing_query,
     "op8_language_id": language_id_query,
     "op10_line_dedup": line_dedup_query,
 }
