@@ -13,6 +13,7 @@ from starmart.llm import (
     language_id,
     line_dedup,
     mixing,
+    near_dedup,
     quality_rules,
     toxicity,
     url_filters,
@@ -73,6 +74,10 @@ def url_filters_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", rule.alias("rule"), "verdict")
 
 
+def near_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its lines, which of them go, links of its lines to other texts, and
     the documents where the classes of the lines that go begin."""
@@ -94,6 +99,7 @@ QUERIES: dict[str, Query] = {
     "op6_url_filters": url_filters_query,
     "op7_mixing": mixing_query,
     "op8_language_id": language_id_query,
+    "op9_near_dedup": near_dedup_query,
     "op10_line_dedup": line_dedup_query,
 }
 
