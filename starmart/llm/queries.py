@@ -15,6 +15,7 @@ from starmart.llm import (
     mixing,
     near_dedup,
     quality_rules,
+    substring_dedup,
     toxicity,
     url_filters,
 )
@@ -49,6 +50,14 @@ def language_id_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def substring_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    result = substring_dedup.remove_passages(read(spark, sf_dir, "documents"))
+    kept = F.when(F.col("n_removed") > 0, F.sha2("kept", 256)).otherwise(
+        F.lower(F.hex("words_sha"))
+    )
+    return result.select("doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
+
+
 def html_extraction_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract(read(spark, sf_dir, "pages"))
 
@@ -93,6 +102,7 @@ def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_toxicity": toxicity_query,
+    "op2_substring_dedup": substring_dedup_query,
     "op3_html_extraction": html_extraction_query,
     "op4_decontamination": decontamination_query,
     "op5_quality_rules": quality_rules_query,
