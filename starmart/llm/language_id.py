@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 BUCKETS = 1 << 14
 CENTROIDS = 4
-SAMPLE = 4000
+SAMPLE = 2400
 MAX_LANGUAGES = 200
 MAX_TRAIN_CHARS = 200_000
 ROUNDS = 10
@@ -115,9 +115,16 @@ def fit_rows(texts: list[str], langs: list[str]) -> LanguageModel:
     if not languages:
         empty = np.empty((0, BUCKETS), dtype=np.float32)
         return LanguageModel([], np.ones(BUCKETS, np.float32), empty, np.empty(0, int), empty)
-    counts = np.stack([ngram_counts(t) for t in texts])
-    idf = (np.log((1 + len(texts)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
-    vectors = unit(counts * idf)
+    # One matrix, weighted and scaled in place: it is most of what the driver holds.
+    vectors = np.empty((len(texts), BUCKETS), dtype=np.float32)
+    held = np.zeros(BUCKETS)
+    for row, text in zip(vectors, texts, strict=True):
+        row[:] = ngram_counts(text)
+        held += row > 0
+    idf = (np.log((1 + len(texts)) / (1 + held)) + 1).astype(np.float32)
+    vectors *= idf
+    for row in vectors:
+        row /= np.linalg.norm(row) or 1
     labels = np.searchsorted(languages, langs)
     groups = [cluster(vectors[labels == g], CENTROIDS) for g in range(len(languages))]
     groups = pure(vectors, labels, groups)
