@@ -127,42 +127,45 @@ def item_blocks(items: DataFrame) -> Iterator[ItemBlock]:
     yield index_items(block)
 
 
+# The column with the items found; named so that it meets no column of the input.
+FOUND = "_items"
 MATCH = "array<struct<item_id:long,n_item:long,n_shared:long>>"
+MATCH_NAMES = ("item_id", "n_item", "n_shared")
 MATCH_TYPE = pa.list_(
     pa.struct([("item_id", pa.int64()), ("n_item", pa.int64()), ("n_shared", pa.int64())])
 )
 
 
 def with_items(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with the items they contain, as last column ``items``."""
-    docs = docs.drop("items")
-    fields = [f"{f.name} {f.dataType.simpleString()}" for f in docs.schema]
-    result = docs.withColumn("items", F.array().cast(MATCH))
+    """The rows of ``docs`` with the items they contain as a further, last column."""
+    result = docs.withColumn(FOUND, F.array().cast(MATCH))
 
     def searcher(block: ItemBlock):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 found = [
-                    [*(tuple(x.values()) for x in before), *contained(block, text)]
+                    before + [dict(zip(MATCH_NAMES, m, strict=True)) for m in contained(block, text)]
                     for text, before in zip(
-                        batch["text"].to_pylist(), batch["items"].to_pylist(), strict=True
+                        batch["text"].to_pylist(), batch[FOUND].to_pylist(), strict=True
                     )
                 ]
-                names = [name for name in batch.schema.names if name != "items"]
-                rows = [[dict(zip(("item_id", "n_item", "n_shared"), m)) for m in f] for f in found]
                 yield pa.RecordBatch.from_arrays(
-                    [*[batch[name] for name in names], pa.array(rows, MATCH_TYPE)],
-                    names=[*names, "items"],
+                    [*batch.columns[:-1], pa.array(found, MATCH_TYPE)], names=batch.schema.names
                 )
 
         return run
 
     for block in item_blocks(items):
-        result = result.mapInArrow(searcher(block), ", ".join([*fields, f"items {MATCH}"]))
+        result = result.mapInArrow(searcher(block), result.schema)
     return result
 
 
 def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
     """One row per document and item it contains: doc_id, item_id, n_item, n_shared."""
     found = with_items(docs.select("doc_id", "text"), items)
-    return found.select("doc_id", F.inline("items"))
+    return found.select("doc_id", F.inline(FOUND))
+
+
+def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that contain no item."""
+    return with_items(docs, items).filter(F.size(FOUND) == 0).drop(FOUND)

@@ -88,7 +88,8 @@ def split_quotas(quotas: np.ndarray, shards: int, seed: int = SEED) -> np.ndarra
         split(first, left, part)
         split(first + left, count - left, here - part)
 
-    split(0, shards, np.asarray(quotas, dtype=np.int64))
+    if len(quotas):
+        split(0, shards, np.asarray(quotas, dtype=np.int64))
     return out
 
 

@@ -245,6 +245,17 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     )
 
 
+def deduplicated(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
+    """The rows of ``docs`` with one document of each component, the one of smallest id.
+
+    Of several rows with that id one stays. Rows without id all stay.
+    """
+    kept = near_duplicates(docs, percent).filter("kept AND doc_id IS NOT NULL")
+    known = docs.filter("doc_id IS NOT NULL")
+    one_each = known.join(kept.select("doc_id").distinct(), "doc_id", "left_semi")
+    return one_each.dropDuplicates(["doc_id"]).unionByName(docs.filter("doc_id IS NULL"))
+
+
 def chance_of_a_miss(similarity: float = SIMILARITY / 100) -> float:
     """The chance that sets of this similarity share fewer than NEEDED sketch values."""
     return sum(

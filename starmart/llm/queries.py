@@ -32,8 +32,8 @@ def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
-        F.col("toxicity").alias("score"),
-        (F.col("toxicity") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        F.col(toxicity.SCORE).alias("score"),
+        (F.col(toxicity.SCORE) >= toxicity.THRESHOLD).cast("int").alias("predicted"),
         toxicity.is_toxic(model).alias("toxic_for_language"),
     )
 

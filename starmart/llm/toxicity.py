@@ -26,8 +26,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 BUCKETS = 1 << 16
 WIDTH = 16
@@ -44,6 +45,8 @@ THRESHOLD = 0.3
 MIN_ROWS = 20
 # Word positions that are convolved at once.
 BLOCK = 1 << 17
+# The column with the score; named so that it meets no column of the input.
+SCORE = "_toxicity"
 
 WORD = re.compile(r"\w+")
 
@@ -276,7 +279,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityMod
 
 
 def score(docs: DataFrame, model: ToxicityModel | None) -> DataFrame:
-    """The rows of ``docs`` with ``toxicity`` (0 to 1) as a further, last column."""
+    """The rows of ``docs`` with SCORE (0 to 1) as a further, last column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -284,17 +287,15 @@ def score(docs: DataFrame, model: ToxicityModel | None) -> DataFrame:
             found = model.scores(logits(model, texts)) if model else np.zeros(len(texts))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(found, pa.float64())],
-                names=[*batch.schema.names, "toxicity"],
+                names=[*batch.schema.names, SCORE],
             )
 
-    docs = docs.drop("toxicity")
-    fields = [f"{f.name} {f.dataType.simpleString()}" for f in docs.schema]
-    return docs.mapInArrow(run, ", ".join([*fields, "toxicity double"]))
+    return docs.mapInArrow(run, StructType([*docs.schema, StructField(SCORE, DoubleType())]))
 
 
-def is_toxic(model: ToxicityModel | None):
+def is_toxic(model: ToxicityModel | None) -> Column:
     """The verdict on scored rows, by the threshold of the row's language."""
-    verdict = F.col("toxicity") >= THRESHOLD
+    verdict = F.col(SCORE) >= THRESHOLD
     for lang, threshold in (model.thresholds if model else {}).items():
-        verdict = F.when(F.col("lang") == lang, F.col("toxicity") >= threshold).otherwise(verdict)
+        verdict = F.when(F.col("lang") == lang, F.col(SCORE) >= threshold).otherwise(verdict)
     return verdict
