@@ -49,8 +49,11 @@ from starmart.sources import (  # noqa: E402
 )
 
 try:  # The operators for training data are an optional part of the library.
+    import corpus_pipeline
     from starmart.llm import queries as llm
-except ImportError:
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "starmart.llm"):
+        raise
     llm = None
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -385,7 +388,9 @@ def queries() -> dict[str, Query]:
         "mart_orders_by_month": mart_orders_by_month,
         "mart_balance_class_by_segment": mart_balance_class_by_segment,
     }
-    return registered | (llm.QUERIES if llm else {})
+    if llm:
+        registered |= {**llm.QUERIES, "pipeline": corpus_pipeline.run}
+    return registered
 
 
 # --- the same results in SQL ----------------------------------------------------
