@@ -116,14 +116,15 @@ QUERIES: dict[str, Query] = {
 ORACLE_SQL: dict[str, str] = {
     "op4_decontamination": r"""
         WITH items AS (
-            SELECT item_id, unnest(range(1, greatest(len(w) - 3, 2))) AS place, w
-            FROM (SELECT item_id, regexp_extract_all(translate(text,
+            SELECT item_row, item_id, w,
+                   unnest(range(1, greatest(len(w) - 3, 2))) AS place
+            FROM (SELECT row_number() OVER () AS item_row, item_id, regexp_extract_all(translate(text,
                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                       '[^\x20\x09-\x0D]+') AS w
                   FROM benchmark)
             WHERE len(w) > 0
         ), item_shingles AS (
-            SELECT DISTINCT item_id, least(len(w), 5) AS width,
+            SELECT DISTINCT item_row, item_id, least(len(w), 5) AS width,
                    array_to_string(w[place:place + 4], ' ') AS shingle
             FROM items
         ), docs AS (
@@ -140,11 +141,11 @@ ORACLE_SQL: dict[str, str] = {
                    array_to_string(w[place:place + width - 1], ' ') AS shingle
             FROM places
         ), sizes AS (
-            SELECT item_id, count(*) AS n_item FROM item_shingles GROUP BY item_id
+            SELECT item_row, count(*) AS n_item FROM item_shingles GROUP BY item_row
         )
         SELECT doc_id, item_id, any_value(n_item) AS n_item, count(*) AS n_shared
-        FROM doc_shingles JOIN item_shingles USING (width, shingle) JOIN sizes USING (item_id)
-        GROUP BY row_id, doc_id, item_id
+        FROM doc_shingles JOIN item_shingles USING (width, shingle) JOIN sizes USING (item_row)
+        GROUP BY row_id, doc_id, item_row, item_id
         HAVING 10 * count(*) >= 8 * any_value(n_item)
     """,
     "op5_quality_rules": r"""
