@@ -17,7 +17,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -32,7 +31,9 @@ from starmart.functions import (  # noqa: E402
 from starmart.operators import (  # noqa: E402
     contract,
     foreign_key_summary,
+    foreign_key_violations,
     not_null_summary,
+    not_null_violations,
     prefix_rename,
     primary_key_summary,
     primary_key_violations,
@@ -41,6 +42,7 @@ from starmart.plans import clean, jobs, marts, quality, star  # noqa: E402
 from starmart.session import scratch_dir  # noqa: E402
 from starmart.sources import (  # noqa: E402
     land_raw,
+    read_raw,
     read_tbl,
     read_zone,
     tbl_path,
@@ -65,9 +67,6 @@ DATASET = "starmart"
 # --- inputs ---------------------------------------------------------------------
 
 
-_file_schemas: dict[str, StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name == "partsupp":
         return (
@@ -78,11 +77,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
             )
             .distinct()
         )
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _file_schemas:
-        # Inferring a schema is a job of its own; once per file is enough.
-        _file_schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_file_schemas[path]).parquet(path)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def clean_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -97,18 +92,6 @@ def star_zone(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return star.star_tables(lambda t: clean_table(spark, sf_dir, t))
 
 
-def fact_sales_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact with every order of more than three lines taken for a hot key."""
-    orders, lineitem = (clean_table(spark, sf_dir, t) for t in ("orders", "lineitem"))
-    return star.fact_sales(orders, lineitem, hot_rows=3)
-
-
-def dim_part_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The part dimension with every part of more than 25 suppliers taken for hot."""
-    part, partsupp = (clean_table(spark, sf_dir, t) for t in ("part", "partsupp"))
-    return star.dim_part(part, partsupp, hot_rows=25)
-
-
 # --- sources and sinks ----------------------------------------------------------
 
 
@@ -144,8 +127,64 @@ def zone_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_zone(spark, zone, "fact_sales")
 
 
+def raw_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The given tables as text files of the fixed layouts; absent columns are empty."""
+    folder = scratch_dir(spark)
+    for name in schemas.TABLES:
+        source = table(spark, sf_dir, name)
+        fields = [
+            (F.col(f.name) if f.name in source.columns else F.lit(None))
+            .cast(f.dataType)
+            .alias(f.name)
+            for f in schemas.raw_schema(name)
+        ]
+        write_tbl(source.select(fields), tbl_path(folder, name))
+    return folder
+
+
+def without_zone(df: DataFrame) -> DataFrame:
+    """Timestamps as the wall-clock times that the files hold."""
+    return df.select(
+        [
+            F.col(name).cast("timestamp_ntz").alias(name) if kind == "timestamp" else name
+            for name, kind in df.dtypes
+        ]
+    )
+
+
+def land_raw_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source, raw = raw_folder(spark, sf_dir), scratch_dir(spark)
+    land_raw(spark, tbl_path(source, "lineitem"), raw, "lineitem")
+    return without_zone(read_raw(spark, raw, "lineitem"))
+
+
+def job_clean_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean_zone = scratch_dir(spark)
+    jobs.run_clean(spark, raw_folder(spark, sf_dir), clean_zone)
+    return without_zone(read_zone(spark, clean_zone, "orders", strict=True))
+
+
+def job_all_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land, clean, star and register; then the fact as a reader of the tables sees it."""
+    scratch = scratch_dir(spark)
+    database = f"starmart_{uuid.uuid4().hex}"
+    jobs.run_land(spark, raw_folder(spark, sf_dir), f"{scratch}/raw")
+    zones = [f"{scratch}/{zone}" for zone in ("raw", "clean", "star")]
+    jobs.run_all(spark, *zones, database, location=f"{scratch}/db", on_fail="return")
+    return without_zone(spark.table(f"{database}.fact_sales"))
+
+
+def job_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = f"{scratch_dir(spark)}/constraints"
+    return jobs.run_constraints(spark, raw_folder(spark, sf_dir), report)
+
+
 def published_database(spark: SparkSession, sf_dir: str) -> str:
-    """Clean zone, star zone and registered tables from the given tables."""
+    """Clean zone, star zone and registered tables from the given tables.
+
+    The database stays in the session's catalog, like its files in the scratch folder,
+    because the caller's DataFrame reads from it; DROP DATABASE ... CASCADE removes it.
+    """
     scratch = scratch_dir(spark)
     database = f"starmart_{uuid.uuid4().hex}"
     tables = clean.clean_tables(lambda t: table(spark, sf_dir, t))
@@ -292,7 +331,66 @@ def check_foreign_key(
     )
 
 
-# The composite key to the stand-in partsupp would hold by construction.
+def fk_violations_orders_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders without line items, as rows."""
+    orders, lines = (table(spark, sf_dir, t) for t in ("orders", "lineitem"))
+    return foreign_key_violations(orders, ["o_orderkey"], lines, ["l_orderkey"])
+
+
+def offers_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stand-in partsupp without a fifth of its pairs."""
+    offers = table(spark, sf_dir, "partsupp")
+    return offers.where((F.col("ps_partkey") + F.col("ps_suppkey")) % 5 != 0)
+
+
+def check_fk_lineitem_partsupp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return foreign_key_summary(
+        table(spark, sf_dir, "lineitem"),
+        "lineitem",
+        ["l_partkey", "l_suppkey"],
+        offers_with_gaps(spark, sf_dir),
+        "partsupp",
+        ["ps_partkey", "ps_suppkey"],
+    )
+
+
+def with_null_keys(df: DataFrame, key: str) -> DataFrame:
+    """NULL in place of every key that seven divides."""
+    return df.withColumn(key, F.when(F.col(key) % 7 != 0, F.col(key)))
+
+
+def fact_sales_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact with NULL join keys on both sides: they match nothing and survive."""
+    return star.fact_sales(
+        with_null_keys(clean_table(spark, sf_dir, "orders"), "o_orderkey"),
+        with_null_keys(clean_table(spark, sf_dir, "lineitem"), "l_orderkey"),
+    )
+
+
+def not_null_violations_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = with_null_keys(table(spark, sf_dir, "orders"), "o_custkey")
+    return not_null_violations(orders, ["o_orderkey", "o_custkey", "o_orderdate"])
+
+
+def twice(df: DataFrame) -> DataFrame:
+    return df.unionAll(df)
+
+
+def check_pk_customer_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    doubled = twice(table(spark, sf_dir, "customer"))
+    return primary_key_summary(doubled, "customer", ["c_custkey"])
+
+
+def dq_alert_rows_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report over customers that are there twice and a supplier table of no rows."""
+    tables = star_zone(spark, sf_dir)
+    tables["dim_customer"] = twice(tables["dim_customer"])
+    tables["dim_supplier"] = tables["dim_supplier"].where("supp_suppkey < 0")
+    return quality.alert_rows(tables, "corrected")
+
+
+# The composite key to the stand-in partsupp would hold by construction; it is checked
+# against one with gaps.
 CHECKED_FOREIGN_KEYS = [fk for fk in schemas.FOREIGN_KEYS if len(fk[1]) == 1]
 CHECKED_PRIMARY_KEYS = [t for t in schemas.PRIMARY_KEYS if t != "partsupp"]
 
@@ -357,8 +455,6 @@ def queries() -> dict[str, Query]:
         for name in schemas.STAR_TABLES
     }
     registered |= {
-        "fact_sales_salted": fact_sales_salted,
-        "dim_part_salted": dim_part_salted,
         "dq_sales_checks": dq_checks("fact_sales"),
         "dq_customer_checks": dq_checks("dim_customer"),
         "dq_supplier_checks": dq_checks("dim_supplier"),
@@ -372,6 +468,19 @@ def queries() -> dict[str, Query]:
         "job_quality_report": job_quality_report,
         "check_not_null": check_not_null,
         "pk_violations_lineitem": pk_violations_lineitem,
+        "land_raw_lineitem": land_raw_lineitem,
+        "job_clean_orders": job_clean_orders,
+        "job_all_fact_sales": job_all_fact_sales,
+        "job_constraints": job_constraints,
+        "fact_sales_null_keys": fact_sales_null_keys,
+        "dq_alert_rows_broken": dq_alert_rows_broken,
+        "not_null_violations_orders": not_null_violations_orders,
+        "check_pk_customer_twice": check_pk_customer_twice,
+        "check_fk_orders_lineitem": check_foreign_key(
+            "orders", ["o_orderkey"], "lineitem", ["l_orderkey"]
+        ),
+        "fk_violations_orders_lineitem": fk_violations_orders_lineitem,
+        "check_fk_lineitem_partsupp": check_fk_lineitem_partsupp,
     }
     registered |= {
         f"check_pk_{name}": check_primary_key(name) for name in CHECKED_PRIMARY_KEYS
@@ -394,6 +503,9 @@ def queries() -> dict[str, Query]:
 
 
 # --- the same results in SQL ----------------------------------------------------
+#
+# Table and column names, texts and keys are fixed values of the contract; they are
+# written out here, and nothing is taken from the library's own lists.
 
 PARTSUPP = """
     SELECT DISTINCT l_partkey AS ps_partkey, l_suppkey AS ps_suppkey FROM lineitem
@@ -474,39 +586,88 @@ STAR_SQL = {
 }
 
 
-def dq_checks_sql(name: str, key: str, unique: bool) -> str:
+def dq_checks_sql(source: str, key: str, unique: bool) -> str:
     distinct = f"count(DISTINCT {key}) AS {key}_unique," if unique else ""
     return f"""
         SELECT count({key}) AS {key}_count, {distinct}
                count(DISTINCT CASE WHEN {key} IS NULL THEN {key} END) AS {key}_null,
                count(*) FILTER (WHERE {key} IS NULL) AS {key}_null_rows
-        FROM ({STAR_SQL[name]})
+        FROM ({source})
     """
 
 
-def dq_alert_rows_sql(null_suffix: str) -> str:
-    branches = []
+# What the report checks, written out; the library has its own list.
+DQ_CHECKS_SQL = {
+    "dq_sales_checks": dq_checks_sql(
+        STAR_SQL["fact_sales"], "s_orderkey_linenumber", False
+    ),
+    "dq_customer_checks": dq_checks_sql(STAR_SQL["dim_customer"], "c_custkey", True),
+    "dq_supplier_checks": dq_checks_sql(STAR_SQL["dim_supplier"], "supp_suppkey", True),
+    "dq_part_checks": dq_checks_sql(STAR_SQL["dim_part"], "p_partkey_suppkey", False),
+}
 
-    def branch(condition: str, text: str, source: str) -> None:
-        branches.append(
-            f"SELECT {len(branches) + 1} AS check_no, "
-            f"CASE WHEN {condition} THEN {text} END AS alerts FROM {source}"
-        )
 
-    for name, key, unique, label in quality.SUBJECTS:
-        source = f"{label}_checks"
-        nulls = f"{key}_{null_suffix}"
-        branch(f"{key}_count = 0", f"'{label.capitalize()} data missing; '", source)
-        if unique:
-            duplicate = f"'Duplicate {label} primary key found; '"
-            branch(f"{key}_count != {key}_unique", duplicate, source)
-        found = f"{nulls}::VARCHAR || ' NULL {label} primary key found'"
-        branch(f"{nulls} != 0", found, source)
-    ctes = ", ".join(
-        f"{label}_checks AS ({dq_checks_sql(name, key, unique)})"
-        for name, key, unique, label in quality.SUBJECTS
-    )
-    return f"WITH {ctes} {' UNION ALL '.join(branches)}"
+def dq_alert_rows_sql(null: str, checks: dict[str, str] = DQ_CHECKS_SQL) -> str:
+    return f"""
+        WITH sales AS ({checks["dq_sales_checks"]}),
+             customer_keys AS ({checks["dq_customer_checks"]}),
+             supplier_keys AS ({checks["dq_supplier_checks"]}),
+             part_keys AS ({checks["dq_part_checks"]})
+        SELECT 1 AS check_no,
+               CASE WHEN s_orderkey_linenumber_count = 0
+                    THEN 'Sales data missing; ' END AS alerts
+        FROM sales
+        UNION ALL
+        SELECT 2, CASE WHEN s_orderkey_linenumber_{null} != 0
+                       THEN s_orderkey_linenumber_{null}::VARCHAR
+                            || ' NULL sales primary key found' END
+        FROM sales
+        UNION ALL
+        SELECT 3, CASE WHEN c_custkey_count = 0 THEN 'Customer data missing; ' END
+        FROM customer_keys
+        UNION ALL
+        SELECT 4, CASE WHEN c_custkey_count != c_custkey_unique
+                       THEN 'Duplicate customer primary key found; ' END
+        FROM customer_keys
+        UNION ALL
+        SELECT 5, CASE WHEN c_custkey_{null} != 0
+                       THEN c_custkey_{null}::VARCHAR
+                            || ' NULL customer primary key found' END
+        FROM customer_keys
+        UNION ALL
+        SELECT 6, CASE WHEN supp_suppkey_count = 0 THEN 'Supplier data missing; ' END
+        FROM supplier_keys
+        UNION ALL
+        SELECT 7, CASE WHEN supp_suppkey_count != supp_suppkey_unique
+                       THEN 'Duplicate supplier primary key found; ' END
+        FROM supplier_keys
+        UNION ALL
+        SELECT 8, CASE WHEN supp_suppkey_{null} != 0
+                       THEN supp_suppkey_{null}::VARCHAR
+                            || ' NULL supplier primary key found' END
+        FROM supplier_keys
+        UNION ALL
+        SELECT 9, CASE WHEN p_partkey_suppkey_count = 0
+                       THEN 'Part data missing; ' END
+        FROM part_keys
+        UNION ALL
+        SELECT 10, CASE WHEN p_partkey_suppkey_{null} != 0
+                        THEN p_partkey_suppkey_{null}::VARCHAR
+                             || ' NULL part primary key found' END
+        FROM part_keys
+    """
+
+
+BROKEN_CHECKS_SQL = DQ_CHECKS_SQL | {
+    "dq_customer_checks": dq_checks_sql(
+        f"FROM ({STAR_SQL['dim_customer']}) UNION ALL FROM ({STAR_SQL['dim_customer']})",
+        "c_custkey",
+        True,
+    ),
+    "dq_supplier_checks": dq_checks_sql(
+        f"FROM ({STAR_SQL['dim_supplier']}) WHERE supp_suppkey < 0", "supp_suppkey", True
+    ),
+}
 
 
 def dq_alert_summary_sql(null_suffix: str) -> str:
@@ -528,22 +689,70 @@ def dq_gate_sql(null_suffix: str, dataset: str) -> str:
     """
 
 
-# The declared NOT NULL columns that the given tables have.
+# The columns that must not be NULL, those that the given tables have and
+# those that they lack.
 GIVEN_COLUMNS = {
-    "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
-    "supplier": "s_suppkey s_name s_nationkey s_acctbal",
-    "nation": "n_nationkey n_name n_regionkey",
-    "region": "r_regionkey r_name",
-    "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
-    "partsupp": "ps_partkey ps_suppkey",
-    "orders": (
-        "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority"
-    ),
-    "lineitem": (
-        "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice "
-        "l_discount l_tax l_returnflag l_linestatus l_shipdate"
-    ),
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+    "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"],
+    "nation": ["n_nationkey", "n_name", "n_regionkey"],
+    "region": ["r_regionkey", "r_name"],
+    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+    "partsupp": ["ps_partkey", "ps_suppkey"],
+    "orders": [
+        "o_orderkey",
+        "o_custkey",
+        "o_orderstatus",
+        "o_totalprice",
+        "o_orderdate",
+        "o_orderpriority",
+    ],
+    "lineitem": [
+        "l_orderkey",
+        "l_partkey",
+        "l_suppkey",
+        "l_linenumber",
+        "l_quantity",
+        "l_extendedprice",
+        "l_discount",
+        "l_tax",
+        "l_returnflag",
+        "l_linestatus",
+        "l_shipdate",
+    ],
+}
+ABSENT_COLUMNS = {
+    "customer": ["c_address", "c_phone", "c_comment"],
+    "supplier": ["s_address", "s_phone", "s_comment"],
+    "part": ["p_mfgr", "p_container", "p_comment"],
+    "partsupp": ["ps_availqty", "ps_supplycost", "ps_comment"],
+    "orders": ["o_clerk", "o_shippriority", "o_comment"],
+    "lineitem": [
+        "l_commitdate",
+        "l_receiptdate",
+        "l_shipinstruct",
+        "l_shipmode",
+        "l_comment",
+    ],
+}
+PRIMARY_KEYS_SQL = {
+    "nation": "n_nationkey",
+    "region": "r_regionkey",
+    "part": "p_partkey",
+    "supplier": "s_suppkey",
+    "partsupp": "ps_partkey, ps_suppkey",
+    "customer": "c_custkey",
+    "orders": "o_orderkey",
+    "lineitem": "l_orderkey, l_linenumber",
 }
+FOREIGN_KEYS_SQL = [
+    ("nation", "n_regionkey", "region", "r_regionkey"),
+    ("supplier", "s_nationkey", "nation", "n_nationkey"),
+    ("partsupp", "ps_suppkey", "supplier", "s_suppkey"),
+    ("partsupp", "ps_partkey", "part", "p_partkey"),
+    ("customer", "c_nationkey", "nation", "n_nationkey"),
+    ("orders", "o_custkey", "customer", "c_custkey"),
+    ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+]
 
 
 def given(name: str) -> str:
@@ -555,24 +764,24 @@ def check_not_null_sql() -> str:
         f"SELECT '{name}' AS table_name, 'not_null({column})' AS check_name, "
         f"count(*) FILTER (WHERE {column} IS NULL) AS violations FROM {given(name)}"
         for name, columns in GIVEN_COLUMNS.items()
-        for column in columns.split()
+        for column in columns
     )
 
 
-def pk_violations_sql(name: str) -> str:
-    key = ", ".join(schemas.PRIMARY_KEYS[name])
-    not_null = " AND ".join(f"{k} IS NOT NULL" for k in schemas.PRIMARY_KEYS[name])
+def pk_violations_sql(name: str, source: str | None = None) -> str:
+    key = PRIMARY_KEYS_SQL[name]
+    not_null = " AND ".join(f"{k} IS NOT NULL" for k in key.split(", "))
     return (
-        f"SELECT {key}, count(*) AS n_rows FROM {given(name)} WHERE {not_null} "
-        f"GROUP BY {key} HAVING count(*) > 1"
+        f"SELECT {key}, count(*) AS n_rows FROM {source or given(name)} "
+        f"WHERE {not_null} GROUP BY {key} HAVING count(*) > 1"
     )
 
 
-def check_pk_sql(name: str) -> str:
-    key = ", ".join(schemas.PRIMARY_KEYS[name])
+def check_pk_sql(name: str, source: str | None = None) -> str:
     return (
-        f"SELECT '{name}' AS table_name, 'primary_key({key})' AS check_name, "
-        f"count(*) AS violations FROM ({pk_violations_sql(name)})"
+        f"SELECT '{name}' AS table_name, "
+        f"'primary_key({PRIMARY_KEYS_SQL[name]})' AS check_name, "
+        f"count(*) AS violations FROM ({pk_violations_sql(name, source)})"
     )
 
 
@@ -586,6 +795,85 @@ def check_fk_sql(child: str, child_key: str, parent: str, parent_key: str) -> st
     )
 
 
+def job_constraints_sql() -> str:
+    # Columns that the given tables lack are empty fields in every line of text.
+    absent = [
+        f"SELECT '{name}' AS table_name, 'not_null({column})' AS check_name, "
+        f"count(*) AS violations FROM {given(name)}"
+        for name, columns in ABSENT_COLUMNS.items()
+        for column in columns
+    ]
+    offers = """
+        SELECT 'lineitem' AS table_name,
+               'foreign_key(l_partkey, l_suppkey -> partsupp)' AS check_name,
+               CAST(0 AS BIGINT) AS violations
+    """
+    return " UNION ALL ".join(
+        [
+            check_not_null_sql(),
+            *absent,
+            *[check_pk_sql(name) for name in PRIMARY_KEYS_SQL],
+            *[check_fk_sql(*key) for key in FOREIGN_KEYS_SQL],
+            offers,
+        ]
+    )
+
+
+RAW_ORDERS_SQL = """
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+           CAST(year(o_orderdate) AS INTEGER) AS o_year,
+           strftime(o_orderdate, '%b') AS o_month, o_orderpriority,
+           CAST(NULL AS VARCHAR) AS o_clerk, CAST(NULL AS INTEGER) AS o_shippriority,
+           CAST(NULL AS VARCHAR) AS o_comment
+    FROM orders
+"""
+RAW_LINEITEM_SQL = """
+    SELECT l_orderkey, l_partkey, l_suppkey,
+           CAST(l_linenumber AS BIGINT) AS l_linenumber,
+           CAST(l_quantity AS INTEGER) AS l_quantity, l_extendedprice, l_discount,
+           l_tax, l_returnflag, l_linestatus, l_shipdate,
+           CAST(NULL AS TIMESTAMP) AS l_commitdate,
+           CAST(NULL AS TIMESTAMP) AS l_receiptdate,
+           CAST(NULL AS VARCHAR) AS l_shipinstruct, CAST(NULL AS VARCHAR) AS l_shipmode,
+           CAST(NULL AS VARCHAR) AS l_comment, l_orderkey AS l_id
+    FROM lineitem
+"""
+JOB_FACT_SALES_SQL = f"""
+    SELECT coalesce(o_orderkey, l_orderkey)::VARCHAR || l_linenumber::VARCHAR
+               AS s_orderkey_linenumber,
+           coalesce(o_orderkey, l_orderkey) AS s_orderkey, o_custkey AS s_custkey,
+           l_suppkey AS s_suppkey, o_orderstatus AS s_orderstatus,
+           o_totalprice AS s_totalprice, o_orderdate AS s_orderdate, o_year AS s_year,
+           o_month AS s_month, o_orderpriority AS s_orderpriority, o_clerk AS s_clerk,
+           o_shippriority AS s_shippriority, o_comment AS s_o_comment, l_id AS s_id,
+           l_linenumber AS s_linenumber, l_quantity AS s_quantity,
+           l_extendedprice AS s_extendedprice, l_discount AS s_discount, l_tax AS s_tax,
+           l_extendedprice - l_discount - l_tax AS s_revenue,
+           l_returnflag AS s_returnflag, l_linestatus AS s_linestatus,
+           l_commitdate AS s_commitdate, l_shipdate AS s_shipdate,
+           l_receiptdate AS s_receiptdate, l_shipinstruct AS s_shipinstruct,
+           l_shipmode AS s_shipmode, l_comment AS s_l_comment
+    FROM ({RAW_ORDERS_SQL}) FULL JOIN ({RAW_LINEITEM_SQL}) ON o_orderkey = l_orderkey
+"""
+NULL_KEYS_SQL = f"""
+    WITH o AS (SELECT * REPLACE (CASE WHEN o_orderkey % 7 != 0 THEN o_orderkey END
+                                 AS o_orderkey) FROM ({CLEAN_SQL["orders"]})),
+         l AS (SELECT * REPLACE (CASE WHEN l_orderkey % 7 != 0 THEN l_orderkey END
+                                 AS l_orderkey) FROM ({CLEAN_SQL["lineitem"]}))
+    SELECT coalesce(o_orderkey, l_orderkey)::VARCHAR || l_linenumber::VARCHAR
+               AS s_orderkey_linenumber,
+           coalesce(o_orderkey, l_orderkey) AS s_orderkey, o_custkey AS s_custkey,
+           l_ps_id AS s_suppkey, o_orderstatus AS s_orderstatus,
+           o_totalprice AS s_totalprice, o_orderdate AS s_orderdate, o_year AS s_year,
+           o_month AS s_month, o_orderpriority AS s_orderpriority,
+           l_linenumber AS s_linenumber, l_quantity AS s_quantity,
+           l_extendedprice AS s_extendedprice, l_discount AS s_discount, l_tax AS s_tax,
+           l_revenue AS s_revenue, l_returnflag AS s_returnflag,
+           l_linestatus AS s_linestatus, l_shipdate AS s_shipdate
+    FROM o FULL JOIN l ON o_orderkey = l_orderkey
+"""
+
+
 REVENUE_BY_REGION_YEAR_SQL = f"""
     SELECT c_r_name, s_year, round(sum(s_revenue), 2) AS revenue,
            CAST(count(s_linenumber) AS BIGINT) AS n_lines
@@ -635,11 +923,7 @@ def oracle_sql() -> dict[str, str]:
     }
     sql |= {f"clean_{name}": text for name, text in CLEAN_SQL.items()}
     sql |= STAR_SQL
-    sql |= {f"{n}_salted": STAR_SQL[n] for n in ("fact_sales", "dim_part")}
-    sql |= {
-        f"dq_{label}_checks": dq_checks_sql(name, key, unique)
-        for name, key, unique, label in quality.SUBJECTS
-    }
+    sql |= DQ_CHECKS_SQL
     sql |= {
         "dq_alert_rows": dq_alert_rows_sql("null"),
         "dq_alert_rows_corrected": dq_alert_rows_sql("null_rows"),
@@ -651,12 +935,42 @@ def oracle_sql() -> dict[str, str]:
         "check_not_null": check_not_null_sql(),
         "pk_violations_lineitem": pk_violations_sql("lineitem"),
     }
-    sql |= {f"check_pk_{name}": check_pk_sql(name) for name in CHECKED_PRIMARY_KEYS}
     sql |= {
-        f"check_fk_{child}_{parent}": check_fk_sql(
-            child, child_key[0], parent, parent_key[0]
-        )
-        for child, child_key, parent, parent_key in CHECKED_FOREIGN_KEYS
+        f"check_pk_{name}": check_pk_sql(name)
+        for name in PRIMARY_KEYS_SQL
+        if name != "partsupp"
+    }
+    sql |= {f"check_fk_{key[0]}_{key[2]}": check_fk_sql(*key) for key in FOREIGN_KEYS_SQL}
+    sql |= {
+        "land_raw_lineitem": RAW_LINEITEM_SQL,
+        "job_clean_orders": RAW_ORDERS_SQL,
+        "job_all_fact_sales": JOB_FACT_SALES_SQL,
+        "job_constraints": job_constraints_sql(),
+        "fact_sales_null_keys": NULL_KEYS_SQL,
+        "dq_alert_rows_broken": dq_alert_rows_sql("null_rows", BROKEN_CHECKS_SQL),
+        "not_null_violations_orders": """
+            SELECT * REPLACE (CASE WHEN o_custkey % 7 != 0 THEN o_custkey END AS o_custkey)
+            FROM orders
+            WHERE o_custkey % 7 = 0 OR o_custkey IS NULL OR o_orderkey IS NULL
+               OR o_orderdate IS NULL
+        """,
+        "check_pk_customer_twice": check_pk_sql(
+            "customer", "(FROM customer UNION ALL FROM customer)"
+        ),
+        "check_fk_orders_lineitem": check_fk_sql(
+            "orders", "o_orderkey", "lineitem", "l_orderkey"
+        ),
+        "fk_violations_orders_lineitem": """
+            SELECT * FROM orders
+            WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
+        """,
+        "check_fk_lineitem_partsupp": f"""
+            SELECT 'lineitem' AS table_name,
+                   'foreign_key(l_partkey, l_suppkey -> partsupp)' AS check_name,
+                   count(*) AS violations
+            FROM lineitem
+            WHERE (l_partkey + l_suppkey) % 5 = 0
+        """,
     }
     sql |= {
         "mart_revenue_by_region_year": REVENUE_BY_REGION_YEAR_SQL,

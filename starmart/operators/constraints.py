@@ -10,11 +10,9 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.operators.joins import is_small
-
 
 def _summary(table: str, check: str, violations: Column) -> list[Column]:
     return [
@@ -44,6 +42,16 @@ def not_null_summary(df: DataFrame, table: str, columns: Sequence[str]) -> DataF
     )
 
 
+def absent_summary(
+    spark: SparkSession, table: str, columns: Sequence[str]
+) -> DataFrame:
+    """A violation for each column that a table should have and lacks."""
+    rows = [(table, f"present({name})", 1) for name in columns]
+    return spark.createDataFrame(
+        rows, "table_name string, check_name string, violations bigint"
+    )
+
+
 def _with_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.where(reduce(and_, [F.col(name).isNotNull() for name in key]))
 
@@ -96,12 +104,10 @@ def foreign_key_violations(
 ) -> DataFrame:
     """Child rows whose key is unknown to the parent; a NULL key is no violation.
 
-    The unknown keys are found first. As long as they are few they are broadcast and
-    the child is filtered without a shuffle.
+    The unknown keys are found first. Spark broadcasts them as long as they are few, so
+    that the child is filtered without a shuffle, and splits a hot key otherwise.
     """
     unknown = _orphan_keys(child, child_key, parent, parent_key).select(*child_key)
-    if is_small(unknown):
-        unknown = F.broadcast(unknown)
     return child.join(unknown, list(child_key), "left_semi")
 
 

@@ -1,154 +1,24 @@
-"""The one join the star schema needs: full outer on one key.
-
-Spark can neither broadcast a side of a full outer join nor split one of its skewed
-partitions, so both are arranged for here, with the same result as
-``many.join(one, key, "outer")``: NULL keys match nothing and survive on both sides,
-duplicate keys multiply.
-"""
+"""The one join the star schema needs: full outer on one key."""
 
 from __future__ import annotations
 
-from typing import Any
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
-
-# What counts as small enough to send to every executor.
-SMALL_ROWS = 1_000
-SMALL_BYTES = 4 * 1024 * 1024
 
-# A key with more rows than this is dealt out over several join groups. At most
-# MAX_HOT keys per side are, the most frequent ones first; the rest is joined as it is.
-HOT_ROWS = 1_000_000
-MAX_HOT = 10_000
 
-
-def full_outer(
-    many: DataFrame,
-    one: DataFrame,
-    key: str,
-    small: bool | None = None,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def full_outer(many: DataFrame, one: DataFrame, key: str) -> DataFrame:
     """Full outer join of a foreign-key side ``many`` and a primary-key side ``one``.
 
-    ``small`` tells whether ``one`` may be broadcast; left out, its size is checked.
-    Otherwise both sides are shuffled once: plainly if no key has more than
-    ``hot_rows`` rows on a side, else salted.
-    """
-    if is_small(one) if small is None else small:
-        return broadcast_full_outer(many, one, key)
-    hot_many, hot_one = hot_keys(many, key, hot_rows), hot_keys(one, key, hot_rows)
-    if hot_many or hot_one:
-        return salted_full_outer(many, one, key, hot_many, hot_one)
-    return many.join(one, key, "outer")
-
+    Spark can neither broadcast a side of a full outer join nor split its skewed
+    partitions. A left join and an anti join together give the same rows, and it can do
+    both for them by the sizes it meets at run time: a small ``one`` is broadcast and
+    ``many`` not shuffled; a key with very many rows in ``many`` is split over tasks.
+    The anti join reads the key column of ``many`` alone, as distinct keys.
 
-def is_small(df: DataFrame) -> bool:
-    """Whether a frame is within the bounds for a broadcast.
-
-    Fetches the sizes of at most ``SMALL_ROWS + 1`` rows; on a large frame the first
-    partition already settles it.
-    """
-    size = F.octet_length(F.to_json(F.struct("*")))
-    sizes = [row[0] for row in df.select(size).take(SMALL_ROWS + 1)]
-    return len(sizes) <= SMALL_ROWS and sum(sizes) <= SMALL_BYTES
-
-
-def broadcast_full_outer(many: DataFrame, one: DataFrame, key: str) -> DataFrame:
-    """For a small ``one``: a broadcast left join, plus the rows only ``one`` has.
-
-    ``many`` is never shuffled. The second half reads nothing but its key column,
-    reduced to distinct keys before the shuffle.
+    NULL keys match nothing and survive on both sides; duplicate keys multiply. A key
+    with very many rows in ``one``, which breaks that table's contract, is not split.
     """
-    matched = many.join(F.broadcast(one), key, "left")
+    matched = many.join(one, key, "left")
     seen = many.select(key).where(F.col(key).isNotNull()).distinct()
     unmatched = one.join(seen, key, "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)
-
-
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> dict[Any, int]:
-    """The keys (None included) with more than ``hot_rows`` rows, and their splits.
-
-    The splits are the number of groups to deal the rows out over. They come from a
-    statistics pass over the key column alone, run when the join is built. Counts are
-    exact and combined before the shuffle; at most ``MAX_HOT`` rows come back. No key
-    can have more rows than the table, whose number Parquet gives without reading any
-    column.
-    """
-    if df.count() <= hot_rows:
-        return {}
-    counts = df.groupBy(key).agg(F.count("*").alias("n_rows"))
-    hot = (
-        counts.where(F.col("n_rows") > hot_rows)
-        .orderBy(F.desc("n_rows"))
-        .limit(MAX_HOT)
-        .select(key, F.ceil(F.col("n_rows") / hot_rows).cast("int"))
-    )
-    return dict(map(tuple, hot.collect()))
-
-
-def salted_full_outer(
-    many: DataFrame,
-    one: DataFrame,
-    key: str,
-    hot_many: dict[Any, int],
-    hot_one: dict[Any, int],
-) -> DataFrame:
-    """Full outer join on the key and one salt per side.
-
-    A side deals the rows of its own hot keys out over its salt, and repeats the rows
-    of the other side's hot keys once per salt of that side. So every pair of rows
-    meets exactly once, and keys that are hot nowhere have the single salt 0.
-
-    A repeated row can end up alone where its partner's salt stayed empty. It is
-    dropped there: its key does occur on the other side, or it would not be hot, so
-    the row is joined elsewhere. Rows without any partner are never repeated.
-
-    The salt is the task's partition number. Unlike a random number it is the same
-    when a lost task runs again, and unlike a hash it separates exact copies. NULL
-    keys, which match nothing, are spread by it over all partitions.
-    """
-    keys = many.select(key).union(one.select(key)).schema.fields
-    schema = StructType(
-        [*keys, *[StructField(f"__splits_{s}", IntegerType()) for s in ("many", "one")]]
-    )
-    rows = [(k, hot_many.get(k), hot_one.get(k)) for k in {**hot_many, **hot_one}]
-    # Bounded: at most MAX_HOT rows per side.
-    splits = F.broadcast(many.sparkSession.createDataFrame(rows, schema))
-
-    joined = _deal(many, key, splits, "many", "one", bool(hot_one)).join(
-        _deal(one, key, splits, "one", "many", bool(hot_many)),
-        [key, "__salt_many", "__salt_one"],
-        "outer",
-    )
-    has_many, has_one = F.col("__has_many"), F.col("__has_one")
-    real = (has_one | F.col("__splits_one").isNull()) & (
-        has_many | F.col("__splits_many").isNull()
-    )
-    helpers = [c for c in joined.columns if c.startswith("__")]
-    return (
-        joined.fillna(False, ["__has_many", "__has_one"]).where(real).drop(*helpers)
-    )
-
-
-def _deal(
-    df: DataFrame, key: str, splits: DataFrame, own: str, other: str, repeat: bool
-) -> DataFrame:
-    """One side of the salted join: dealt out by its salt, repeated for the other."""
-    task = F.spark_partition_id()
-    own_splits, other_splits = F.col(f"__splits_{own}"), F.col(f"__splits_{other}")
-    salt = (
-        F.when(F.col(key).isNull(), task)
-        .when(own_splits.isNotNull(), F.pmod(task, own_splits))
-        .otherwise(F.lit(0))
-    )
-    every = F.sequence(F.lit(0), F.coalesce(other_splits, F.lit(1)) - 1)
-    return (
-        df.join(splits, key, "left")
-        .withColumn(f"__salt_{own}", salt)
-        .withColumn(f"__salt_{other}", F.explode(every) if repeat else F.lit(0))
-        .withColumn(f"__has_{own}", F.lit(True))
-        .drop(f"__splits_{own}")
-    )

@@ -10,11 +10,24 @@ import argparse
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from starmart.operators import (
+    absent_summary,
+    foreign_key_summary,
+    not_null_summary,
+    primary_key_summary,
+)
 from starmart.plans.clean import clean_tables
 from starmart.plans.quality import alert_rows, alert_summary, gate
 from starmart.plans.star import star_tables
-from starmart.schemas import STAR_TABLES, TABLES
+from starmart.schemas import (
+    FOREIGN_KEYS,
+    NOT_NULL,
+    PRIMARY_KEYS,
+    STAR_TABLES,
+    TABLES,
+)
 from starmart.session import get_session
 from starmart.sources import (
     create_database,
@@ -28,6 +41,7 @@ from starmart.sources import (
 from starmart.sources.zones import zone_path
 
 PARTITIONS = {"fact_sales": ["s_year"]}
+REJECT_COLUMN = "rejected_line"
 
 
 def write_tables(tables: Mapping[str, DataFrame], zone: str) -> None:
@@ -42,20 +56,35 @@ def run_land(spark: SparkSession, source: str, raw: str) -> None:
 
 
 def run_clean(
-    spark: SparkSession, raw: str, clean: str, lineitem_layout: str = "stock"
+    spark: SparkSession,
+    raw: str,
+    clean: str,
+    lineitem_layout: str = "stock",
+    strict: bool = True,
+    rejects: str | None = None,
 ) -> None:
-    """Raw text zone to clean Parquet zone."""
+    """Raw text zone to clean Parquet zone.
+
+    With ``rejects``, a folder, the lines of each table that do not parse whole are
+    written there, as Parquet with what could be read of them; their rows stay in the
+    clean zone, with NULLs.
+    """
     tables = clean_tables(
-        lambda table: read_raw(spark, raw, table, lineitem_layout), strict=True
+        lambda table: read_raw(spark, raw, table, lineitem_layout), strict
     )
     write_tables(tables, clean)
+    for table in TABLES if rejects else ():
+        read = read_raw(
+            spark, raw, table, lineitem_layout, corrupt_column=REJECT_COLUMN
+        )
+        write_zone(read.where(F.col(REJECT_COLUMN).isNotNull()), rejects, table)
 
 
 def run_star(
     spark: SparkSession, clean: str, star: str, strict: bool = True
 ) -> None:
     """Clean zone to star zone."""
-    tables = star_tables(lambda table: read_zone(spark, clean, table), strict)
+    tables = star_tables(lambda table: read_zone(spark, clean, table, strict), strict)
     write_tables(tables, star)
 
 
@@ -65,7 +94,8 @@ def run_register(
     """Publish the star zone as external tables of a database."""
     create_database(spark, database, location)
     for table in STAR_TABLES:
-        register_table(spark, database, table, zone_path(star, table))
+        path = zone_path(star, table)
+        register_table(spark, database, table, path, PARTITIONS.get(table, ()))
 
 
 def run_quality(
@@ -79,6 +109,44 @@ def run_quality(
     return gate(alert_summary(alert_rows(star, nulls)), database, on_fail)
 
 
+def constraint_summary(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per declared constraint: (table_name, check_name, violations).
+
+    A column that must not be NULL but is absent counts as one violation of
+    ``present(column)``. Keys of which a column is absent are not checked.
+    """
+    parts = []
+    for table, df in tables.items():
+        present = [c for c in NOT_NULL[table] if c in df.columns]
+        parts.append(not_null_summary(df, table, present))
+        absent = [c for c in NOT_NULL[table] if c not in df.columns]
+        if absent:
+            parts.append(absent_summary(df.sparkSession, table, absent))
+        key = PRIMARY_KEYS[table]
+        if set(key) <= set(df.columns):
+            parts.append(primary_key_summary(df, table, key))
+    for child, child_key, parent, parent_key in FOREIGN_KEYS:
+        if child in tables and parent in tables:
+            one, other = tables[child], tables[parent]
+            if set(child_key) <= set(one.columns) and set(parent_key) <= set(other.columns):
+                parts.append(
+                    foreign_key_summary(one, child, child_key, other, parent, parent_key)
+                )
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
+def run_constraints(
+    spark: SparkSession, raw: str, report: str, lineitem_layout: str = "stock"
+) -> DataFrame:
+    """Checks the raw zone; writes and returns one summary table."""
+    tables = {table: read_raw(spark, raw, table, lineitem_layout) for table in TABLES}
+    constraint_summary(tables).coalesce(1).write.mode("overwrite").parquet(report)
+    return spark.read.parquet(report)
+
+
 def run_all(
     spark: SparkSession,
     raw: str,
@@ -87,18 +155,23 @@ def run_all(
     database: str,
     lineitem_layout: str = "stock",
     location: str | None = None,
+    nulls: str = "literal",
+    on_fail: str = "raise",
+    strict: bool = True,
+    rejects: str | None = None,
 ) -> DataFrame:
     """The whole chain; returns the gate for the caller to evaluate."""
-    run_clean(spark, raw, clean, lineitem_layout)
-    run_star(spark, clean, star)
+    run_clean(spark, raw, clean, lineitem_layout, strict, rejects)
+    run_star(spark, clean, star, strict)
     run_register(spark, star, database, location)
-    return run_quality(spark, database)
+    return run_quality(spark, database, nulls, on_fail)
 
 
 def main(argv: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="starmart")
     parser.add_argument(
-        "job", choices=["land", "clean", "star", "register", "quality", "all"]
+        "job",
+        choices=["land", "clean", "star", "register", "quality", "constraints", "all"],
     )
     parser.add_argument("--source", help="folder with the text tables to land")
     parser.add_argument("--raw")
@@ -111,13 +184,24 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument(
         "--lineitem-layout", default="stock", choices=["stock", "named"]
     )
+    parser.add_argument(
+        "--nulls",
+        default="literal",
+        choices=["literal", "corrected"],
+        help="how NULL keys are counted in the quality report",
+    )
+    parser.add_argument("--on-fail", default="raise", choices=["raise", "return"])
+    parser.add_argument("--rejects", help="folder for lines that do not parse")
+    parser.add_argument("--report", help="folder for the summary of constraints")
     args = parser.parse_args(argv)
     spark = get_session()
     report = None
     if args.job == "land":
         run_land(spark, args.source, args.raw)
     elif args.job == "clean":
-        run_clean(spark, args.raw, args.clean, args.lineitem_layout)
+        run_clean(
+            spark, args.raw, args.clean, args.lineitem_layout, rejects=args.rejects
+        )
     elif args.job == "star":
         run_star(spark, args.clean, args.star)
     elif args.job == "register":
@@ -125,7 +209,11 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif args.job == "quality":
         if args.star:
             run_register(spark, args.star, args.database, args.location)
-        report = run_quality(spark, args.database)
+        report = run_quality(spark, args.database, args.nulls, args.on_fail)
+    elif args.job == "constraints":
+        run_constraints(spark, args.raw, args.report, args.lineitem_layout).show(
+            100, truncate=False
+        )
     else:
         report = run_all(
             spark,
@@ -135,6 +223,9 @@ def main(argv: Sequence[str] | None = None) -> None:
             args.database,
             args.lineitem_layout,
             args.location,
+            args.nulls,
+            args.on_fail,
+            rejects=args.rejects,
         )
     if report is not None:
         print(report.first())

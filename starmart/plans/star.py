@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions import surrogate_key
-from starmart.operators import contract, full_outer, is_small, prefix_rename
-from starmart.operators.joins import HOT_ROWS
+from starmart.operators import contract, full_outer, prefix_rename
 from starmart.schemas import STAR_COLUMNS
 
 
@@ -19,7 +18,6 @@ def fact_sales(
     lineitem: DataFrame,
     strict: bool = False,
     with_partkey: bool = False,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Clean orders and line items joined on the order key, one row per line item.
 
@@ -32,9 +30,7 @@ def fact_sales(
     sales_line = prefix_rename(lineitem, "l_", "s_").withColumnsRenamed(
         {"s_comment": "s_l_comment", "s_ps_id": "s_suppkey"}
     )
-    joined = full_outer(
-        sales_line, sales_order, "s_orderkey", small=False, hot_rows=hot_rows
-    )
+    joined = full_outer(sales_line, sales_order, "s_orderkey")
     sales = joined.withColumn(
         "s_orderkey_linenumber",
         surrogate_key(F.col("s_orderkey"), F.col("s_linenumber")),
@@ -43,21 +39,13 @@ def fact_sales(
     return contract(sales, columns, strict)
 
 
-def geography(
-    nation: DataFrame, region: DataFrame, small: bool | None = None
-) -> DataFrame:
-    """Nations with their regions, under neutral names; shared by two dimensions.
-
-    Two tables known to be small need no preparation for their join.
-    """
+def geography(nation: DataFrame, region: DataFrame) -> DataFrame:
+    """Nations with their regions, under neutral names; shared by two dimensions."""
     nations = nation.withColumnsRenamed(
         {"n_nationkey": "nationkey", "n_regionkey": "regionkey"}
     )
     regions = region.withColumnsRenamed({"r_regionkey": "regionkey"})
-    if small:
-        joined = nations.join(regions, "regionkey", "outer")
-    else:
-        joined = full_outer(nations, regions, "regionkey", small)
+    joined = full_outer(nations, regions, "regionkey")
     return contract(
         joined, ["nationkey", "n_name", "n_comment", "regionkey", "r_name", "r_comment"]
     )
@@ -66,14 +54,9 @@ def geography(
 def _with_geography(
     df: DataFrame, nation: DataFrame, region: DataFrame, prefix: str
 ) -> DataFrame:
-    """Full outer join to the geography, whose columns take the dimension's prefix.
-
-    The geography is small when both of its tables are: their bounds also limit
-    what they can become in the join.
-    """
-    small = is_small(nation) and is_small(region)
-    places = prefix_rename(geography(nation, region, small), "", prefix)
-    return full_outer(df, places, f"{prefix}nationkey", small)
+    """Full outer join to the geography, whose columns take the dimension's prefix."""
+    places = prefix_rename(geography(nation, region), "", prefix)
+    return full_outer(df, places, f"{prefix}nationkey")
 
 
 def dim_customer(
@@ -94,14 +77,11 @@ def dim_supplier(
 
 
 def dim_part(
-    part: DataFrame,
-    partsupp: DataFrame,
-    strict: bool = False,
-    hot_rows: int = HOT_ROWS,
+    part: DataFrame, partsupp: DataFrame, strict: bool = False
 ) -> DataFrame:
     """Parts with their suppliers; parts without supplier and the reverse are kept."""
     offers = partsupp.drop("ps_id").withColumnRenamed("ps_partkey", "p_partkey")
-    joined = full_outer(offers, part, "p_partkey", small=False, hot_rows=hot_rows)
+    joined = full_outer(offers, part, "p_partkey")
     keyed = joined.withColumn(
         "p_partkey_suppkey", surrogate_key(F.col("p_partkey"), F.col("ps_suppkey"))
     )

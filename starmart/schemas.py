@@ -1,7 +1,8 @@
 """Table contracts: raw layouts, output columns and declared constraints.
 
 Everything in this module is a fixed value. Raw files have no header and are
-read by position, so the order of the fields matters as much as their types.
+read by position, so the order of the fields matters as much as their types. Keys are
+long: at a few hundred GB, order keys pass the range of an integer.
 """
 
 from __future__ import annotations
@@ -16,6 +17,9 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+LONG, INT, DOUBLE = LongType(), IntegerType(), DoubleType()
+STRING, TIMESTAMP = StringType(), TimestampType()
+
 TABLES = (
     "customer",
     "supplier",
@@ -28,119 +32,265 @@ TABLES = (
 )
 STAR_TABLES = ("fact_sales", "dim_customer", "dim_supplier", "dim_part")
 
-_LINEITEM_TAIL = """
-    l_linenumber BIGINT, l_quantity INT, l_extendedprice DOUBLE, l_discount DOUBLE,
-    l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP,
-    l_commitdate TIMESTAMP, l_receiptdate TIMESTAMP, l_shipinstruct STRING,
-    l_shipmode STRING, l_comment STRING
-"""
+_LINEITEM_TAIL = [
+    ("l_linenumber", LONG),
+    ("l_quantity", INT),
+    ("l_extendedprice", DOUBLE),
+    ("l_discount", DOUBLE),
+    ("l_tax", DOUBLE),
+    ("l_returnflag", STRING),
+    ("l_linestatus", STRING),
+    ("l_shipdate", TIMESTAMP),
+    ("l_commitdate", TIMESTAMP),
+    ("l_receiptdate", TIMESTAMP),
+    ("l_shipinstruct", STRING),
+    ("l_shipmode", STRING),
+    ("l_comment", STRING),
+]
 
 _RAW_FIELDS = {
-    "customer": """
-        c_custkey INT, c_name STRING, c_address STRING, c_nationkey INT, c_phone STRING,
-        c_acctbal DOUBLE, c_mktsegment STRING, c_comment STRING
-    """,
-    "supplier": """
-        s_suppkey INT, s_name STRING, s_address STRING, s_nationkey INT, s_phone STRING,
-        s_acctbal DOUBLE, s_comment STRING
-    """,
-    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT, n_comment STRING",
-    "region": "r_regionkey INT, r_name STRING, r_comment STRING",
-    "part": """
-        p_partkey INT, p_name STRING, p_mfgr STRING, p_brand STRING, p_type STRING,
-        p_size INT, p_container STRING, p_retailprice DOUBLE, p_comment STRING
-    """,
-    "partsupp": """
-        ps_partkey INT, ps_suppkey INT, ps_availqty INT, ps_supplycost DOUBLE,
-        ps_comment STRING
-    """,
-    "orders": """
-        o_orderkey INT, o_custkey INT, o_orderstatus STRING, o_totalprice DOUBLE,
-        o_orderdate TIMESTAMP, o_orderpriority STRING, o_clerk STRING,
-        o_shippriority INT, o_comment STRING
-    """,
+    "customer": [
+        ("c_custkey", LONG),
+        ("c_name", STRING),
+        ("c_address", STRING),
+        ("c_nationkey", LONG),
+        ("c_phone", STRING),
+        ("c_acctbal", DOUBLE),
+        ("c_mktsegment", STRING),
+        ("c_comment", STRING),
+    ],
+    "supplier": [
+        ("s_suppkey", LONG),
+        ("s_name", STRING),
+        ("s_address", STRING),
+        ("s_nationkey", LONG),
+        ("s_phone", STRING),
+        ("s_acctbal", DOUBLE),
+        ("s_comment", STRING),
+    ],
+    "nation": [
+        ("n_nationkey", LONG),
+        ("n_name", STRING),
+        ("n_regionkey", LONG),
+        ("n_comment", STRING),
+    ],
+    "region": [("r_regionkey", LONG), ("r_name", STRING), ("r_comment", STRING)],
+    "part": [
+        ("p_partkey", LONG),
+        ("p_name", STRING),
+        ("p_mfgr", STRING),
+        ("p_brand", STRING),
+        ("p_type", STRING),
+        ("p_size", INT),
+        ("p_container", STRING),
+        ("p_retailprice", DOUBLE),
+        ("p_comment", STRING),
+    ],
+    "partsupp": [
+        ("ps_partkey", LONG),
+        ("ps_suppkey", LONG),
+        ("ps_availqty", INT),
+        ("ps_supplycost", DOUBLE),
+        ("ps_comment", STRING),
+    ],
+    "orders": [
+        ("o_orderkey", LONG),
+        ("o_custkey", LONG),
+        ("o_orderstatus", STRING),
+        ("o_totalprice", DOUBLE),
+        ("o_orderdate", TIMESTAMP),
+        ("o_orderpriority", STRING),
+        ("o_clerk", STRING),
+        ("o_shippriority", INT),
+        ("o_comment", STRING),
+    ],
 }
 
 # The first three line-item fields have two readings. "stock" is the order of the
 # public benchmark generator; "named" is for files that carry a line id first.
 LINEITEM_LAYOUTS = {
-    "stock": "l_orderkey INT, l_partkey INT, l_suppkey INT," + _LINEITEM_TAIL,
-    "named": "l_id INT, l_orderkey INT, l_ps_id INT," + _LINEITEM_TAIL,
+    "stock": [("l_orderkey", LONG), ("l_partkey", LONG), ("l_suppkey", LONG), *_LINEITEM_TAIL],
+    "named": [("l_id", LONG), ("l_orderkey", LONG), ("l_ps_id", LONG), *_LINEITEM_TAIL],
 }
 
 # Every raw line ends in the separator, which reads as one more, always empty field.
 TRAILING_FIELD = "trailing_unnamed"
 
 
-_TYPES = {
-    "INT": IntegerType(),
-    "BIGINT": LongType(),
-    "DOUBLE": DoubleType(),
-    "STRING": StringType(),
-    "TIMESTAMP": TimestampType(),
-}
-
-
 def raw_schema(table: str, layout: str = "stock") -> StructType:
     """Fields of a raw table by position, without the trailing empty one."""
     fields = LINEITEM_LAYOUTS[layout] if table == "lineitem" else _RAW_FIELDS[table]
-    pairs = [field.split() for field in fields.split(",")]
-    return StructType([StructField(name, _TYPES[kind], True) for name, kind in pairs])
+    return StructType([StructField(name, kind, True) for name, kind in fields])
 
 
 def with_trailing_field(schema: StructType) -> StructType:
     return StructType([*schema.fields, StructField(TRAILING_FIELD, DoubleType(), True)])
 
 
+# The partition columns of stored tables, whose types folder names do not tell.
+PARTITION_TYPES = {"s_year": INT}
+
 CLEAN_COLUMNS = {
-    "customer": (
-        "c_custkey c_name c_address c_nationkey c_phone c_acctbal c_acctbal_class "
-        "c_mktsegment c_comment"
-    ).split(),
-    "supplier": (
-        "s_suppkey s_name s_address s_nationkey s_phone s_acctbal s_comment"
-    ).split(),
-    "nation": "n_nationkey n_name n_regionkey n_comment".split(),
-    "region": "r_regionkey r_name r_comment".split(),
-    "part": (
-        "p_partkey p_name p_mfgr p_brand p_type p_size p_container p_retailprice "
-        "p_comment"
-    ).split(),
-    "partsupp": (
-        "ps_id ps_partkey ps_suppkey ps_availqty ps_supplycost ps_comment"
-    ).split(),
-    "orders": (
-        "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_year o_month "
-        "o_orderpriority o_clerk o_shippriority o_comment"
-    ).split(),
-    "lineitem": (
-        "l_id l_orderkey l_ps_id l_linenumber l_quantity l_extendedprice l_discount "
-        "l_tax l_revenue l_returnflag l_linestatus l_commitdate l_shipdate "
-        "l_receiptdate l_shipinstruct l_shipmode l_comment"
-    ).split(),
+    "customer": [
+        "c_custkey",
+        "c_name",
+        "c_address",
+        "c_nationkey",
+        "c_phone",
+        "c_acctbal",
+        "c_acctbal_class",
+        "c_mktsegment",
+        "c_comment",
+    ],
+    "supplier": [
+        "s_suppkey",
+        "s_name",
+        "s_address",
+        "s_nationkey",
+        "s_phone",
+        "s_acctbal",
+        "s_comment",
+    ],
+    "nation": [
+        "n_nationkey",
+        "n_name",
+        "n_regionkey",
+        "n_comment",
+    ],
+    "region": [
+        "r_regionkey",
+        "r_name",
+        "r_comment",
+    ],
+    "part": [
+        "p_partkey",
+        "p_name",
+        "p_mfgr",
+        "p_brand",
+        "p_type",
+        "p_size",
+        "p_container",
+        "p_retailprice",
+        "p_comment",
+    ],
+    "partsupp": [
+        "ps_id",
+        "ps_partkey",
+        "ps_suppkey",
+        "ps_availqty",
+        "ps_supplycost",
+        "ps_comment",
+    ],
+    "orders": [
+        "o_orderkey",
+        "o_custkey",
+        "o_orderstatus",
+        "o_totalprice",
+        "o_orderdate",
+        "o_year",
+        "o_month",
+        "o_orderpriority",
+        "o_clerk",
+        "o_shippriority",
+        "o_comment",
+    ],
+    "lineitem": [
+        "l_id",
+        "l_orderkey",
+        "l_ps_id",
+        "l_linenumber",
+        "l_quantity",
+        "l_extendedprice",
+        "l_discount",
+        "l_tax",
+        "l_revenue",
+        "l_returnflag",
+        "l_linestatus",
+        "l_commitdate",
+        "l_shipdate",
+        "l_receiptdate",
+        "l_shipinstruct",
+        "l_shipmode",
+        "l_comment",
+    ],
 }
 
 STAR_COLUMNS = {
-    "fact_sales": (
-        "s_orderkey_linenumber s_orderkey s_custkey s_suppkey s_orderstatus "
-        "s_totalprice s_orderdate s_year s_month s_orderpriority s_clerk "
-        "s_shippriority s_o_comment s_id s_linenumber s_quantity s_extendedprice "
-        "s_discount s_tax s_revenue s_returnflag s_linestatus s_commitdate s_shipdate "
-        "s_receiptdate s_shipinstruct s_shipmode s_l_comment"
-    ).split(),
-    "dim_customer": (
-        "c_custkey c_name c_address c_phone c_acctbal c_mktsegment c_comment "
-        "c_nationkey c_n_name c_n_comment c_regionkey c_r_name c_r_comment"
-    ).split(),
-    "dim_supplier": (
-        "supp_suppkey supp_name supp_address supp_phone supp_acctbal supp_comment "
-        "supp_nationkey supp_n_name supp_n_comment supp_regionkey supp_r_name "
-        "supp_r_comment"
-    ).split(),
-    "dim_part": (
-        "p_partkey_suppkey p_partkey p_name p_mfgr p_brand p_type p_size p_container "
-        "p_retailprice p_comment ps_suppkey ps_availqty ps_supplycost ps_comment"
-    ).split(),
+    "fact_sales": [
+        "s_orderkey_linenumber",
+        "s_orderkey",
+        "s_custkey",
+        "s_suppkey",
+        "s_orderstatus",
+        "s_totalprice",
+        "s_orderdate",
+        "s_year",
+        "s_month",
+        "s_orderpriority",
+        "s_clerk",
+        "s_shippriority",
+        "s_o_comment",
+        "s_id",
+        "s_linenumber",
+        "s_quantity",
+        "s_extendedprice",
+        "s_discount",
+        "s_tax",
+        "s_revenue",
+        "s_returnflag",
+        "s_linestatus",
+        "s_commitdate",
+        "s_shipdate",
+        "s_receiptdate",
+        "s_shipinstruct",
+        "s_shipmode",
+        "s_l_comment",
+    ],
+    "dim_customer": [
+        "c_custkey",
+        "c_name",
+        "c_address",
+        "c_phone",
+        "c_acctbal",
+        "c_mktsegment",
+        "c_comment",
+        "c_nationkey",
+        "c_n_name",
+        "c_n_comment",
+        "c_regionkey",
+        "c_r_name",
+        "c_r_comment",
+    ],
+    "dim_supplier": [
+        "supp_suppkey",
+        "supp_name",
+        "supp_address",
+        "supp_phone",
+        "supp_acctbal",
+        "supp_comment",
+        "supp_nationkey",
+        "supp_n_name",
+        "supp_n_comment",
+        "supp_regionkey",
+        "supp_r_name",
+        "supp_r_comment",
+    ],
+    "dim_part": [
+        "p_partkey_suppkey",
+        "p_partkey",
+        "p_name",
+        "p_mfgr",
+        "p_brand",
+        "p_type",
+        "p_size",
+        "p_container",
+        "p_retailprice",
+        "p_comment",
+        "ps_suppkey",
+        "ps_availqty",
+        "ps_supplycost",
+        "ps_comment",
+    ],
 }
 
 # Declared constraints. Only the two comments below may be NULL.

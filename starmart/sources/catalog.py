@@ -4,19 +4,55 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from starmart.schemas import STAR_COLUMNS
+from starmart.sources.zones import stored_schema
+
+
+def _quoted(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
 
 def create_database(
     spark: SparkSession, database: str, location: str | None = None
 ) -> None:
-    where = f" LOCATION '{location}'" if location else ""
+    where = f" LOCATION {_quoted(location)}" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
 
 
-def register_table(spark: SparkSession, database: str, table: str, path: str) -> str:
-    """(Re-)register the Parquet files at ``path``; files are never touched."""
+def _drop(spark: SparkSession, name: str) -> None:
+    if spark.catalog.tableExists(name):
+        view = spark.catalog.getTable(name).tableType == "VIEW"
+        spark.sql(f"DROP {'VIEW' if view else 'TABLE'} {name}")
+
+
+def register_table(
+    spark: SparkSession,
+    database: str,
+    table: str,
+    path: str,
+    partition_by: list[str] | tuple[str, ...] = (),
+) -> str:
+    """(Re-)register the Parquet files at ``path``; files are never touched.
+
+    Spark puts partition columns last. A partitioned table is therefore registered as
+    ``<table>_stored``, under a view that has the contract's column order.
+    """
     name = f"{database}.{table}"
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=path, source="parquet")
-    if any(column.isPartition for column in spark.catalog.listColumns(name)):
-        spark.catalog.recoverPartitions(name)
+    _drop(spark, name)
+    if not partition_by:
+        spark.catalog.createTable(name, path=path, source="parquet")
+        return name
+    stored = f"{name}_stored"
+    _drop(spark, stored)
+    schema = stored_schema(spark, path)
+    spark.sql(
+        f"CREATE TABLE {stored} ({schema.toDDL()}) USING parquet "
+        f"PARTITIONED BY ({', '.join(partition_by)}) LOCATION {_quoted(path)}"
+    )
+    spark.catalog.recoverPartitions(stored)
+    wanted = STAR_COLUMNS.get(table, [])
+    columns = [c for c in wanted if c in schema.names]
+    columns += [c for c in schema.names if c not in wanted]
+    spark.sql(f"CREATE VIEW {name} AS SELECT {', '.join(columns)} FROM {stored}")
     return name

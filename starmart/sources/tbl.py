@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from starmart.schemas import TRAILING_FIELD, raw_schema, with_trailing_field
 
 
+# No field of a text table reads like this.
+_NO_TEXT = "\x00"
+
+
 def tbl_path(folder: str, table: str) -> str:
     return f"{folder.rstrip('/')}/{table}.tbl"
 
@@ -28,6 +32,8 @@ def read_tbl(
     """
     schema = with_trailing_field(schema)
     reader = spark.read.option("sep", "|").option("mode", mode)
+    # An empty field is NULL, a quoted empty one is an empty text.
+    reader = reader.option("nullValue", _NO_TEXT)
     if corrupt_column:
         schema = schema.add(corrupt_column, StringType(), True)
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
@@ -43,6 +49,7 @@ def read_raw(
     table: str,
     lineitem_layout: str = "stock",
     mode: str = "PERMISSIVE",
+    corrupt_column: str | None = None,
 ) -> DataFrame:
     """Read one of the eight raw tables under its fixed schema.
 
@@ -50,22 +57,41 @@ def read_raw(
     field, the order key, stands in for it.
     """
     schema = raw_schema(table, lineitem_layout)
-    df = read_tbl(spark, tbl_path(folder, table), schema, mode)
+    df = read_tbl(spark, tbl_path(folder, table), schema, mode, corrupt_column)
     if table == "lineitem" and "l_id" not in df.columns:
         df = df.withColumn("l_id", F.col("l_orderkey"))
     return df
 
 
 def write_tbl(df: DataFrame, path: str) -> None:
-    """Write a table in the raw text form, trailing separator included."""
+    """Write a table in the raw text form, trailing separator included.
+
+    ``read_tbl`` gives the same rows back: blanks, quotes, separators, backslashes and
+    microseconds are kept, and empty texts (in quotes) are told from NULLs. A line is a
+    row, so a text with a line break is an error.
+    """
+    micros = "yyyy-MM-dd HH:mm:ss.SSSSSS"
     (
-        df.withColumn(TRAILING_FIELD, F.lit(None).cast("double"))
+        df.select([_one_line(field) for field in df.schema])
+        .withColumn(TRAILING_FIELD, F.lit(None).cast("double"))
         .write.mode("overwrite")
         .option("sep", "|")
+        .option("ignoreLeadingWhiteSpace", "false")
+        .option("ignoreTrailingWhiteSpace", "false")
+        .option("timestampFormat", micros)
+        .option("timestampNTZFormat", micros)
         .csv(path)
     )
 
 
+def _one_line(field: StructField) -> Column:
+    value = F.col(field.name)
+    if not isinstance(field.dataType, StringType):
+        return value
+    broken = F.raise_error(F.lit(f"{field.name} has a line break or a NUL character"))
+    return F.when(value.rlike("[\\n\\r\\x00]"), broken).otherwise(value).alias(field.name)
+
+
 def land_raw(spark: SparkSession, source: str, raw_folder: str, table: str) -> str:
     """Copy a text table line by line, unparsed, so that parsing can be replayed."""
     target = tbl_path(raw_folder, table)

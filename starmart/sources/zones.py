@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructField, StructType
 
 from starmart.operators.projections import contract
-from starmart.schemas import CLEAN_COLUMNS, STAR_COLUMNS
+from starmart.schemas import CLEAN_COLUMNS, PARTITION_TYPES, STAR_COLUMNS
 
 
 def zone_path(zone: str, table: str) -> str:
@@ -33,9 +34,33 @@ def write_zone(
     return path
 
 
-def read_zone(spark: SparkSession, zone: str, table: str) -> DataFrame:
-    """Read a table of a zone in the contract's column order, extra columns last."""
-    df = spark.read.parquet(zone_path(zone, table))
+def stored_schema(spark: SparkSession, path: str) -> StructType:
+    """The schema of stored files; partition columns get their declared types.
+
+    Spark would infer those from folder names, and from no value at all a type of
+    nothing.
+    """
+    found = spark.read.parquet(path).schema
+    return StructType(
+        [
+            StructField(f.name, PARTITION_TYPES.get(f.name, f.dataType), True)
+            for f in found
+        ]
+    )
+
+
+def read_zone(
+    spark: SparkSession, zone: str, table: str, strict: bool = False
+) -> DataFrame:
+    """Read a table of a zone in the contract's column order.
+
+    Extra columns come last and missing ones are left out; ``strict`` makes both an
+    error.
+    """
+    path = zone_path(zone, table)
+    df = spark.read.schema(stored_schema(spark, path)).parquet(path)
     columns = STAR_COLUMNS.get(table) or CLEAN_COLUMNS[table]
     extra = [name for name in df.columns if name not in columns]
-    return contract(df, [*columns, *extra])
+    if strict and extra:
+        raise ValueError(f"{table} has columns beyond its contract: {extra}")
+    return contract(df, [*columns, *extra], strict)

@@ -4,33 +4,17 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import bag, plan
-from starmart.operators import full_outer, is_small
-from starmart.operators.joins import (
-    broadcast_full_outer,
-    hot_keys,
-    salted_full_outer,
-)
+from starmart.operators import full_outer
+from starmart.plans import quality, star
 
 MANY = "k int, a string"
 ONE = "k int, b string"
 
 
-def salted(many, one, hot_rows):
-    return full_outer(many, one, "k", small=False, hot_rows=hot_rows)
-
-
-def variants(many, one):
-    yield "broadcast", broadcast_full_outer(many, one, "k")
-    yield "plain", salted(many, one, 1_000_000)
-    yield "salted", salted(many, one, 1)
-    yield "chosen", full_outer(many, one, "k")
-
-
 def check(many, one):
-    expected = bag(many.join(one, "k", "outer"))
-    for name, df in variants(many, one):
-        assert sorted(df.columns) == ["a", "b", "k"], name
-        assert bag(df) == expected, name
+    df = full_outer(many, one, "k")
+    assert sorted(df.columns) == ["a", "b", "k"]
+    assert bag(df) == bag(many.join(one, "k", "outer"))
 
 
 def test_null_and_single_keys(spark):
@@ -51,7 +35,8 @@ def test_empty_sides(spark, side):
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_random_bags_with_duplicates_on_both_sides(spark, seed):
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_random_bags_with_duplicates_on_both_sides(spark, with_conf, seed, broadcast):
     rng = random.Random(seed)
 
     def rows(n, keys, hot):
@@ -60,7 +45,8 @@ def test_random_bags_with_duplicates_on_both_sides(spark, seed):
 
     many = spark.createDataFrame(rows(300, 40, 7), MANY).repartition(6)
     one = spark.createDataFrame(rows(60, 60, 11), ONE).repartition(3)
-    check(many, one)
+    with with_conf({"spark.sql.autoBroadcastJoinThreshold": broadcast}):
+        check(many, one)
 
 
 def test_different_key_types(spark):
@@ -69,99 +55,75 @@ def test_different_key_types(spark):
     check(many, one)
 
 
-def hot_fixture(spark):
-    """A third of the rows under one key, as exact copies; another third keyless."""
-    n = 30_000
-    many = spark.range(n, numPartitions=8).select(
-        F.when(F.col("id") % 3 == 0, F.lit(7))
-        .when(F.col("id") % 3 == 1, F.lit(None))
-        .otherwise(F.col("id"))
-        .cast("int")
-        .alias("k"),
-        F.lit("copy").alias("a"),
+@pytest.mark.parametrize("order", ["key sorted", "spread"])
+def test_hot_key_is_split_over_tasks(spark, with_conf, order):
+    """A third of the rows under one key; without broadcasts, by adaptive execution."""
+    n = 300_000
+    key = F.when(F.col("id") < n // 3, F.lit(7)).otherwise(F.col("id"))
+    if order == "spread":
+        key = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id"))
+    many = spark.range(n, numPartitions=16).select(
+        key.cast("int").alias("k"), F.md5(F.col("id").cast("string")).alias("a")
     )
-    one = spark.range(2 * n, numPartitions=4).select(
+    one = spark.range(n, numPartitions=4).select(
         F.col("id").cast("int").alias("k"), F.lit("b").alias("b")
     )
-    return many, one
-
-
-def test_hot_keys_are_exact_and_bounded(spark):
-    many, _ = hot_fixture(spark)
-    assert hot_keys(many, "k", 1_000) == {7: 10, None: 10}
-    assert hot_keys(many, "k", 10_000) == {}
-    assert hot_keys(many.limit(0), "k", 1_000) == {}
-
-
-def test_hot_key_is_dealt_out_over_tasks(spark, with_conf):
-    many, one = hot_fixture(spark)
 
     def largest_task(df):
-        per_task = df.groupBy(F.spark_partition_id()).count()
-        return per_task.agg(F.max("count")).first()[0]
+        # A column of each side is needed, else the shuffled rows would be keys alone.
+        per_task = df.groupBy(F.spark_partition_id()).agg(
+            F.count("*").alias("rows"), F.max("a"), F.max("b")
+        )
+        return max(row.rows for row in per_task.collect())
 
     with with_conf(
         {
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
             "spark.sql.shuffle.partitions": "32",
         }
     ):
         plain = many.join(one, "k", "outer")
-        dealt = salted(many, one, 1_000)
-        assert bag(dealt) == bag(plain)
-        assert largest_task(plain) > 10_000
-        assert largest_task(dealt) < 6_000
-
-
-def test_hot_key_of_the_other_side_is_dealt_out_too(spark, with_conf):
-    many, one = hot_fixture(spark)
-    with with_conf(
-        {
-            "spark.sql.adaptive.coalescePartitions.enabled": "false",
-            "spark.sql.shuffle.partitions": "32",
-        }
-    ):
-        # The hot key and the missing ones are now on the primary-key side.
-        one = one.where("k between 9000 and 9100")
-        repeated = many.withColumnRenamed("a", "b").withColumn("k", F.col("k") + 9_000)
-        few = one.withColumnRenamed("b", "a")
-        assert bag(salted(few, repeated, 1_000)) == bag(few.join(repeated, "k", "outer"))
-        per_task = salted(few, repeated, 1_000).groupBy(F.spark_partition_id()).count()
-        assert per_task.agg(F.max("count")).first()[0] < 6_000
-
-
-@pytest.mark.parametrize("copies", [(50, 3), (3, 50), (20, 20)])
-def test_key_hot_on_both_sides(spark, copies):
-    many = spark.range(copies[0], numPartitions=8).select(
-        F.lit(1).alias("k"), F.concat(F.lit("a"), F.col("id")).alias("a")
-    )
-    one = spark.range(copies[1], numPartitions=8).select(
-        F.lit(1).alias("k"), F.concat(F.lit("b"), F.col("id")).alias("b")
-    )
-    loner = spark.createDataFrame([(2, "x"), (None, "y")], MANY)
-    for hot_rows in (1, 4, 10):
-        check_pair = salted(many.union(loner), one.union(loner.where("k = 2")), hot_rows)
-        expected = many.union(loner).join(one.union(loner.where("k = 2")), "k", "outer")
-        assert bag(check_pair) == bag(expected)
+        split = full_outer(many, one, "k")
+        assert split.agg(F.sum(F.xxhash64("k", "a", "b") % 1000)).first() == (
+            plain.agg(F.sum(F.xxhash64("k", "a", "b") % 1000)).first()
+        )
+        assert largest_task(plain) > n // 3
+        assert largest_task(split) < n // 6
 
 
-def test_sizes_decide_the_strategy(spark, with_conf):
+def test_a_small_side_is_broadcast(spark):
     many = spark.range(3_000).select(F.col("id").alias("k"), F.lit("a").alias("a"))
-    small, large = many.limit(10), many.withColumnRenamed("a", "b")
-    assert is_small(small) and not is_small(large)
-    with with_conf({"spark.sql.autoBroadcastJoinThreshold": "-1"}):
-        by_broadcast = plan(full_outer(many, small.withColumnRenamed("a", "b"), "k"))
-        by_shuffle = plan(full_outer(many, large, "k"))
-    assert "BroadcastHashJoin" in by_broadcast
-    assert "Broadcast" not in by_shuffle and "FullOuter" in by_shuffle
-
-
-def test_wide_rows_are_not_small(spark):
-    wide = spark.range(100).select("id", F.repeat(F.lit("x"), 100_000).alias("text"))
-    assert not is_small(wide)
-
-
-def test_salt_is_computed_without_random_numbers(spark):
-    many, one = hot_fixture(spark)
-    text = plan(salted_full_outer(many, one, "k", hot_keys(many, "k", 1_000), {}))
-    assert "SPARK_PARTITION_ID" in text and "rand(" not in text
+    one = many.limit(10).withColumnRenamed("a", "b")
+    df = full_outer(many, one, "k")
+    df.collect()
+    assert "BroadcastHashJoin" in plan(df)
+
+
+def test_builders_run_no_job(spark):
+    """Building a DataFrame is free; only an action computes."""
+    orders = spark.range(10).selectExpr("id AS o_orderkey", "id AS o_custkey")
+    lines = spark.range(10).selectExpr("id AS l_orderkey", "1L AS l_linenumber")
+    nation = spark.range(3).selectExpr("id AS n_nationkey", "'n' AS n_name", "id AS n_regionkey")
+    region = spark.range(3).selectExpr("id AS r_regionkey", "'r' AS r_name")
+    customer = spark.range(9).selectExpr("id AS c_custkey", "id AS c_nationkey")
+    supplier = spark.range(9).selectExpr("id AS s_suppkey", "id AS s_nationkey")
+    part = spark.range(9).selectExpr("id AS p_partkey")
+    offers = spark.range(9).selectExpr("id AS ps_partkey", "id AS ps_suppkey")
+    context = spark.sparkContext
+    context.setJobGroup("building", "no job may run")
+    try:
+        tables = {
+            "fact_sales": star.fact_sales(orders, lines),
+            "dim_customer": star.dim_customer(customer, nation, region),
+            "dim_supplier": star.dim_supplier(supplier, nation, region),
+            "dim_part": star.dim_part(part, offers),
+        }
+        quality.alert_summary(quality.alert_rows(tables))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert not context.statusTracker().getJobIdsForGroup("building")

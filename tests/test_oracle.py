@@ -45,7 +45,13 @@ TYPES = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+# The operators for training data have tests of their own.
+NAMES = sorted(
+    set(registry.queries()) - (set(registry.llm.QUERIES) | {"pipeline"} if registry.llm else set())
+)
+
+
+@pytest.mark.parametrize("name", NAMES)
 def test_query_equals_sql(spark, duck, name):
     df = registry.queries()[name](spark, SF_DIR)
     relation = duck.sql(registry.oracle_sql()[name])
@@ -57,7 +63,7 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert registry.queries().keys() == registry.oracle_sql().keys()
+    assert set(NAMES) <= registry.oracle_sql().keys() <= registry.queries().keys()
 
 
 def test_entry(spark):

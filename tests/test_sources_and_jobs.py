@@ -6,6 +6,7 @@ import sys
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from starmart.plans import jobs
 from starmart.schemas import (
@@ -135,6 +136,75 @@ def test_write_tbl_ends_lines_in_separator(spark, tmp_path):
     assert [r.value for r in text.collect()] == ["1|a|", "2||"]
 
 
+def test_written_text_reads_back_the_same(spark, tmp_path):
+    texts = ["  lead ", "", None, 'say "x"', '"', "a|b", "back\\\\slash", "end\\\\", "\\\\|", "\t"]
+    texts += ['"\\\\', "'", '""', "#", "ü\u2028"]
+    rows = [(i, t, 0.1 + i) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "k bigint, t string, d double").withColumn(
+        "ts", F.expr("TIMESTAMP '2001-02-03 04:05:06.123456'")
+    )
+    df = df.withColumn("ntz", F.expr("TIMESTAMP_NTZ '2001-02-03 00:00:00.000001'"))
+    write_tbl(df, str(tmp_path / "t.tbl"))
+    back = read_tbl(spark, str(tmp_path / "t.tbl"), df.schema)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+@pytest.mark.parametrize("text", ["two\nlines", "two\rlines", "nul\0"])
+def test_texts_that_a_line_cannot_hold_are_refused(spark, tmp_path, text):
+    df = spark.createDataFrame([(text,)], "t string")
+    with pytest.raises(Exception, match="line break"):
+        write_tbl(df, str(tmp_path / "t.tbl"))
+
+
+def test_strict_zone_and_all_null_partitions(spark, tmp_path):
+    df = spark.sql("SELECT '1' AS s_orderkey_linenumber, CAST(NULL AS INT) AS s_year")
+    write_zone(df, str(tmp_path), "fact_sales", ["s_year"])
+    back = read_zone(spark, str(tmp_path), "fact_sales")
+    assert dict(back.dtypes)["s_year"] == "int" and back.count() == 1
+    with pytest.raises(ValueError, match="missing"):
+        read_zone(spark, str(tmp_path), "fact_sales", strict=True)
+    write_zone(spark.range(1).withColumnRenamed("id", "extra"), str(tmp_path), "region")
+    with pytest.raises(ValueError, match="beyond"):
+        read_zone(spark, str(tmp_path), "region", strict=True)
+
+
+def test_keys_beyond_the_range_of_an_integer(spark, raw, tmp_path):
+    big = 3_000_000_000
+    landing = tmp_path / "landing"
+    orders, lines = LINES["orders"][0], LINES["lineitem"][0]
+    (landing / "orders.tbl").write_text(f"{big}{orders[1:]}\n")
+    (landing / "lineitem.tbl").write_text(f"{big}{lines[1:]}\n")
+    zones = [raw, *[str(tmp_path / name) for name in ("clean", "star")]]
+    jobs.run_all(spark, *zones, "big_keys", location=str(tmp_path / "it's here"))
+    row = spark.table("big_keys.fact_sales").first()
+    assert (row.s_orderkey, row.s_orderkey_linenumber) == (big, f"{big}1")
+    assert (row.s_custkey, row.s_linenumber) == (1, 1)
+
+
+def test_rejects_constraints_and_corrected_counts(spark, raw, tmp_path, capsys):
+    landing = tmp_path / "landing"
+    bad = "x|1|O|1.5|1996-01-02|5-LOW|c|0|bad int|"
+    with (landing / "orders.tbl").open("a") as orders:
+        orders.write(bad + "\n")
+    names = ("clean", "star", "db", "rejects", "report")
+    zones = {name: str(tmp_path / name) for name in names}
+    chain = ["all", "--raw", raw, "--clean", zones["clean"], "--star", zones["star"]]
+    chain += ["--database", "options", "--location", zones["db"]]
+    chain += ["--nulls", "corrected", "--on-fail", "return", "--rejects", zones["rejects"]]
+    jobs.main(chain)
+    assert "NULL sales primary key found" in capsys.readouterr().out
+    rejected = spark.read.parquet(zones["rejects"] + "/orders").collect()
+    assert [(r.o_orderkey, r.o_custkey, r.rejected_line) for r in rejected] == [(None, 1, bad)]
+    jobs.main(["constraints", "--raw", raw, "--report", zones["report"]])
+    report = {tuple(r)[:2]: r.violations for r in spark.read.parquet(zones["report"]).collect()}
+    assert report[("orders", "not_null(o_orderkey)")] == 1
+    assert report[("lineitem", "foreign_key(l_partkey, l_suppkey -> partsupp)")] == 0
+    assert report[("partsupp", "primary_key(ps_partkey, ps_suppkey)")] == 0
+    assert len(report) == 59 + 8 + 8
+    short = jobs.constraint_summary({"region": spark.range(1).selectExpr("id AS r_regionkey")})
+    assert ("region", "present(r_name)", 1) in [tuple(r) for r in short.collect()]
+
+
 def test_partitioned_zone_keeps_contract_order_and_nulls(spark, tmp_path):
     df = spark.sql(
         "SELECT '11' AS s_orderkey_linenumber, y AS s_year, 'Jan' AS s_month "
@@ -180,9 +250,7 @@ def test_whole_chain(spark, raw, tmp_path):
         assert df.count() == len(LINES[table])
     for table in STAR_TABLES:
         assert read_zone(spark, zones["star"], table).columns == STAR_COLUMNS[table]
-        assert sorted(spark.table(f"chain.{table}").columns) == sorted(
-            STAR_COLUMNS[table]
-        )
+        assert spark.table(f"chain.{table}").columns == STAR_COLUMNS[table]
     sales = spark.sql(
         "SELECT s_orderkey_linenumber, s_custkey, s_suppkey, s_id, s_year, s_month, "
         "round(s_revenue, 2) AS revenue FROM chain.fact_sales ORDER BY s_orderkey, 1"
@@ -199,7 +267,8 @@ def test_whole_chain(spark, raw, tmp_path):
     keys = spark.table("chain.dim_part").orderBy("p_partkey").collect()
     assert [r.p_partkey_suppkey for r in keys] == ["710", None]
     types = dict(spark.table("chain.fact_sales").dtypes)
-    assert types["s_linenumber"] == "bigint" and types["s_suppkey"] == "int"
+    assert types["s_linenumber"] == "bigint" and types["s_suppkey"] == "bigint"
+    assert types["s_year"] == "int"
     corrected = jobs.run_quality(spark, "chain", nulls="corrected", on_fail="return")
     assert corrected.first().issues_found == 4
 
