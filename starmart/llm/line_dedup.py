@@ -8,7 +8,10 @@ up to EDITS shorter than its own, with the few substrings that the bounds on len
 places leave. Whoever meets is verified by Spark's banded edit distance.
 
 Index and probes hold hashes only; lines that met fetch their text again. Equal lines
-share their hashes and count as one before anything is joined.
+share their hashes and count as one before anything is joined. Where very many lines
+share a segment (numbered headings, copies of a page with small changes), they are told
+apart by finer segments instead of being paired off; for more than one edit, which this
+does not cover, they are paired.
 
 A line of a document is a repeat if an equal or linked line occurs earlier (smaller
 doc_id, or same document, further up). Only lines with a word take part; others stay.
@@ -28,161 +31,205 @@ from pyspark.sql import functions as F
 from starmart.llm.common import SPACE, let, written
 
 EDITS = 1
+# Index entries and probes that one signature may have before its lines are signed anew.
+CROWD = 50
+FINER = 8
 # A document that would lose more than this share of its lines is a copy as a whole.
 # remove_repeats() leaves it as it is, for a document-level operator to judge.
 MAX_REMOVED_SHARE = 0.5
 
 
 def has_word(line: Column) -> Column:
-    return F.translate(line, SPACE, "") != ""
+    return F.btrim(line, F.lit(SPACE)) != ""
 
 
-def line_key(line: Column) -> Column:
-    """128 bits of hash: two different lines do not share them in practice."""
-    return F.struct(
-        F.xxhash64(line).alias("a"), F.xxhash64(F.lit("line"), line).alias("b")
+def document_lines(docs: DataFrame) -> DataFrame:
+    """doc_id, n (place of the line in its text, from 0) and line, for lines with a word."""
+    return (
+        docs.filter(F.col("doc_id").isNotNull())
+        .select(
+            F.col("doc_id").cast("long").alias("doc_id"),
+            F.posexplode(F.split("text", "\n")).alias("n", "line"),
+        )
+        .filter(has_word(F.col("line")))
     )
 
 
-def document_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, n (place of the line in its text, from 0), line."""
-    return docs.filter(F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.posexplode(F.split("text", "\n")).alias("n", "line"),
-    )
+def line_key(line: Column) -> Column:
+    """128 bits of hash: two different lines do not share them in practice."""
+    return F.struct(F.xxhash64(line).alias("a"), F.xxhash64(F.lit("line"), line).alias("b"))
 
 
-def segment(length: Column | int, number: int, edits: int) -> tuple[Column, Column]:
+def segment(length: Column, number: Column, parts: int) -> tuple[Column, Column]:
     """Start (from 0) and length of a segment; the last ones take the odd characters."""
-    parts = edits + 1
     base = F.floor(length / parts).cast("int")
-    longer = length % parts
-    start = (number * base + F.greatest(number - parts + longer, F.lit(0))).cast("int")
-    return start, (base + F.when(F.lit(number) >= parts - longer, 1).otherwise(0)).cast("int")
+    odd_from = parts - length % parts
+    start = number * base + F.greatest(number - odd_from, F.lit(0))
+    return start.cast("int"), (base + (number >= odd_from).cast("int")).cast("int")
 
 
 def signatures(length: Column, line: Column, edits: int) -> Column:
-    """Array of (role, sig): the index entries of a line (role 0) and its probes (1).
+    """The index entries of a line, one per segment, and then its probes (or NULL).
 
     For a line that is ``gap`` longer than an indexed one, segment ``i`` can start at
     place p only within the bounds that both neighbours of the segment leave: what is
     left of it may have moved by i edits at most, what is right of it by edits - i.
     """
-    entries = []
-    for i in range(edits + 1):
-        start, size = segment(length, i, edits)
-        sig = F.xxhash64(length, F.lit(i), F.substring(line, start + 1, size))
-        entries.append(F.struct(F.lit(0).alias("role"), sig.alias("sig")))
+    entries, probes = [], []
     for gap in range(edits + 1):
         short = length - gap
         for i in range(edits + 1):
-            start, size = segment(short, i, edits)
+            start, size = segment(short, F.lit(i), edits + 1)
             low, high = max(-i, gap - (edits - i)), min(i, gap + (edits - i))
             for shift in range(low, high + 1):
-                if gap == 0 and shift == 0:
-                    continue  # the line's own index entry serves as this probe
                 sig = F.xxhash64(short, F.lit(i), F.substring(line, start + shift + 1, size))
-                fits = (short > edits) & (start + shift >= 0) & (start + shift + size <= length)
-                entries.append(F.when(fits, F.struct(F.lit(1).alias("role"), sig.alias("sig"))))
-    return F.array(*entries)
+                if gap == 0 and shift == 0:
+                    entries.append(sig)  # serves as the line's own probe, too
+                else:
+                    fits = (start + shift >= 0) & (start + shift + size <= length)
+                    probes.append(F.when((short > edits) & fits, sig))
+    return F.when(length > edits, F.array(*entries, *probes))
+
+
+def fine_signatures(length: Column, line: Column, parts: int) -> Column:
+    """As ``signatures`` for one edit, with all of the line but one of many segments.
+
+    One edit leaves what precedes a segment and what follows it; the latter has moved by
+    the difference of the lengths.
+    """
+
+    def rest(gap: int, i: Column) -> Column:
+        short = length - gap
+        start, size = segment(short, i, parts)
+        before = F.substring(line, F.lit(1), start)
+        after = F.substring(line, start + size + gap + 1, length)
+        return F.when(short > 1, F.xxhash64(short, i, before, after))
+
+    numbers = F.sequence(F.lit(0), F.lit(parts - 1))
+    return F.concat(
+        F.transform(numbers, lambda i: rest(0, i)), F.transform(numbers, lambda i: rest(1, i))
+    )
 
 
-def candidates(lines: DataFrame, edits: int) -> DataFrame:
-    """Pairs (x, y) of line hashes that met in the index, each pair once."""
-    length = F.length("line")
+def shared_entries(signed: DataFrame, parts: int) -> DataFrame:
+    """sig, role (0: index entry, 1: probe) and a (line hash) of the signatures that more
+    than one line has, from lines (a, sigs)."""
     entries = (
-        lines.filter(has_word(F.col("line")) & (length > edits))
-        .select(
-            F.xxhash64("line").alias("line_hash"),
-            F.explode(signatures(length, F.col("line"), edits)).alias("e"),
-        )
-        .filter(F.col("e").isNotNull())
-        .select("e.sig", "e.role", "line_hash")
+        signed.select("a", F.posexplode_outer("sigs").alias("at", "sig"))
+        .filter("sig IS NOT NULL")
+        .select("sig", (F.col("at") >= parts).cast("int").alias("role"), "a")
     )
-    # A signature that only one line has joins nothing; that is nearly all of them.
-    # Counting combines within tasks, so a line that occurs often costs little.
+    # Nearly all signatures belong to one line. Counting combines within tasks, so a
+    # line that occurs often costs little.
     shared = (
         entries.groupBy("sig")
-        .agg(
-            F.min("line_hash").alias("low"),
-            F.max("line_hash").alias("high"),
-            F.min("role").alias("role"),
-        )
-        .filter((F.col("low") != F.col("high")) & (F.col("role") == 0))
+        .agg(F.min("a").alias("low"), F.max("a").alias("high"), F.min("role").alias("role"))
+        .filter("low != high AND role = 0")
         .select("sig")
     )
-    met = written(entries.join(shared, "sig", "left_semi").distinct(), "met")
-    own = met.filter("role = 0").select("sig", F.col("line_hash").alias("x"))
-    other = met.select("sig", F.col("line_hash").alias("y"))
+    return entries.join(shared.hint("merge"), "sig", "left_semi").distinct()
+
+
+def pairs_of(met: DataFrame) -> DataFrame:
+    own = met.filter("role = 0").select("sig", F.col("a").alias("x"))
+    other = met.select("sig", F.col("a").alias("y"))
     pairs = own.join(other, "sig").filter("x != y")
     return pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
 
-def line_links(lines: DataFrame, edits: int = EDITS) -> DataFrame:
-    """Pairs (x, y) of keys of different lines within ``edits`` edits, each pair once."""
-    pairs = written(candidates(lines, edits), "line_pairs")
-    wanted = pairs.select(F.explode(F.array("x", "y")).alias("line_hash")).distinct()
+def line_links(signed: DataFrame, lines: DataFrame, edits: int = EDITS) -> DataFrame:
+    """Pairs (x, y) of keys of different lines within ``edits`` edits, each pair once.
+
+    Signatures of up to CROWD entries give pairs. For one edit, the lines under the
+    others are signed again, with segments FINER times as many, until no signature is
+    crowded or segments are single characters, where all who meet are linked.
+    """
+    met = written(shared_entries(signed, edits + 1), "met")
     texts = written(
-        lines.filter(has_word(F.col("line")))
-        .select(F.xxhash64("line").alias("line_hash"), "line")
-        .join(wanted, "line_hash", "left_semi")
+        lines.select(F.xxhash64("line").alias("a"), "line")
+        .join(met.select("a").distinct().hint("merge"), "a", "left_semi")
         .distinct(),
         "line_texts",
     )
-    left = texts.select(F.col("line_hash").alias("x"), F.col("line").alias("s"))
-    right = texts.select(F.col("line_hash").alias("y"), F.col("line").alias("t"))
+    parts, found = edits + 1, []
+    while True:
+        crowded = met.groupBy("sig").count().filter(F.col("count") > CROWD).select("sig")
+        crowd = met.join(crowded, "sig", "left_semi").select("a").distinct()
+        crowd = written(texts.join(crowd, "a", "left_semi"), "crowd")
+        longest = crowd.agg(F.max(F.length("line"))).first()[0] or 0
+        if edits != 1 or longest <= parts:
+            found.append(written(pairs_of(met), "line_pairs"))
+            break
+        found.append(written(pairs_of(met.join(crowded, "sig", "left_anti")), "line_pairs"))
+        parts *= FINER
+        length = F.length("line").alias("length")
+        signed_again = crowd.select("a", "line", length).select(
+            "a", fine_signatures(F.col("length"), F.col("line"), parts).alias("sigs")
+        )
+        met = written(shared_entries(signed_again, parts), "met")
+    pairs = found[0]
+    for more in found[1:]:
+        pairs = pairs.unionAll(more)
+    left = texts.select(F.col("a").alias("x"), F.col("line").alias("s"))
+    right = texts.select(F.col("a").alias("y"), F.col("line").alias("t"))
     near = F.levenshtein("s", "t", edits).between(1, edits)
     return (
-        pairs.join(left, "x")
+        pairs.distinct()
+        .join(left, "x")
         .join(right, "y")
         .filter(near)
         .select(line_key(F.col("s")).alias("x"), line_key(F.col("t")).alias("y"))
     )
 
 
-def line_classes(docs: DataFrame, edits: int = EDITS) -> DataFrame:
-    """key, earliest (place of the line's first occurrence), before (the earliest first
-    occurrence among the line and all lines linked to it), n_links, of each distinct
-    line that is linked or occurs twice."""
+def line_classes(docs: DataFrame, edits: int = EDITS) -> tuple[DataFrame, DataFrame]:
+    """The lines of all documents (doc_id, n, key), and for each distinct line that is
+    linked or occurs twice: key, before (the earliest occurrence of the line and all
+    lines linked to it) and n_links."""
     lines = document_lines(docs)
-    links = written(line_links(lines, edits), "line_links")
+    signed = written(
+        lines.select("*", F.length("line").alias("length")).select(
+            "doc_id",
+            "n",
+            line_key(F.col("line")).alias("key"),
+            signatures(F.col("length"), F.col("line"), edits).alias("sigs"),
+        ),
+        "lines",
+    )
+    places = signed.select("doc_id", "n", "key")
+    links = written(
+        line_links(signed.select("key.a", "sigs"), lines.select("line"), edits), "line_links"
+    )
     both_ways = links.unionAll(links.select(F.col("y").alias("x"), F.col("x").alias("y")))
-    places = F.struct("doc_id", "n")
-    seen = (
-        lines.filter(has_word(F.col("line")))
-        .groupBy(line_key(F.col("line")).alias("key"))
-        .agg(F.min(places).alias("earliest"), F.count("*").alias("times"))
+    firsts = written(
+        places.groupBy("key").agg(
+            F.min(F.struct("doc_id", "n")).alias("earliest"), F.count("*").alias("times")
+        ),
+        "line_firsts",
     )
-    firsts = written(seen, "line_firsts")
     around = (
         both_ways.join(firsts.select(F.col("key").alias("y"), "earliest"), "y")
         .groupBy(F.col("x").alias("key"))
         .agg(F.min("earliest").alias("near"), F.count("*").alias("n_links"))
     )
-    return (
+    classes = (
         firsts.join(around, "key", "left")
         .filter((F.col("times") > 1) | F.col("near").isNotNull())
         .select(
             "key",
-            "earliest",
             F.least("earliest", "near").alias("before"),
             F.coalesce("n_links", F.lit(0)).alias("n_links"),
         )
     )
+    return places, classes
 
 
 def repeated_places(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """doc_id, repeats (places of its lines that are repeats, in order), n_links and
     classes (documents where the classes of its repeats start), of each document that
     has a line which is linked or occurs twice."""
-    classes = line_classes(docs, edits)
-    found = (
-        document_lines(docs)
-        .filter(has_word(F.col("line")))
-        .select("doc_id", "n", line_key(F.col("line")).alias("key"))
-        .distinct()
-        .join(classes, "key")
-    )
+    places, classes = line_classes(docs, edits)
+    found = places.distinct().join(classes, "key")
     repeat = F.col("before") < F.struct("doc_id", "n")
     return found.groupBy("doc_id").agg(
         F.array_sort(F.collect_set(F.when(repeat, F.col("n")))).alias("repeats"),
@@ -206,7 +253,7 @@ def dedup(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     none = F.array().cast("array<int>")
     lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), has_word)
     return (
-        docs.join(repeated_places(docs, edits), "doc_id", "left")
+        docs.join(repeated_places(docs, edits).hint("merge"), "doc_id", "left")
         .withColumn("repeats", F.coalesce("repeats", none))
         .select(
             "doc_id",
@@ -230,7 +277,7 @@ def remove_repeats(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     text = F.when(few, kept_text(F.col("text"), F.col("repeats"))).otherwise(F.col("text"))
     cut = (
         docs.select([F.struct(*docs.columns).alias("d"), F.col("doc_id")])
-        .join(repeats, "doc_id", "left")
+        .join(repeats.hint("merge"), "doc_id", "left")
         .withColumns({"text": F.col("d.text"), "n_chars": F.col("d.n_chars")})
         .withColumn("text", text)
     )
