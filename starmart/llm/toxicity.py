@@ -41,6 +41,9 @@ SAMPLE = 6000
 MAX_TRAIN_CHARS = 100_000
 # Scores are shifted so that this is the threshold with the best F1.
 THRESHOLD = 0.3
+# Features of fewer training texts stay zero: what no text or one text has tells nothing,
+# and a random vector would win a maximum over a long text sooner or later.
+MIN_TEXTS = 3
 # A language needs so many calibration rows of each class for its own threshold.
 MIN_ROWS = 20
 # Word positions that are convolved at once.
@@ -137,6 +140,15 @@ class Adagrad:
         self.array[rows] -= RATE * gradient / np.sqrt(self.squares[rows])
 
 
+def known_features(table: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Whether a feature occurs in at least MIN_TEXTS of the texts."""
+    held = np.zeros(BUCKETS, dtype=np.int64)
+    for begin, end in zip(starts[:-1], starts[1:], strict=True):
+        places = np.unique(ids[begin:end])
+        held[np.unique(table[places[places > 0] - 1])] += 1
+    return held >= min(MIN_TEXTS, len(starts) - 1)
+
+
 def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> ToxicityModel:
     """Stochastic gradient steps of one text each.
 
@@ -152,6 +164,8 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> ToxicityModel:
         0.0,
     )
     table, ids, starts = indexed(texts)
+    known = known_features(table, ids, starts)
+    model.embeddings[~known] = 0
     embeddings = Adagrad(model.embeddings)
     filters = [Adagrad(f) for f in model.filters]
     biases = [Adagrad(b) for b in model.biases]
@@ -193,7 +207,7 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> ToxicityModel:
                 slots, inverse = np.unique(rows[touched], return_inverse=True)
                 gradient = np.zeros((len(slots), WIDTH), dtype=np.float32)
                 np.add.at(gradient, inverse.reshape(-1), np.repeat(dx[touched], rows.shape[1], axis=0))
-                embeddings.step(gradient, slots)
+                embeddings.step(gradient[known[slots]], slots[known[slots]])
     model.bias = float(bias.array[0])
     return model
 
