@@ -34,9 +34,12 @@ BLOCK = 256
 RANGE = 10_000
 WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
-SHARDS = 64
+# Blocks of a shard, roughly; the number of shards follows from it within the bounds on
+# what the driver holds.
+SHARD_BLOCKS = 20_000
 MAX_SOURCES = 100_000
-MAX_SHARDS = 4096
+MAX_SHARDS = 1 << 16
+MAX_QUOTAS = 20_000_000
 SEED = 1
 # numpy's hypergeometric draws need totals below this.
 MAX_DRAW = 900_000_000
@@ -190,18 +193,30 @@ def ranked_blocks(sized: DataFrame, sources: DataFrame, seed: int) -> DataFrame:
     )
 
 
-def drawn_blocks(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+def shard_of(draw: Column, ends: Column) -> Column:
+    """The number of ends up to ``draw``, by halving steps; ``ends`` ascend."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(MAX_SHARDS.bit_length()))])
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        lambda at, step: F.when(F.get(ends, at + step - 1) <= draw, at + step).otherwise(at),
+    )
+
+
+def drawn_blocks(docs: DataFrame, shards: int | None = None, seed: int = SEED) -> DataFrame:
     """A row per draw: the block, its pass over the source, its shard, its order there.
 
     A document of which nothing is drawn keeps one row with NULL for those.
     """
-    if not 1 <= shards <= MAX_SHARDS:
-        raise ValueError(f"shards must be between 1 and {MAX_SHARDS}")
     sized = written(units(docs), "units")
     sources = source_table(sized)
     ranked = written(ranked_blocks(sized, sources, seed), "ranked_blocks")
     owed = dict(ranked.groupBy("source_no").agg(F.sum("draws")).collect())
     numbers = sorted(owed)
+    most = min(MAX_SHARDS, MAX_QUOTAS // max(len(numbers), 1))
+    shards = shards or min(most, math.ceil(sum(owed.values()) / SHARD_BLOCKS) or 1)
+    if not 1 <= shards <= most:
+        raise ValueError(f"shards must be between 1 and {most}")
     quotas = split_quotas(np.array([owed[n] for n in numbers], dtype=np.int64), shards, seed)
     # Where the run of the next shard begins, for each source.
     ends = np.cumsum(quotas, axis=0)
@@ -211,18 +226,20 @@ def drawn_blocks(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> Dat
     )
     passes = F.when(F.col("draws") > 0, F.sequence(F.lit(0), F.col("draws").cast("int") - 1))
     draw = F.col("pass") * F.col("n_blocks") + F.col("rank")
-    shard = F.size(F.filter("ends", lambda end: end <= draw))
     order = F.xxhash64(F.lit(seed + 1), *UNIT, "block", "pass")
     return (
         ranked.join(F.broadcast(bounds), "source_no")
         .select("*", F.explode_outer(passes).alias("pass"))
-        .withColumn("shard", F.when(F.col("pass").isNotNull(), shard))
+        .withColumn("draw", draw)
+        .withColumn(
+            "shard", F.when(F.col("pass").isNotNull(), shard_of(F.col("draw"), F.col("ends")))
+        )
         .withColumn("shard_order", F.when(F.col("pass").isNotNull(), order))
-        .drop("ends", "draws", "n_blocks", "rank")
+        .drop("ends", "draws", "n_blocks", "rank", "draw")
     )
 
 
-def taken(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+def taken(docs: DataFrame, shards: int | None = None, seed: int = SEED) -> DataFrame:
     """doc_id, size, source_size, target, taken (words in the mix) of every document."""
     drawn = F.sum(F.when(F.col("pass").isNotNull(), F.col("words")).otherwise(0))
     return (
@@ -233,7 +250,7 @@ def taken(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+def mix(docs: DataFrame, shards: int | None = None, seed: int = SEED) -> DataFrame:
     """The mix itself: shard, shard_order, doc_id, source, block, pass and text of every
     drawn block; each shard lies in one partition, in its order."""
     texts = docs.select(
