@@ -10,8 +10,10 @@ probability of 0.2 ** SIGNATURE. A document fetches the items that have a signat
 value among its own shingle hashes, and each is then verified on the item's full
 shingle set.
 
-Items are the query set: they are taken in blocks of BLOCK_ITEMS, which bounds what is
-broadcast; documents stream past each block and are never shuffled.
+Items are the query set: they are taken in blocks of BLOCK_ITEMS and BLOCK_CHARS, which
+bounds what is broadcast; documents stream past each block and are never shuffled. With
+more than one block the documents are written between two of them, so that a task never
+runs more than one search.
 
 Defined results: NULL and blank items are contained in nothing; an item of fewer than
 five words is one shingle, looked for as a run of that many words. NULL and blank
@@ -29,15 +31,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import shingle_hashes, word_hashes
+from starmart.llm.common import shingle_hashes, word_hashes, written
 
 SHINGLE = 5
 CONTAINMENT = 0.8
 SIGNATURE = 24
-# Items of one broadcast block, and the longest text an item may have: with both, a
-# block stays within a few hundred MB.
-BLOCK_ITEMS = 20_000
-MAX_ITEM_CHARS = 100_000
+# What one broadcast block of items may hold, which keeps it within about 100 MB, and the
+# longest text of an item.
+BLOCK_ITEMS = 50_000
+BLOCK_CHARS = 20_000_000
+MAX_ITEM_CHARS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -119,11 +122,13 @@ def item_blocks(items: DataFrame) -> Iterator[ItemBlock]:
     if usable.filter(F.length("text") > MAX_ITEM_CHARS).limit(1).count():
         raise ValueError(f"an item has more than {MAX_ITEM_CHARS} characters")
     block: list[tuple[int, str]] = []
+    chars = 0
     for row in usable.toLocalIterator():
-        block.append((row["item_id"], row["text"]))
-        if len(block) == BLOCK_ITEMS:
+        if block and (len(block) == BLOCK_ITEMS or chars + len(row["text"]) > BLOCK_CHARS):
             yield index_items(block)
-            block = []
+            block, chars = [], 0
+        block.append((row["item_id"], row["text"]))
+        chars += len(row["text"])
     yield index_items(block)
 
 
@@ -155,7 +160,8 @@ def with_items(docs: DataFrame, items: DataFrame) -> DataFrame:
 
         return run
 
-    for block in item_blocks(items):
+    for number, block in enumerate(item_blocks(items)):
+        result = written(result, "searched") if number else result
         result = result.mapInArrow(searcher(block), result.schema)
     return result
 

@@ -29,7 +29,7 @@ BUCKETS = 1 << 14
 CENTROIDS = 4
 SAMPLE = 2400
 MAX_LANGUAGES = 200
-MAX_TRAIN_CHARS = 200_000
+MAX_TRAIN_CHARS = 50_000
 ROUNDS = 10
 # The share of training texts of a language that its rejection limit would turn away.
 REJECTED_SHARE = 0.01

@@ -38,7 +38,7 @@ PREFIXES = (4, 5)
 EPOCHS = 4
 RATE = 0.05
 SAMPLE = 6000
-MAX_TRAIN_CHARS = 100_000
+MAX_TRAIN_CHARS = 50_000
 # Scores are shifted so that this is the threshold with the best F1.
 THRESHOLD = 0.3
 # Features of fewer training texts stay zero: what no text or one text has tells nothing,
