@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 def acctbal_class(balance: Column, average: Column) -> Column:
     """Three balance classes; NULL and the average itself count as above average."""
+    # Fixed values of the contract: the labels, and that the class is a string.
     return (
         F.when(balance < 0, "negative")
         .when(balance < average, "below_average")
