@@ -10,12 +10,19 @@ the exact similarity of the whole sets decides.
 
 Documents with equal sets are one node throughout. Long lists are not paired off:
 
-1. in every list, all members are compared with one hub, a different one in each list;
-2. the links so confirmed are joined into components;
-3. then only members of different components within a list are compared, all of them.
-
-Two documents of a list are thus compared or already in one component, and no link
-between components is lost. Groups of many copies cost a few comparisons per copy.
+1. in every list, all members are compared with one hub, its most typical member;
+2. the links so confirmed are joined into components; members of lists longer than CROWD
+   are also compared with the hubs of some buckets of like sketches, which joins most of a
+   large group that has no typical member;
+3. in lists of up to CROWD members, members of different components are compared, all of
+   them;
+4. members of longer lists (large groups of copies, some of them beyond the threshold)
+   are listed anew, under the rarest shingles of their whole sets. Of a set of n, so
+   many are taken that any two similar sets must share one; a sixth of n or less. Members
+   of different components within those lists are compared.
+
+Two similar documents are thus compared or already in one component, and no link between
+components is lost. Groups of many copies cost a few comparisons per copy.
 
 The only inexact step is statistical: two sets at the threshold share fewer than
 ``needed`` sketch values, or are estimated below the margin, about once in ten million
@@ -38,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import shingle_set, written
+from starmart.llm.common import let, shingle_set, written
 from starmart.llm.components import components
 
 SKETCH = 32
@@ -46,9 +53,18 @@ SKETCH = 32
 # NEEDED, or an estimate falls below the threshold by more than MARGIN, hardly ever.
 NEEDED = 14
 MARGIN = 0.4
+# The same for the members of crowded lists: their longer sketches are more exact.
+CROWD_SKETCH = 128
+CROWD_MARGIN = 0.2
+# Buckets in which a member of crowded lists is compared with one more hub: texts that
+# have the BAND smallest values of their sketches, newly hashed, in common.
+BUCKETS = 32
+BAND = 8
 SIMILARITY = 85
-# Hubs that a document is compared with in the first step, at most.
+# Lists that a document takes part in for the first step, and the longest lists of which
+# the sketches alone decide who is compared.
 HUBS = 4
+CROWD = 50
 
 
 def shingles(text: str | bytes | None) -> np.ndarray:
@@ -88,16 +104,21 @@ def needed(n: Column, percent: int) -> Column:
 
 
 def value_lists(nodes: DataFrame, percent: int) -> DataFrame:
-    """value, node, n, nth: the sketch values under which a node is listed.
+    """value, node, n, nth, weight: the sketch values under which a node is listed.
 
     Values that only one node has come first in its order and are counted, not listed.
+    The weight says how common the node's values are; the original of many copies has
+    the largest.
     """
     values = nodes.select("node", "n", F.explode("sketch").alias("value"))
     common = values.groupBy("value").agg(F.count("*").alias("held")).filter("held > 1")
     ordered = (
         values.join(common, "value")
         .groupBy("node", "n")
-        .agg(F.array_sort(F.collect_list(F.struct("held", "value"))).alias("common"))
+        .agg(
+            F.sort_array(F.collect_list(F.struct("held", "value"))).alias("common"),
+            F.sum("held").alias("weight"),
+        )
     )
     size = F.least(F.col("n"), F.lit(SKETCH)).cast("int")
     listed = F.col("size") - needed(F.col("n"), percent) + 1
@@ -105,8 +126,10 @@ def value_lists(nodes: DataFrame, percent: int) -> DataFrame:
     return (
         ordered.withColumn("size", size)
         .withColumn("left", F.greatest(listed - alone, F.lit(0)))
-        .select("node", "n", F.posexplode(F.slice("common", 1, F.col("left"))).alias("nth", "c"))
-        .select(F.col("c.value").alias("value"), "node", "n", "nth")
+        .select(
+            "node", "n", "weight", F.posexplode(F.slice("common", 1, F.col("left"))).alias("nth", "c")
+        )
+        .select(F.col("c.value").alias("value"), "node", "n", "nth", "weight")
     )
 
 
@@ -119,10 +142,8 @@ def ordered_pairs(pairs: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def hub_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a node and the hub of a list it is in; each list picks by its own hash."""
-    hubs = lists.groupBy("value").agg(
-        F.min(F.struct(F.xxhash64("value", "node").alias("h"), "node", "n")).alias("hub")
-    )
+    """Pairs of a node and the hub of a list it is in."""
+    hubs = lists.groupBy("value").agg(F.max(F.struct("weight", "node", "n")).alias("hub"))
     with_hub = (
         lists.filter(F.col("nth") < HUBS)
         .join(hubs, "value")
@@ -133,42 +154,151 @@ def hub_pairs(lists: DataFrame, percent: int) -> DataFrame:
     return ordered_pairs(with_hub, "node", "hub")
 
 
-def remaining_pairs(lists: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes that share a list but not a component."""
+def remaining_pairs(
+    lists: DataFrame, found: DataFrame, sketches: DataFrame, size: int, lowest: float, percent: int
+) -> DataFrame:
+    """Pairs of nodes that share a list but not a component, if their sketches (node,
+    sketch, of ``size`` values) do not rule them out.
+
+    Lists have value, node, n, after (how many values of the set come after this one, the
+    rarest first; NULL if unknown) and the flags indexed and probing: of two nodes, the
+    one with more shingles must be probing and the other one indexed.
+    """
     placed = (
         lists.join(found, "node", "left")
         .withColumn("component", F.coalesce("component", F.col("node")))
-        .select("value", "node", "n", "component")
+        .select("value", "node", "n", "after", "component", "indexed", "probing")
     )
-    mixed = (
-        placed.groupBy("value")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .filter("low < high")
-        .select("value")
+    # Members of the list's largest component meet only those outside it.
+    largest = (
+        placed.groupBy("value", "component")
+        .count()
+        .groupBy("value")
+        .agg(F.max(F.struct("count", "component"))["component"].alias("major"), F.count("*").alias("k"))
+        .filter("k > 1")
+        .select("value", "major")
     )
-    open_lists = written(placed.join(mixed, "value", "left_semi"), "open_lists")
-    other = open_lists.select(
+    open_lists = placed.join(largest, "value").join(sketches.hint("merge"), "node")
+    open_lists = written(open_lists, "open_lists")
+    minor = F.col("component") != F.col("major")
+    a = open_lists.filter(minor).drop("major")
+    b = open_lists.select(
         "value",
         F.col("node").alias("other"),
         F.col("n").alias("other_n"),
+        F.col("after").alias("other_after"),
+        F.col("sketch").alias("other_sketch"),
         F.col("component").alias("other_component"),
+        F.col("indexed").alias("other_indexed"),
+        F.col("probing").alias("other_probing"),
     )
-    pairs = open_lists.join(other, "value").filter(
-        (F.col("component") < F.col("other_component"))
+    fits = F.when(
+        F.col("n") >= F.col("other_n"), F.col("probing") & F.col("other_indexed")
+    ).otherwise(F.col("indexed") & F.col("other_probing"))
+    # What comes after the first common value bounds what two sets can share.
+    most = 1 + F.least("after", "other_after")
+    enough = most * (100 + percent) >= percent * (F.col("n") + F.col("other_n"))
+    pairs = a.join(b, "value").filter(
+        (F.col("component") != F.col("other_component"))
+        & fits
+        & (F.col("after").isNull() | enough)
         & similar_sizes(F.col("n"), F.col("other_n"), percent)
+        & may_be_similar(F.col("sketch"), F.col("other_sketch"), size, lowest)
     )
     return ordered_pairs(pairs, "node", "other")
 
 
-def estimated(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs that their sketches do not rule out."""
+def bucket_pairs(sketches: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs of a node and the hub of a bucket, in different components so far."""
+    band = F.expr(
+        f"slice(sort_array(transform(sketch, v -> xxhash64(bucket, v))), 1, {BAND})"
+    )
+    placed = (
+        sketches.join(found, "node", "left")
+        .withColumn("bucket", F.explode(F.sequence(F.lit(1), F.lit(BUCKETS))))
+        .select(
+            F.xxhash64("bucket", band).alias("value"),
+            "node",
+            F.coalesce("component", F.col("node")).alias("component"),
+        )
+    )
+    placed = written(placed, "buckets")
+    order = F.struct(F.xxhash64("value", "node").alias("h"), "node", "component")
+    hubs = placed.groupBy("value").agg(F.max(order).alias("hub"))
+    pairs = (
+        placed.join(hubs, "value")
+        .filter(F.col("component") != F.col("hub.component"))
+        .select("node", F.col("hub.node").alias("hub"))
+    )
+    return ordered_pairs(pairs, "node", "hub")
+
+
+def crowd_sketches(texts: DataFrame) -> DataFrame:
+    """node and its CROWD_SKETCH smallest hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingles(raw)[:CROWD_SKETCH].view(np.int64) for raw in batch["raw"].to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch["node"], pa.array(found, pa.list_(pa.int64()))], names=["node", "sketch"]
+            )
+
+    return texts.mapInArrow(run, "node long, sketch array<long>")
+
+
+def whole_lists(texts: DataFrame, percent: int) -> DataFrame:
+    """value, node, n, after, indexed and probing: the rarest shingles of whole sets.
+
+    Sets of n >= m shingles share p / (100 + p) * (n + m) of them at least; each side is
+    listed under one more than it can lack, rarest first.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, raw in zip(batch["node"].to_pylist(), batch["raw"].to_pylist(), strict=True):
+                values = shingles(raw).view(np.int64)
+                columns = [np.full(len(values), node), np.full(len(values), len(values)), values]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, pa.int64()) for c in columns], names=["node", "n", "value"]
+                )
+
+    values = written(texts.mapInArrow(run, "node long, n long, value long"), "whole_sets")
+    held = values.groupBy("value").agg(F.count("*").alias("held")).filter("held > 1")
+    ordered = (
+        values.join(held, "value")
+        .groupBy("node", "n")
+        .agg(F.sort_array(F.collect_list(F.struct("held", "value"))).alias("common"))
+    )
+    alone = F.col("n") - F.size("common")
+    probe = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    index = F.col("n") - F.ceil(F.col("n") * 2 * percent / (100 + percent)) + 1
+    listed = F.greatest(probe - alone, F.lit(0)).cast("int")
+    return (
+        ordered.select(
+            "node", "n", alone.alias("alone"), (index - alone).alias("index_end"),
+            F.posexplode(F.slice("common", 1, listed)).alias("nth", "c"),
+        )
+        .select(
+            F.col("c.value").alias("value"), "node", "n",
+            (F.col("n") - F.col("alone") - F.col("nth") - 1).alias("after"),
+            (F.col("nth") < F.col("index_end")).alias("indexed"), F.lit(True).alias("probing"),
+        )
+    )
+
+
+def may_be_similar(s: Column, t: Column, size: int, lowest: float) -> Column:
+    """Whether the sketch of the union, of which the shared part is known, allows it."""
+    union = F.slice(F.sort_array(F.array_union(s, t)), 1, size)
+    common = F.array_intersect(s, t)
+    return let(union, lambda u: F.size(F.array_intersect(u, common)) >= lowest * F.size(u))
+
+
+def estimated(pairs: DataFrame, nodes: DataFrame, size: int, lowest: float) -> DataFrame:
+    """The pairs that their sketches, of ``size`` values, do not rule out."""
     x = nodes.select(F.col("node").alias("x"), F.col("sketch").alias("s"))
     y = nodes.select(F.col("node").alias("y"), F.col("sketch").alias("t"))
-    union = F.slice(F.array_sort(F.array_union("s", "t")), 1, SKETCH)
-    shared = F.size(F.array_intersect("u", F.array_intersect("s", "t")))
-    near = shared >= (percent / 100 - MARGIN) * F.size("u")
-    both = pairs.join(x, "x").join(y, "y").withColumn("u", union)
-    return both.filter(near).select("x", "y")
+    near = may_be_similar(F.col("s"), F.col("t"), size, lowest)
+    return pairs.join(x, "x").join(y, "y").filter(near).select("x", "y")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -214,7 +344,7 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     )
     lists = written(value_lists(nodes, percent), "value_lists")
     shared = lists.groupBy("value").agg(F.count("*").alias("held")).filter("held > 1")
-    lists = written(lists.join(shared.select("value"), "value", "left_semi"), "shared_lists")
+    lists = written(lists.join(shared, "value"), "shared_lists")
     listed = lists.select("node").distinct()
     texts = written(
         docs.select(
@@ -223,19 +353,42 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
         "listed_texts",
     )
 
-    def confirm(pairs: DataFrame, name: str) -> DataFrame:
-        candidates = written(estimated(pairs, nodes, percent), f"{name}_candidates")
-        return written(verified(candidates, texts, percent), f"{name}_links")
-
-    hub_links = confirm(hub_pairs(lists, percent), "hub")
+    lowest, crowd_lowest = percent / 100 - MARGIN, percent / 100 - CROWD_MARGIN
+    hubs = estimated(hub_pairs(lists, percent), nodes, SKETCH, lowest)
+    hub_links = written(
+        verified(written(hubs, "hub_candidates"), texts, percent), "hub_links"
+    )
     found = components(hub_links)
-    rest_links = confirm(remaining_pairs(lists, found, percent), "rest")
+    both = F.lit(True)
+    short = lists.filter(F.col("held") <= CROWD).withColumns(
+        {"indexed": both, "probing": both, "after": F.lit(None).cast("long")}
+    )
+    crowd = lists.filter(F.col("held") > CROWD).select("node").distinct()
+    crowd_texts = written(texts.join(crowd, "node", "left_semi"), "crowd_texts")
+    crowd_sketch = written(crowd_sketches(crowd_texts), "crowd_sketches")
+    buckets = estimated(
+        bucket_pairs(crowd_sketch, found), crowd_sketch, CROWD_SKETCH, crowd_lowest
+    )
+    bucket_links = written(
+        verified(written(buckets, "bucket_candidates"), crowd_texts, percent), "bucket_links"
+    )
+    hub_links = hub_links.unionAll(bucket_links)
+    found = components(hub_links)
+    whole = whole_lists(crowd_texts, percent)
+    rest = remaining_pairs(
+        short, found, nodes.select("node", "sketch"), SKETCH, lowest, percent
+    ).unionAll(
+        remaining_pairs(whole, found, crowd_sketch, CROWD_SKETCH, crowd_lowest, percent)
+    )
+    rest_links = written(
+        verified(written(rest.distinct(), "rest_candidates"), texts, percent), "rest_links"
+    )
     links = hub_links.unionAll(rest_links).unionAll(copies)
-    whole = components(links)
+    joined = components(links)
     component = F.coalesce("component", F.when(F.col("doc_id").isNotNull(), F.col("doc_id")))
     return (
         sketched.select("doc_id", "n_shingles")
-        .join(whole.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        .join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         .select(
             "doc_id",
             "n_shingles",

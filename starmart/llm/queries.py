@@ -114,6 +114,75 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_substring_dedup": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS row_id, doc_id,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), places AS (
+            SELECT row_id, doc_id, w, unnest(range(1, len(w) - 18)) AS start
+            FROM docs WHERE doc_id IS NOT NULL
+        ), windows AS (
+            SELECT row_id, doc_id, start, array_to_string(w[start:start + 19], ' ') AS words
+            FROM places
+        ), firsts AS (
+            SELECT words, min({'doc_id': doc_id, 'start': start}) AS earliest
+            FROM windows GROUP BY words
+        ), repeats AS (
+            SELECT row_id, start FROM windows JOIN firsts USING (words)
+            WHERE earliest < {'doc_id': doc_id, 'start': start}
+        ), removed AS (
+            SELECT DISTINCT row_id, start + shift AS place
+            FROM repeats, (SELECT unnest(range(0, 20)) AS shift)
+        ), tokens AS (
+            SELECT row_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM docs
+        ), kept AS (
+            SELECT row_id, count(r.place) AS n_removed,
+                   string_agg(word, ' ' ORDER BY t.place) FILTER (WHERE r.place IS NULL) AS text
+            FROM tokens t LEFT JOIN removed r USING (row_id, place) GROUP BY row_id
+        )
+        SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed,
+               sha256(coalesce(text, '')) AS kept_sha256
+        FROM docs LEFT JOIN kept USING (row_id)
+    """,
+    "op9_near_dedup": r"""
+        WITH RECURSIVE docs AS (
+            SELECT row_number() OVER () AS row_id, doc_id,
+                   regexp_extract_all(translate(coalesce(text, ''),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), places AS (
+            SELECT row_id, doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS place
+            FROM docs WHERE len(w) > 0
+        ), shingles AS (
+            SELECT DISTINCT row_id, doc_id, array_to_string(w[place:place + 4], ' ') AS shingle
+            FROM places
+        ), sizes AS (
+            SELECT row_id, count(*) AS n FROM shingles GROUP BY row_id
+        ), shared AS (
+            SELECT a.row_id AS x, b.row_id AS y, count(*) AS n
+            FROM shingles a JOIN shingles b
+              ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+            GROUP BY ALL
+        ), links AS (
+            SELECT DISTINCT p.doc_id AS x, q.doc_id AS y
+            FROM shared JOIN sizes a ON a.row_id = x JOIN sizes b ON b.row_id = y
+            JOIN docs p ON p.row_id = x JOIN docs q ON q.row_id = y
+            WHERE 100 * shared.n >= 85 * (a.n + b.n - shared.n)
+        ), reach AS (
+            SELECT DISTINCT doc_id AS node, doc_id AS root FROM docs WHERE doc_id IS NOT NULL
+            UNION
+            SELECT links.y, reach.root FROM reach JOIN links ON links.x = reach.node
+            WHERE reach.root < links.y
+        ), components AS (
+            SELECT node AS doc_id, min(root) AS component_id FROM reach GROUP BY node
+        )
+        SELECT docs.doc_id, coalesce(n, 0) AS n_shingles, component_id,
+               coalesce(component_id = docs.doc_id, true) AS kept
+        FROM docs LEFT JOIN sizes USING (row_id)
+        LEFT JOIN components ON components.doc_id = docs.doc_id
+    """,
     "op4_decontamination": r"""
         WITH items AS (
             SELECT item_row, item_id, w,

@@ -104,8 +104,3 @@ def empty_dir(spark, tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf_dir():
     return SF_DIR
-
-
-@pytest.fixture(scope="session")
-def documents():
-    return document_rows()

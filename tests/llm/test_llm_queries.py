@@ -1,14 +1,15 @@
 """The registered queries: against their SQL, against brute force, and on odd tables."""
 
 import hashlib
+import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import duckdb
 import pytest
 
 import corpus_pipeline
-from starmart.llm import decontamination, mixing, near_dedup, substring_dedup
+from starmart.llm import decontamination, line_dedup, mixing, near_dedup, substring_dedup
 from starmart.llm.queries import ORACLE_SQL, QUERIES
 
 TABLES = "documents pages benchmark labels".split()
@@ -60,7 +61,9 @@ def by_sql(path, sql, columns):
     return con.sql(f"SELECT {', '.join(columns)} FROM ({sql})").fetchall()
 
 
-def test_line_dedup_equals_sql(spark, small_dir):
+@pytest.mark.parametrize("crowd", [50, 2])
+def test_line_dedup_equals_sql(spark, small_dir, monkeypatch, crowd):
+    monkeypatch.setattr(line_dedup, "CROWD", crowd)
     columns, rows = run(spark, "op10_line_dedup", small_dir)
     assert bag(rows) == bag(by_sql(small_dir, ORACLE_SQL["op10_line_dedup"], columns))
 
@@ -104,6 +107,29 @@ def test_substring_dedup_by_force(spark, any_dir, monkeypatch, salt_rows):
     assert bag(rows) == bag(passages_by_force(texts(any_dir)))
 
 
+# --- line dedup -----------------------------------------------------------------
+
+
+def one_edit(a, b):
+    short, long = sorted((a, b), key=len)
+    start = next((i for i, c in enumerate(short) if c != long[i]), len(short))
+    return short[start + len(short) - len(long) + 1 :] == long[start + 1 :] and (
+        len(long) - len(short) < 2
+    )
+
+
+def test_crowded_segments(spark):
+    """Lines that mostly differ from one another by two edits, and share every half."""
+    lines = [f"chapter {i:03d} of the very same long book, part {j}" for i in range(90) for j in "ab"]
+    lines += [f"chapter {i:02d} of the very same long book, part a" for i in range(30)]
+    rows = [(i, line) for i, line in enumerate(lines)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_removed, r.n_links) for r in line_dedup.dedup(docs).collect()}
+    for i, a in enumerate(lines):
+        near = [j for j, b in enumerate(lines) if a != b and one_edit(a, b)]
+        assert got[i] == (int(any(j < i for j in near)), len(near)), a
+
+
 # --- near dedup -----------------------------------------------------------------
 
 
@@ -132,7 +158,9 @@ def components_by_force(rows, percent):
     return {d: (len(sets[d]), root(d)) for d in sets}
 
 
-def test_near_dedup_by_force(spark, any_dir):
+@pytest.mark.parametrize("crowd", [50, 2])
+def test_near_dedup_by_force(spark, any_dir, monkeypatch, crowd):
+    monkeypatch.setattr(near_dedup, "CROWD", crowd)
     _, rows = run(spark, "op9_near_dedup", any_dir)
     given = texts(any_dir)
     expected = components_by_force(given, 85)
@@ -145,7 +173,9 @@ def test_near_dedup_by_force(spark, any_dir):
             assert kept == (doc_id == component)
 
 
-def test_near_dedup_compares_across_components(spark):
+@pytest.mark.parametrize("crowd", [50, 5])
+def test_near_dedup_compares_across_components(spark, monkeypatch, crowd):
+    monkeypatch.setattr(near_dedup, "CROWD", crowd)
     """A chain of near copies, of which no hub is close to all."""
     base = [f"w{i}" for i in range(200)]
     rows = []
@@ -157,6 +187,21 @@ def test_near_dedup_compares_across_components(spark):
     assert got == components_by_force(rows, 85)
 
 
+def test_near_dedup_of_a_large_group_around_the_threshold(spark):
+    """Copies with one to sixty edits: some near the original, some near one another."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(300)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 150):
+        w = list(base[: 300 - rng.choice([0, 0, 40, 60])])
+        for at in rng.sample(range(200), rng.randrange(1, 13)):
+            w[at] = f"e{i if i % 3 else 0}x{at}"
+        rows.append((i, " ".join(w)))
+    df = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in df.collect()}
+    assert got == components_by_force(rows, 85)
+
+
 def test_sketches_hardly_ever_miss():
     assert near_dedup.chance_of_a_miss(0.85) < 1e-7
     assert near_dedup.chance_of_a_miss(0.80) < 1e-5
@@ -206,10 +251,12 @@ def test_splitting_tree_is_exact_and_fair():
 
 def test_mix_holds_the_blocks_it_counts(spark, odd_dir):
     docs = spark.read.parquet(f"{odd_dir}/documents.parquet")
-    rows = mixing.mix(docs).collect()
+    rows = mixing.mix(docs, shards=5).collect()
     taken = sum(r[4] for r in run(spark, "op7_mixing", odd_dir)[1])
     assert sum(len(words(r.text)) for r in rows) == taken
-    assert all(0 <= r.shard < mixing.SHARDS for r in rows)
+    assert {r.shard for r in rows} == set(range(5))
+    counts = Counter(r.shard for r in rows).values()
+    assert max(counts) - min(counts) <= 5
     by_doc = {r[0]: words(r[1]) for r in texts(odd_dir) if r[0] not in (2, None)}
     for r in rows:
         if r.doc_id in by_doc:
