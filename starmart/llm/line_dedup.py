@@ -34,9 +34,6 @@ EDITS = 1
 # Index entries and probes that one signature may have before its lines are signed anew.
 CROWD = 50
 FINER = 8
-# A document that would lose more than this share of its lines is a copy as a whole.
-# remove_repeats() leaves it as it is, for a document-level operator to judge.
-MAX_REMOVED_SHARE = 0.5
 
 
 def has_word(line: Column) -> Column:
@@ -266,22 +263,52 @@ def dedup(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     )
 
 
+def line_decisions(docs: DataFrame, edits: int = EDITS) -> DataFrame:
+    """doc_id, text_key and repeats of each text with lines, one row for equal rows.
+
+    A text that an earlier document has as a whole gets the decisions of the earliest.
+    """
+    texts = (
+        docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+        .select(
+            F.col("doc_id").cast("long").alias("doc_id"), line_key(F.col("text")).alias("text_key")
+        )
+        .distinct()
+    )
+    repeats = written(repeated_places(docs, edits).select("doc_id", "repeats"), "repeats")
+    firsts = (
+        texts.groupBy("text_key")
+        .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+        .filter("first != last")
+        .join(repeats.toDF("first", "first_repeats"), "first")
+        .drop("last")
+    )
+    return (
+        texts.join(repeats, "doc_id")
+        .join(firsts, "text_key", "left")
+        .select("doc_id", "text_key", F.coalesce("first_repeats", "repeats").alias("repeats"))
+    )
+
+
 def remove_repeats(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """The rows of ``docs`` (doc_id, text, n_chars, others) without repeated lines.
 
-    Documents of which more than MAX_REMOVED_SHARE of the lines would go keep all.
+    Every line decision is carried out, however many lines of a document it takes; one
+    that is left without a worded line keeps its row, with what other lines it has. Only
+    an exact copy of an earlier document is not emptied line by line: it gets the text
+    which the earliest such document is left with, so that document-level dedup, for
+    which equal texts are one, drops it as a copy.
     """
-    repeats = repeated_places(docs, edits).select("doc_id", "repeats")
-    lines = F.filter(F.split("text", "\n"), has_word)
-    few = F.size("repeats") <= MAX_REMOVED_SHARE * F.size(lines)
-    text = F.when(few, kept_text(F.col("text"), F.col("repeats"))).otherwise(F.col("text"))
     cut = (
-        docs.select([F.struct(*docs.columns).alias("d"), F.col("doc_id")])
-        .join(repeats.hint("merge"), "doc_id", "left")
-        .withColumns({"text": F.col("d.text"), "n_chars": F.col("d.n_chars")})
-        .withColumn("text", text)
+        docs.select(
+            F.struct(*docs.columns).alias("d"),
+            F.col("doc_id"),
+            line_key(F.col("text")).alias("text_key"),
+        )
+        .join(line_decisions(docs, edits).hint("merge"), ["doc_id", "text_key"], "left")
+        .withColumn("text", kept_text(F.col("d.text"), F.col("repeats")))
     )
     columns = [F.col(f"d.{c}") for c in docs.columns if c not in ("text", "n_chars")]
     changed = F.size("repeats") > 0
-    n_chars = F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    n_chars = F.when(changed, F.length("text").cast("long")).otherwise(F.col("d.n_chars"))
     return cut.select(*columns, "text", n_chars.alias("n_chars")).select(docs.columns)

@@ -317,3 +317,24 @@ def test_pipeline_drops_what_each_stage_is_for(spark, odd_dir):
     lines = {r.doc_id: r.text for r in kept["line_dedup"](spark, docs, odd_dir).collect()}
     assert lines[201] == "own line 1 1" and lines[200].startswith("shared line here")
     assert lines[2] == lines[1]  # a copy as a whole is left to the next stage
+
+
+def test_pipeline_carries_out_every_line_decision(spark, any_dir):
+    docs = spark.read.parquet(f"{any_dir}/documents.parquet").select("doc_id", "text", "n_chars")
+    rows = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").collect()
+    first = {}
+    for r in rows:
+        first[r.text] = min(first.get(r.text, r.doc_id), r.doc_id)
+    lost = {r.doc_id: set(r.repeats) for r in line_dedup.repeated_places(docs).collect()}
+
+    def left(r):
+        lines = enumerate(r.text.split("\n"))
+        return "\n".join(x for n, x in lines if n not in lost.get(first[r.text], ()))
+
+    stage = line_dedup.remove_repeats(docs)
+    found = stage.filter("doc_id IS NOT NULL AND text IS NOT NULL").collect()
+    assert Counter((r.doc_id, r.text) for r in found) == Counter((r.doc_id, left(r)) for r in rows)
+    # Exact copies get the text of the first one, so the next stage drops all of them.
+    near = {r.doc_id for r in near_dedup.deduplicated(stage, corpus_pipeline.SIMILARITY).collect()}
+    copies = {r.doc_id for r in rows if first[r.text] < r.doc_id and left(r).strip()}
+    assert not copies & near
