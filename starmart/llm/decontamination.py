@@ -11,14 +11,15 @@ value among its own shingle hashes, and each is then verified on the item's full
 shingle set.
 
 Items are the query set: they are taken in blocks of BLOCK_ITEMS and BLOCK_CHARS, which
-bounds what is broadcast; documents stream past each block and are never shuffled. With
-more than one block the documents are written between two of them, so that a task never
-runs more than one search.
+bounds what is broadcast; a longer item is a block of its own. Documents stream past each
+block and are never shuffled. With more than one block the documents are written between
+two of them, so that a task never runs more than one search.
 
 Defined results: NULL and blank items are contained in nothing; an item of fewer than
 five words is one shingle, looked for as a run of that many words. NULL and blank
-documents contain nothing. Items with the same id are independent items; so are
-repeated documents. Other columns of the tables do not matter.
+documents contain nothing. Items with the same id are independent items; so are items
+without id, which are found under a NULL id, and repeated documents. Other columns of the
+tables do not matter.
 """
 
 from __future__ import annotations
@@ -36,18 +37,16 @@ from starmart.llm.common import shingle_hashes, word_hashes, written
 SHINGLE = 5
 CONTAINMENT = 0.8
 SIGNATURE = 24
-# What one broadcast block of items may hold, which keeps it within about 100 MB, and the
-# longest text of an item.
+# What one broadcast block of several items may hold, which keeps it within about 100 MB.
 BLOCK_ITEMS = 50_000
 BLOCK_CHARS = 20_000_000
-MAX_ITEM_CHARS = 1_000_000
 
 
 @dataclass(frozen=True)
 class ItemBlock:
     """A block of items: the index of signatures and the full sets behind it."""
 
-    ids: np.ndarray
+    ids: tuple[int | None, ...]
     sizes: np.ndarray
     widths: tuple[int, ...]
     signature: np.ndarray
@@ -66,7 +65,7 @@ def partition_signature(size: int) -> int:
     return min(upper - int(np.ceil(CONTAINMENT * upper)) + 1, SIGNATURE)
 
 
-def index_items(items: list[tuple[int, str]]) -> ItemBlock:
+def index_items(items: list[tuple[int | None, str]]) -> ItemBlock:
     ids, sets, widths = [], [], []
     for item_id, text in items:
         hashes = word_hashes(tokens(text))
@@ -82,7 +81,7 @@ def index_items(items: list[tuple[int, str]]) -> ItemBlock:
     order = np.argsort(values, kind="stable")
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     return ItemBlock(
-        np.array(ids, dtype=np.int64),
+        tuple(ids),
         sizes,
         tuple(sorted(set(widths))),
         values[order],
@@ -92,7 +91,7 @@ def index_items(items: list[tuple[int, str]]) -> ItemBlock:
     )
 
 
-def contained(block: ItemBlock, text: str | None) -> list[tuple[int, int, int]]:
+def contained(block: ItemBlock, text: str | None) -> list[tuple[int | None, int, int]]:
     """(item id, item shingles, shared shingles) of the items that ``text`` contains."""
     if not len(block.signature):
         return []
@@ -110,18 +109,14 @@ def contained(block: ItemBlock, text: str | None) -> list[tuple[int, int, int]]:
         places = np.minimum(np.searchsorted(shingles, members), len(shingles) - 1)
         shared = int((shingles[places] == members).sum())
         if shared >= CONTAINMENT * len(members) - 1e-9:
-            found.append((int(block.ids[c]), len(members), shared))
+            found.append((block.ids[c], len(members), shared))
     return found
 
 
 def item_blocks(items: DataFrame) -> Iterator[ItemBlock]:
     """The item table in blocks, streamed through the driver."""
-    usable = items.select(F.col("item_id").cast("long"), "text").filter(
-        F.col("item_id").isNotNull() & F.col("text").isNotNull()
-    )
-    if usable.filter(F.length("text") > MAX_ITEM_CHARS).limit(1).count():
-        raise ValueError(f"an item has more than {MAX_ITEM_CHARS} characters")
-    block: list[tuple[int, str]] = []
+    usable = items.select(F.col("item_id").cast("long"), "text").filter(F.col("text").isNotNull())
+    block: list[tuple[int | None, str]] = []
     chars = 0
     for row in usable.toLocalIterator():
         if block and (len(block) == BLOCK_ITEMS or chars + len(row["text"]) > BLOCK_CHARS):

@@ -274,6 +274,20 @@ def test_items_in_blocks(spark, small_dir, monkeypatch):
     assert bag(run(spark, "op4_decontamination", small_dir)[1]) == bag(whole)
 
 
+def test_items_without_id_and_very_long_items(spark):
+    long = " ".join(f"w{i}" for i in range(200_000))
+    assert len(long) > 1_000_000
+    item = "an item of these seven words here"
+    items = spark.createDataFrame([(None, item), (2, item), (3, long)], "item_id long, text string")
+    docs = spark.createDataFrame(
+        [(1, f"so {item} ends"), (2, f"so {long} ends"), (3, "neither")], "doc_id long, text string"
+    )
+    found = [tuple(r) for r in decontamination.matches(docs, items).collect()]
+    assert bag(found) == bag([(1, None, 3, 3), (1, 2, 3, 3), (2, 3, 199_996, 199_996)])
+    kept = decontamination.decontaminated(docs, items.filter("item_id IS DISTINCT FROM 2"))
+    assert [r.doc_id for r in kept.collect()] == [3]
+
+
 def test_signatures_leave_nothing_out():
     for size in range(1, 100):
         signature = min(decontamination.partition_signature(size), size)
