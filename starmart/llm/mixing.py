@@ -144,16 +144,19 @@ def source_table(sized: DataFrame) -> DataFrame:
 def ranked_blocks(sized: DataFrame, sources: DataFrame, seed: int) -> DataFrame:
     """A row per block with its rank in the order of its source and its number of draws.
 
-    Documents without words keep one row without a block.
+    Documents without words keep one row without a block, which is not ranked: ranges
+    are sized by blocks, so any number of such rows could meet in one.
     """
     n_blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    numbers = F.when(n_blocks > 0, F.sequence(F.lit(0), n_blocks - 1))
+    numbers = F.sequence(F.lit(0), n_blocks - 1)
     block_words = F.least(F.lit(BLOCK), F.col("size") - F.col("block") * BLOCK)
+    placed = sized.join(
+        F.broadcast(sources), F.col("source").eqNullSafe(F.col("source_name"))
+    ).drop("source_name")
     blocks = (
-        sized.join(F.broadcast(sources), F.col("source").eqNullSafe(F.col("source_name")))
-        .drop("source_name")
-        .select("*", F.explode_outer(numbers).alias("block"))
-        .withColumn("words", F.coalesce(block_words, F.lit(0)))
+        placed.filter("size > 0")
+        .select("*", F.explode(numbers).alias("block"))
+        .withColumn("words", block_words)
         .withColumn("place", F.xxhash64(F.lit(seed), *UNIT, "block", "source_no"))
     )
     # The place as a share of all hash values picks the range.
@@ -187,10 +190,14 @@ def ranked_blocks(sized: DataFrame, sources: DataFrame, seed: int) -> DataFrame:
     passes = F.coalesce(F.floor(F.col("target") / F.col("source_size")), F.lit(0))
     rest = F.col("target") - passes * F.col("source_size")
     last = (F.col("words_before") + F.col("words") / 2 <= rest).cast("int")
-    return ranked.select(
-        "source", "source_no", "source_size", "target", "n_blocks", *UNIT, "block", "words", "rank",
-        F.when(F.col("block").isNotNull(), passes + last).otherwise(0).alias("draws"),
-    )
+    own = ["source", "source_no", "source_size", "target", "n_blocks", *UNIT]
+    wordless = placed.filter("size = 0").select(
+        *own,
+        F.lit(None).cast("int").alias("block"),
+        *[F.lit(0).cast("long").alias(c) for c in ("words", "rank", "draws")],
+    )
+    drawn = ranked.select(*own, "block", "words", "rank", (passes + last).alias("draws"))
+    return drawn.unionByName(wordless)
 
 
 def shard_of(draw: Column, ends: Column) -> Column:

@@ -264,6 +264,20 @@ def test_mix_holds_the_blocks_it_counts(spark, odd_dir):
             assert words(r.text) == by_doc[r.doc_id][begin : begin + mixing.BLOCK]
 
 
+def test_documents_without_words_are_not_ranked(spark):
+    """They have no block, so the number of ranges does not allow for them."""
+    rows = [(i, " ", "a") for i in range(500)] + [(1000, "some words", "a"), (1001, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sized = mixing.units(docs)
+    ranked = mixing.ranked_blocks(sized, mixing.source_table(sized), 1)
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+    assert "(size#" in plan.split("Window [")[-1] and "> 0)" in plan.split("Window [")[-1]
+    found = ranked.collect()
+    assert len(found) == 502 and sum(r.draws > 0 for r in found) == 1
+    taken = {r.doc_id: r.taken for r in mixing.taken(docs).collect()}
+    assert len(taken) == 502 and [d for d, n in taken.items() if n] == [1000]
+
+
 # --- decontamination ------------------------------------------------------------
 
 
