@@ -7,6 +7,13 @@ their mean, and compared with a threshold. The element that encloses nearly all
 text so selected is the article; its blocks, without those that are marked as something
 else (menus, adverts, comments and so on), are the main text.
 
+A mark is a whole class, id or role (or a compound of marks only), or the kind of element.
+It leaves an element out unless that holds the main part or only article that the page
+itself names. On a page that names none, or only a hidden or empty one, neither a mark nor
+hiding counts on an element with most of the text that the ratios select. Inside the
+article, words that a part of it may go by as well (WEAK: discussion, notice and so on)
+leave only those nodes out that the ratios do not select. Headings are never marked by name.
+
 Pages are independent: nothing is shuffled and a task holds one batch of pages.
 
 Defined results: NULL or empty html and pages without text give an empty text. Comments
@@ -33,13 +40,14 @@ THRESHOLD = 0.25
 KERNEL = np.array([0.1, 0.2, 0.4, 0.2, 0.1])
 # The article is the smallest element that holds this share of the selected text.
 ARTICLE_SHARE = 0.8
+# A mark does not count on an element that holds more than this share of it.
+MOST = 0.5
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
     re.DOTALL,
 )
-ATTRIBUTE = re.compile(r"(?i)\b(class|id|role|style|aria-hidden)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
-HIDDEN = re.compile(r"(?i)(?:^|\s)hidden(?:\s|=|/|$)")
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 NOT_SHOWN = re.compile(r"(?i)display\s*:\s*none|visibility\s*:\s*hidden")
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？؟،]")
 NAME_PARTS = re.compile(r"[a-z]+")
@@ -62,6 +70,15 @@ MARKS = set(
     "subscribe signup login search pagination pager widget widgets toolbar toc skip dialog "
     "copyright disclaimer".split()
 )
+# Marks that a part of the article itself may carry.
+WEAK = set(
+    "notice notices alert side related header respond reply replies discussion social sponsor "
+    "sponsors recommended recommendations search copyright disclaimer toc banner masthead".split()
+)
+# Elements that no name marks.
+UNMARKED = set("html body main article h1 h2 h3 h4 h5 h6".split())
+# What an element is left out for.
+SHOWN, WEAKLY, MARKED, UNSEEN = range(4)
 # Start tags that end an open element of these kinds, up to the nearest container.
 ENDS = {
     "li": {"li"},
@@ -86,8 +103,9 @@ class Page:
         self.element_of: list[int] = []
         self.parents = [-1]
         self.tags = [""]
-        # Open elements: tag, path, number of the element, whether it is left out.
-        self.open: list[tuple[str, int, int, bool]] = [("", 0, 0, False)]
+        self.marks = [SHOWN]
+        # Open elements: tag, path, number of the element.
+        self.open: list[tuple[str, int, int]] = [("", 0, 0)]
         self.block = 0
         self.parse(html)
 
@@ -113,7 +131,7 @@ class Page:
         self.text(rest[: cut.start()] if cut else rest)
 
     def text(self, raw: str) -> None:
-        if raw and not self.open[-1][3]:
+        if raw:
             text = unescape(raw) if "&" in raw else raw
             self.texts.append(text)
             self.path_of.append(self.open[-1][1])
@@ -129,30 +147,38 @@ class Page:
             if tag == "br":
                 self.text(" ")
             return
-        names = dict.fromkeys(("class", "id", "role", "style", "aria-hidden"), "")
-        if attributes:
-            for name, value in ATTRIBUTE.findall(attributes):
-                names[name.lower()] = value.strip("\"'").lower()
-        marks = f"{names['class']} {names['id']} {names['role']}"
-        out = (
-            self.open[-1][3]
-            or tag in OTHER
-            or (tag not in ("html", "body", "main", "article") and self.marked(marks))
-            or bool(attributes and HIDDEN.search(attributes))
-            or names["aria-hidden"] == "true"
-            or bool(names["style"] and NOT_SHOWN.search(names["style"]))
-        )
-        label = f"{tag}.{names['class'] or names['id']}"
+        names: dict[str, str] = {}
+        for name, value in ATTRIBUTE.findall(attributes) if attributes else ():
+            names.setdefault(name.lower(), value.strip("\"'").lower())
+        mark = SHOWN
+        if (
+            "hidden" in names
+            or names.get("aria-hidden") == "true"
+            or NOT_SHOWN.search(names.get("style", ""))
+        ):
+            mark = UNSEEN
+        elif tag in OTHER:
+            mark = MARKED
+        elif tag not in UNMARKED:
+            mark = self.marked(names)
+        label = f"{tag}.{names.get('class') or names.get('id', '')}"
         path = self.paths.setdefault((self.open[-1][1], label), len(self.paths) + 1)
         self.parents.append(self.open[-1][2])
         self.tags.append(tag)
-        self.open.append((tag, path, len(self.parents) - 1, out))
+        self.marks.append(mark)
+        self.open.append((tag, path, len(self.parents) - 1))
         if attributes.endswith("/") and tag not in CONTAINERS and not inline:
             self.open.pop()
 
     @staticmethod
-    def marked(marks: str) -> bool:
-        return not MARKS.isdisjoint(NAME_PARTS.findall(marks))
+    def marked(names: dict[str, str]) -> int:
+        mark = SHOWN
+        for name in ("class", "id", "role"):
+            for token in names.get(name, "").split():
+                parts = set(NAME_PARTS.findall(token))
+                if parts and parts <= MARKS:
+                    mark = max(mark, WEAKLY if parts <= WEAK else MARKED)
+        return mark
 
     def end_implied(self, tags: set[str]) -> None:
         for depth in range(len(self.open) - 1, 0, -1):
@@ -176,10 +202,11 @@ def smooth(values: np.ndarray) -> np.ndarray:
     return np.convolve(np.pad(values, len(KERNEL) // 2, mode="edge"), KERNEL, "valid")
 
 
-def content_nodes(page: Page) -> np.ndarray:
-    """Places of the text nodes whose path counts as content."""
-    lengths = np.array([len(t.strip()) for t in page.texts])
-    shown = np.flatnonzero(lengths)
+def content_nodes(page: Page, left_out: list[bool]) -> np.ndarray:
+    """Places of the text nodes whose path counts as content, among those not left out."""
+    lengths = np.array([len(t.strip()) for t in page.texts], dtype=np.int64)
+    out = np.array(left_out)[np.array(page.element_of, dtype=np.int64)]
+    shown = np.flatnonzero((lengths > 0) & ~out)
     if not len(shown):
         return shown
     paths = np.array(page.path_of)[shown]
@@ -193,6 +220,37 @@ def content_nodes(page: Page) -> np.ndarray:
     return shown[(score >= THRESHOLD * score.max())[path]]
 
 
+def inherited(page: Page, own: list[bool]) -> list[bool]:
+    """Whether ``own`` holds for each element or one above it."""
+    found = list(own)
+    for element in range(1, len(found)):
+        found[element] = found[element] or found[page.parents[element]]
+    return found
+
+
+def counted_marks(page: Page, selected: np.ndarray) -> list[int]:
+    """The marks of the elements, without those of elements that hold the article."""
+    only = page.tags.count("article") == 1
+    named = [tag == "main" or (only and tag == "article") for tag in page.tags]
+    holds = list(named)
+    length = [0] * len(page.parents)
+    for i in selected:
+        length[page.element_of[i]] += len(page.texts[i])
+    for element in range(len(page.parents) - 1, 0, -1):
+        length[page.parents[element]] += length[element]
+        holds[page.parents[element]] |= holds[element]
+    marks = [
+        SHOWN if own and mark != UNSEEN else mark
+        for own, mark in zip(holds, page.marks, strict=True)
+    ]
+    out = inherited(page, [mark != SHOWN for mark in marks])
+    inside = inherited(page, named)
+    if any(inside[e] and not out[e] and t.strip() for e, t in zip(page.element_of, page.texts)):
+        return marks
+    most = MOST * length[0]
+    return [SHOWN if size > most else mark for size, mark in zip(length, marks, strict=True)]
+
+
 def article(page: Page, selected: np.ndarray) -> int:
     """The element that holds nearly all of the selected text: the nearest one that the
     page itself calls an article or its main part, else the smallest container."""
@@ -219,17 +277,21 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     page = Page(html)
-    selected = content_nodes(page)
+    by_ratios = content_nodes(page, [False] * len(page.parents))
+    marks = counted_marks(page, by_ratios)
+    out = inherited(page, [mark != SHOWN for mark in marks])
+    selected = content_nodes(page, out)
     if not len(selected):
         return ""
-    inside = [False] * len(page.parents)
-    inside[article(page, selected)] = True
-    for element in range(1, len(page.parents)):
-        inside[element] = inside[element] or inside[page.parents[element]]
-    chosen = set(selected.tolist())
+    own = [False] * len(page.parents)
+    own[article(page, selected)] = True
+    inside = inherited(page, own)
+    never = inherited(page, [mark > WEAKLY for mark in marks])
+    chosen, content = set(selected.tolist()), set(by_ratios.tolist())
     blocks: defaultdict[int, list[str]] = defaultdict(list)
     for i, element in enumerate(page.element_of):
-        if inside[element] or i in chosen:
+        part = not never[element] and (not out[element] or i in content)
+        if (inside[element] and part) or i in chosen:
             blocks[page.block_of[i]].append(page.texts[i])
     joined = (" ".join("".join(parts).split()) for parts in blocks.values())
     return "\n\n".join(text for text in joined if text)

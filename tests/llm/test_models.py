@@ -136,3 +136,49 @@ def test_unmarked_boilerplate_goes_by_its_ratios():
     links = "".join(f"<td><a href='{n}'>Go {n}</a></td>" for n in range(12))
     text = main_text(f"<body><table><tr>{links}</tr></table><div>{story}</div></body>")
     assert text.count("\n\n") == 5 and "Go" not in text
+
+
+STORY = "".join(
+    f"<p>A long paragraph, the {n}th, with commas, full stops. And more, too.</p>" for n in range(4)
+)
+
+
+@pytest.mark.parametrize(
+    "around",
+    [
+        'div class="has-sidebar"',
+        'div id="page" class="no-comments"',
+        'div class="row with-header"',
+        'div class="search-result"',
+        'div class="sidebar"',
+        'form id="aspnet"',
+        'div class="flex hidden md:block"',
+        'div title="the hidden costs"',
+        'div data-class="menu" data-id="sidebar"',
+    ],
+)
+def test_names_around_the_article_do_not_hide_it(around):
+    end = f"</{around.split()[0]}>"
+    for story in (STORY, f"<article>{STORY}</article>", f"<main>{STORY}</main>"):
+        page = f"<body><nav>Home</nav><{around}>{story}{end}<footer>End</footer></body>"
+        assert main_text(page) == main_text(f"<body>{STORY}</body>") != ""
+
+
+def test_names_inside_the_article_go_by_the_ratios():
+    parts = (
+        f"<section id='discussion'>{STORY}</section>"
+        "<h2 id='related-work'>Work</h2><h2 id='discussion'>Talk</h2>"
+        "<p id='notice'>Readers note, please, that this matters. It does, as shown above.</p>"
+    )
+    text = main_text(f"<body><article>{STORY}{parts}<div class='ad'>Buy!</div></article></body>")
+    assert text.count("A long paragraph") == 8 and "Work" in text and "Talk" in text
+    assert "Readers note" in text and "Buy" not in text
+
+
+def test_what_is_hidden_or_marked_still_goes():
+    more = "<p>Other text, rather long, with commas. It is no part of this article, is it?</p>"
+    for tag in ('div hidden', 'div style="display: none"', 'div class="comments"', "aside"):
+        page = f"<body><article>{STORY}</article><{tag}>{more}</{tag.split()[0]}></body>"
+        assert "Other text" not in main_text(page)
+        page = f"<body><article>{STORY}<{tag}>{more}</{tag.split()[0]}></article></body>"
+        assert "Other text" not in main_text(page)
