@@ -4,18 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.llm import (
+    collocations,
     decontamination,
     html_extraction,
     language_id,
+    lexical_search,
     line_dedup,
     mixing,
     near_dedup,
     quality_rules,
     substring_dedup,
+    token_counts,
     toxicity,
     url_filters,
 )
@@ -23,6 +27,8 @@ from starmart.llm.common import held_out, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+TOKENIZER = "byte_bpe_50k.json"
+
 
 def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
@@ -100,6 +106,23 @@ def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def collocations_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+def token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path(TOKENIZER), encoding="utf-8") as file:
+        tokenizer = file.read()
+    counts = token_counts.token_counts(read(spark, sf_dir, "documents"), tokenizer)
+    return counts.withColumn("over_limit", F.col("n_tokens") > token_counts.LIMIT)
+
+
+def lexical_search_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": toxicity_query,
     "op2_substring_dedup": substring_dedup_query,
@@ -111,6 +134,9 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": language_id_query,
     "op9_near_dedup": near_dedup_query,
     "op10_line_dedup": line_dedup_query,
+    "op11_collocations": collocations_query,
+    "op12_token_counts": token_counts_query,
+    "op13_lexical_search": lexical_search_query,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -368,4 +394,86 @@ ORACLE_SQL: dict[str, str] = {
                coalesce(array_to_string(classes, ','), '') AS class_ids
         FROM docs JOIN digests USING (row_id)
     """,
+    "op11_collocations": r"""
+        WITH pieces AS (
+            SELECT row_number() OVER () AS piece_id, lang, piece FROM (
+                SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                              'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+                FROM documents)
+        ), split AS (
+            SELECT piece_id, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+        ), starts AS (
+            SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM split
+        ), phrases AS (
+            SELECT lang, w[i:i + size - 1] AS p
+            FROM starts, (SELECT unnest([1, 2, 3, 4, 5]) AS size) WHERE i + size - 1 <= len(w)
+        ), counts AS (
+            SELECT lang, p, count(*) AS f FROM phrases GROUP BY lang, p HAVING count(*) >= 100
+        ), totals AS (
+            SELECT lang, sum(len(w))::HUGEINT AS n FROM split GROUP BY lang
+        ), candidates AS (
+            SELECT lang, p, f AS a, n FROM counts JOIN totals USING (lang) WHERE len(p) > 1
+        ), cuts AS (
+            SELECT *, unnest(range(1, len(p))) AS k FROM candidates
+        ), valued AS (
+            SELECT c.lang, c.p, a, n, k, l.f AS l, r.f AS r,
+                   (1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f) AS score
+            FROM cuts c JOIN counts l ON l.lang = c.lang AND l.p = c.p[1:k]
+            JOIN counts r ON r.lang = c.lang AND r.p = c.p[k + 1:]
+        ), lowest AS (
+            SELECT lang, p, a, n, arg_min({'l': l, 'r': r, 'score': score},
+                                          {'score': score, 'k': k}) AS best
+            FROM valued GROUP BY ALL
+        ), inner_starts AS (
+            SELECT lang, p, a, unnest(range(1, len(p) + 1)) AS i FROM candidates
+        ), covered AS (
+            SELECT DISTINCT s.lang, s.p[i:i + size - 1] AS p, s.a
+            FROM inner_starts s, (SELECT unnest([2, 3, 4]) AS size)
+            WHERE i + size - 1 <= len(s.p) AND size < len(s.p)
+        ), alone AS (
+            SELECT * FROM lowest x WHERE NOT EXISTS (
+                FROM covered c WHERE c.lang = x.lang AND c.p = x.p AND 100 * c.a >= 100 * x.a)
+        ), ranked AS (
+            SELECT lang, array_to_string(p, ' ') AS phrase, a, best.l AS l, best.r AS r,
+                   n::BIGINT AS n, best.score::BIGINT AS score
+            FROM alone
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+                   AS rank, phrase, a, l, r, n, score
+        FROM ranked QUALIFY rank <= 2000
+    """,
+    "op13_lexical_search": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all(
+                       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ), items AS (
+            SELECT row_number() OVER () AS item_row, item_id, regexp_extract_all(
+                       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+            FROM benchmark
+        ), totals AS (
+            SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS length FROM docs WHERE len(w) > 0
+        ), asked AS (
+            SELECT item_row, item_id, unnest(w) AS term FROM items
+        ), tfs AS (
+            SELECT row_id, doc_id, n, term, count(*) AS tf FROM (
+                SELECT row_id, doc_id, len(w) AS n, unnest(w) AS term FROM docs)
+            GROUP BY ALL
+        ), weights AS (
+            SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+            FROM tfs, totals GROUP BY term, n_docs
+        ), scores AS (
+            SELECT item_row, item_id, row_id, doc_id, sum(w * ((1000000000 * tf)
+                       // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // length)))) AS score
+            FROM asked JOIN weights USING (term) JOIN tfs USING (term), totals
+            GROUP BY ALL
+        )
+        SELECT item_id, row_number() OVER (PARTITION BY item_row
+                   ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank,
+               doc_id, score::BIGINT AS score
+        FROM scores WHERE score > 0 QUALIFY rank <= 10
+    """,
 }
