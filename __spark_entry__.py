@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import sys
 import uuid
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,11 +42,15 @@ from starmart.operators import (  # noqa: E402
 from starmart.plans import clean, jobs, marts, quality, star  # noqa: E402
 from starmart.session import scratch_dir  # noqa: E402
 from starmart.sources import (  # noqa: E402
+    create_database,
     land_raw,
+    publish,
     read_raw,
     read_tbl,
     read_zone,
+    register_published,
     tbl_path,
+    write_bucketed,
     write_tbl,
     write_zone,
 )
@@ -53,14 +58,15 @@ from starmart.sources import (  # noqa: E402
 try:  # The operators for training data are an optional part of the library.
     import corpus_pipeline
     from starmart.llm import queries as llm
-except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "starmart.llm"):
-        raise
+except ImportError as missing:
+    # Without them, or without a library that only they need, the rest works.
+    if getattr(missing, "name", None) not in ("corpus_pipeline", "starmart.llm"):
+        warnings.warn(f"no queries for training data: {missing}", stacklevel=2)
     llm = None
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-FLAGSHIP_DIR = "/root/testdata/sf0.001"
+FLAGSHIP_DIR = os.environ.get("STARMART_SF_DIR", "/root/testdata/sf0.001")
 DATASET = "starmart"
 
 
@@ -174,6 +180,109 @@ def job_all_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_zone(spark.table(f"{database}.fact_sales"))
 
 
+def land_raw_line_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with carriage returns inside and at their end, as landing leaves them."""
+    scratch = scratch_dir(spark)
+    line = F.concat_ws(
+        "|", "o_orderkey", F.lit("in\rside"), F.concat("o_orderpriority", F.lit("\r"))
+    )
+    lines = table(spark, sf_dir, "orders").select(line.alias("value"))
+    path = tbl_path(scratch, "orders")
+    lines.write.option("lineSep", "\n").text(path)
+    landed = land_raw(spark, path, f"{scratch}/raw", "orders")
+    return spark.read.option("lineSep", "\n").text(landed)
+
+
+def broken_orders(spark: SparkSession, sf_dir: str) -> str:
+    """The raw tables; of the orders, some keys do not parse and some lines end early."""
+    folder = raw_folder(spark, sf_dir)
+    path = tbl_path(folder, "orders")
+    line, key = F.col("value"), F.split("value", "[|]")[0].cast("long")
+    broken = (
+        F.when(key % 11 == 0, F.concat(F.lit("x"), line))
+        .when(key % 13 == 0, F.substring_index(line, "|", 2))
+        .otherwise(line)
+    )
+    broken_path = f"{folder}/broken"
+    spark.read.text(path).select(broken.alias("value")).write.text(broken_path)
+    spark.read.text(broken_path).write.mode("overwrite").text(path)
+    return folder
+
+
+def job_clean_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the clean job rejects of broken orders, and the clean rows of the same."""
+    scratch = scratch_dir(spark)
+    clean_zone, rejects = f"{scratch}/clean", f"{scratch}/rejects"
+    jobs.run_clean(spark, broken_orders(spark, sf_dir), clean_zone, rejects=rejects)
+    rejected = spark.read.parquet(f"{rejects}/orders").select(
+        F.lit("reject").alias("kind"),
+        "o_orderkey",
+        "o_custkey",
+        F.substring_index("rejected_line", "|", 2).alias("line_start"),
+    )
+    kept = (
+        read_zone(spark, clean_zone, "orders", strict=True)
+        .where("o_orderkey IS NULL OR o_orderstatus IS NULL")
+        .select(
+            F.lit("clean").alias("kind"),
+            "o_orderkey",
+            "o_custkey",
+            F.lit(None).cast("string").alias("line_start"),
+        )
+    )
+    return rejected.unionAll(kept)
+
+
+def star_write_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key counters that the writing of the star zone left, without reading it again."""
+    scratch = scratch_dir(spark)
+    tables = clean.clean_tables(lambda t: table(spark, sf_dir, t))
+    jobs.write_tables(tables, f"{scratch}/clean")
+    return jobs.run_star_counted(spark, f"{scratch}/clean", f"{scratch}/star", strict=False)
+
+
+def published_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact as a reader of the views sees it after two refreshes and a failed third."""
+    scratch = scratch_dir(spark)
+    database = f"starmart_{uuid.uuid4().hex}"
+    zones = [f"{scratch}/clean", f"{scratch}/star"]
+    tables = clean.clean_tables(lambda t: table(spark, sf_dir, t))
+    half = tables | {"lineitem": tables["lineitem"].where("l_orderkey % 2 = 0")}
+    for version in (half, tables):
+        jobs.write_tables(version, zones[0])
+        jobs.run_publish(spark, *zones, database, f"{scratch}/db", strict=False)
+    doubled = star_zone(spark, sf_dir)
+    doubled["dim_customer"] = twice(doubled["dim_customer"])
+
+    def audit(written) -> None:
+        alerts = quality.alert_summary(quality.alert_rows(written))
+        quality.gate(alerts, database).collect()
+
+    try:
+        publish(spark, zones[1], doubled, jobs.PARTITIONS, audit)
+    except Exception as failed:
+        if "Duplicate customer primary key" not in str(failed):
+            raise
+    register_published(spark, zones[1], database)
+    return spark.table(f"{database}.fact_sales")
+
+
+BUCKETS = 8
+
+
+def fact_sales_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact from orders and line items that are stored in buckets by order key."""
+    scratch = scratch_dir(spark)
+    database = f"starmart_{uuid.uuid4().hex}"
+    create_database(spark, database, f"{scratch}/db")
+    stored = []
+    for name, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey")):
+        df = clean_table(spark, sf_dir, name)
+        path = f"{scratch}/{name}"
+        stored.append(spark.table(write_bucketed(df, database, name, path, key, BUCKETS)))
+    return star.fact_sales(*stored)
+
+
 def job_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = f"{scratch_dir(spark)}/constraints"
     return jobs.run_constraints(spark, raw_folder(spark, sf_dir), report)
@@ -413,7 +522,39 @@ def mart_revenue_by_supplier_nation(spark: SparkSession, sf_dir: str) -> DataFra
 
 
 def mart_orders_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.orders_by_month(star_table(spark, sf_dir, "fact_sales"))
+    return marts.orders_by_month(
+        clean_table(spark, sf_dir, "orders"), clean_table(spark, sf_dir, "lineitem")
+    )
+
+
+def of_fact_and(dimension: str, mart: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: mart(
+        star_table(spark, sf_dir, "fact_sales"), star_table(spark, sf_dir, dimension)
+    )
+
+
+def of_orders(mart: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: mart(clean_table(spark, sf_dir, "orders"))
+
+
+def stored(spark: SparkSession, sketches: DataFrame) -> DataFrame:
+    """Sketches as a later job finds them: in a zone, without the rows they are of."""
+    path = f"{scratch_dir(spark)}/sketches"
+    sketches.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def sketch_customers_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = clean_table(spark, sf_dir, "orders")
+    sketches = stored(spark, marts.customer_sketches(orders))
+    return marts.customers_by_year_checked(orders, sketches)
+
+
+def sketch_order_value_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = clean_table(spark, sf_dir, "orders")
+    customer = star_table(spark, sf_dir, "dim_customer")
+    sketches = stored(spark, marts.order_value_sketches(orders, customer))
+    return marts.order_value_quantiles_checked(orders, customer, sketches)
 
 
 def mart_balance_class_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -472,6 +613,11 @@ def queries() -> dict[str, Query]:
         "job_clean_orders": job_clean_orders,
         "job_all_fact_sales": job_all_fact_sales,
         "job_constraints": job_constraints,
+        "land_raw_line_ends": land_raw_line_ends,
+        "job_clean_rejects": job_clean_rejects,
+        "star_write_counters": star_write_counters,
+        "published_fact_sales": published_fact_sales,
+        "fact_sales_bucketed": fact_sales_bucketed,
         "fact_sales_null_keys": fact_sales_null_keys,
         "dq_alert_rows_broken": dq_alert_rows_broken,
         "not_null_violations_orders": not_null_violations_orders,
@@ -496,6 +642,13 @@ def queries() -> dict[str, Query]:
         "mart_revenue_by_supplier_nation": mart_revenue_by_supplier_nation,
         "mart_orders_by_month": mart_orders_by_month,
         "mart_balance_class_by_segment": mart_balance_class_by_segment,
+        "mart_sales_hierarchy": of_fact_and("dim_customer", marts.sales_hierarchy),
+        "mart_best_suppliers": of_fact_and("dim_supplier", marts.best_suppliers),
+        "mart_revenue_trend": of_fact_and("dim_customer", marts.revenue_trend),
+        "mart_cohort_retention": of_orders(marts.cohort_retention),
+        "mart_order_sessions": of_orders(marts.order_sessions),
+        "sketch_customers_by_year": sketch_customers_by_year,
+        "sketch_order_value_quantiles": sketch_order_value_quantiles,
     }
     if llm:
         registered |= {**llm.QUERIES, "pipeline": corpus_pipeline.run}
@@ -795,6 +948,17 @@ def check_fk_sql(child: str, child_key: str, parent: str, parent_key: str) -> st
     )
 
 
+def check_offers_sql(offers: str) -> str:
+    return f"""
+        SELECT 'lineitem' AS table_name,
+               'foreign_key(l_partkey, l_suppkey -> partsupp)' AS check_name,
+               count(*) AS violations
+        FROM lineitem ANTI JOIN {offers}
+          ON l_partkey = ps_partkey AND l_suppkey = ps_suppkey
+        WHERE l_partkey IS NOT NULL AND l_suppkey IS NOT NULL
+    """
+
+
 def job_constraints_sql() -> str:
     # Columns that the given tables lack are empty fields in every line of text.
     absent = [
@@ -803,11 +967,7 @@ def job_constraints_sql() -> str:
         for name, columns in ABSENT_COLUMNS.items()
         for column in columns
     ]
-    offers = """
-        SELECT 'lineitem' AS table_name,
-               'foreign_key(l_partkey, l_suppkey -> partsupp)' AS check_name,
-               CAST(0 AS BIGINT) AS violations
-    """
+    offers = check_offers_sql(f"({PARTSUPP})")
     return " UNION ALL ".join(
         [
             check_not_null_sql(),
@@ -964,13 +1124,37 @@ def oracle_sql() -> dict[str, str]:
             SELECT * FROM orders
             WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
         """,
-        "check_fk_lineitem_partsupp": f"""
-            SELECT 'lineitem' AS table_name,
-                   'foreign_key(l_partkey, l_suppkey -> partsupp)' AS check_name,
-                   count(*) AS violations
-            FROM lineitem
-            WHERE (l_partkey + l_suppkey) % 5 = 0
+        "check_fk_lineitem_partsupp": check_offers_sql(
+            f"(SELECT * FROM ({PARTSUPP}) WHERE (ps_partkey + ps_suppkey) % 5 != 0)"
+        ),
+        "land_raw_line_ends": """
+            SELECT o_orderkey::VARCHAR || '|in' || chr(13) || 'side|' || o_orderpriority
+                   || chr(13) AS value
+            FROM orders
         """,
+        "job_clean_rejects": """
+            WITH broken AS (
+                SELECT CASE WHEN o_orderkey % 11 != 0 THEN o_orderkey END AS o_orderkey,
+                       o_custkey,
+                       CASE WHEN o_orderkey % 11 = 0 THEN 'x' ELSE '' END
+                           || o_orderkey::VARCHAR || '|' || o_custkey::VARCHAR AS line_start
+                FROM orders WHERE o_orderkey % 11 = 0 OR o_orderkey % 13 = 0
+            )
+            SELECT 'reject' AS kind, * FROM broken
+            UNION ALL SELECT 'clean', o_orderkey, o_custkey, NULL FROM broken
+        """,
+        "star_write_counters": " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, '{key}' AS key, count({key}) AS n_keys, "
+            f"count(*) - count({key}) AS n_null FROM ({STAR_SQL[name]})"
+            for name, key in [
+                ("fact_sales", "s_orderkey_linenumber"),
+                ("dim_customer", "c_custkey"),
+                ("dim_supplier", "supp_suppkey"),
+                ("dim_part", "p_partkey_suppkey"),
+            ]
+        ),
+        "published_fact_sales": STAR_SQL["fact_sales"],
+        "fact_sales_bucketed": STAR_SQL["fact_sales"],
     }
     sql |= {
         "mart_revenue_by_region_year": REVENUE_BY_REGION_YEAR_SQL,
@@ -993,5 +1177,94 @@ def oracle_sql() -> dict[str, str]:
             FROM ({CLEAN_SQL["customer"]})
             GROUP BY c_mktsegment, c_acctbal_class
         """,
+        "mart_sales_hierarchy": f"""
+            SELECT c_r_name, c_n_name, s_year, s_month,
+                   GROUPING(c_r_name, c_n_name, s_year, s_month)::BIGINT AS level,
+                   round(sum(s_revenue), 2) AS revenue,
+                   CAST(count(s_linenumber) AS BIGINT) AS n_lines
+            FROM ({STAR_SQL["fact_sales"]}) JOIN ({STAR_SQL["dim_customer"]})
+              ON s_custkey = c_custkey
+            GROUP BY GROUPING SETS (
+                (c_r_name, c_n_name, s_year, s_month), (c_r_name, c_n_name, s_year),
+                (c_r_name, s_year), (c_r_name), ())
+        """,
+        "mart_best_suppliers": f"""
+            WITH sums AS (
+                SELECT supp_n_name, s_year, s_suppkey, round(sum(s_revenue), 2) AS revenue
+                FROM ({STAR_SQL["fact_sales"]}) JOIN ({STAR_SQL["dim_supplier"]})
+                  ON s_suppkey = supp_suppkey
+                GROUP BY supp_n_name, s_year, s_suppkey
+            )
+            SELECT *, rank() OVER (PARTITION BY supp_n_name, s_year
+                                   ORDER BY revenue DESC)::INTEGER AS place
+            FROM sums QUALIFY place <= 3
+        """,
+        "mart_revenue_trend": f"""
+            WITH monthly AS (
+                SELECT c_r_name, date_trunc('month', s_orderdate)::DATE AS month,
+                       sum(s_revenue) AS revenue
+                FROM ({STAR_SQL["fact_sales"]}) JOIN ({STAR_SQL["dim_customer"]})
+                  ON s_custkey = c_custkey
+                WHERE s_orderdate IS NOT NULL AND c_r_name IS NOT NULL
+                GROUP BY ALL
+            ), calendar AS (
+                SELECT c_r_name, unnest(generate_series(min(month), max(month),
+                                                        INTERVAL 1 MONTH))::DATE AS month
+                FROM monthly GROUP BY c_r_name
+            ), series AS (
+                SELECT c_r_name, month, coalesce(revenue, 0) AS revenue
+                FROM calendar LEFT JOIN monthly USING (c_r_name, month)
+            )
+            SELECT c_r_name, month, round(revenue, 2) AS revenue,
+                   round(lag(revenue, 12) OVER series_order, 2) AS year_before,
+                   round(revenue - lag(revenue, 12) OVER series_order, 2) AS change,
+                   round(sum(revenue) OVER year, 2) AS trailing,
+                   count(*) OVER year AS n_months
+            FROM series
+            WINDOW series_order AS (PARTITION BY c_r_name ORDER BY month),
+                   year AS (PARTITION BY c_r_name ORDER BY month
+                            ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)
+        """,
+        "mart_cohort_retention": """
+            WITH active AS (
+                SELECT DISTINCT o_custkey, date_trunc('month', o_orderdate)::DATE AS month
+                FROM orders WHERE o_custkey IS NOT NULL AND o_orderdate IS NOT NULL
+            ), first AS (
+                SELECT o_custkey, min(month) AS cohort FROM active GROUP BY o_custkey
+            )
+            SELECT cohort, datediff('month', cohort, month)::INTEGER AS months_since,
+                   count(*) AS n_customers
+            FROM active JOIN first USING (o_custkey) GROUP BY ALL
+        """,
+        "mart_order_sessions": """
+            WITH days AS (
+                SELECT o_custkey, o_orderdate::DATE AS day, count(*) AS n_orders,
+                       sum(o_totalprice) AS value
+                FROM orders WHERE o_custkey IS NOT NULL AND o_orderdate IS NOT NULL
+                GROUP BY ALL
+            ), pauses AS (
+                SELECT *, day - lag(day) OVER (PARTITION BY o_custkey ORDER BY day) AS pause
+                FROM days
+            ), numbered AS (
+                SELECT *, CAST(sum(CASE WHEN pause <= 60 THEN 0 ELSE 1 END)
+                                   OVER (PARTITION BY o_custkey ORDER BY day) AS BIGINT)
+                              AS session
+                FROM pauses
+            )
+            SELECT o_custkey, session, min(day) AS first_day, max(day) AS last_day,
+                   CAST(sum(n_orders) AS BIGINT) AS n_orders, round(sum(value), 2) AS value
+            FROM numbered GROUP BY o_custkey, session
+        """,
+        "sketch_customers_by_year": f"""
+            SELECT o_year, count(DISTINCT o_custkey) AS n_customers, true AS within_error
+            FROM ({CLEAN_SQL["orders"]}) GROUP BY o_year
+        """,
+        "sketch_order_value_quantiles": f"""
+            SELECT c_r_name, unnest([0.25, 0.5, 0.9])::DOUBLE AS quantile, n_orders,
+                   true AS within_error
+            FROM (SELECT c_r_name, count(o_totalprice) AS n_orders
+                  FROM orders JOIN ({STAR_SQL["dim_customer"]}) ON o_custkey = c_custkey
+                  GROUP BY c_r_name)
+        """,
     }
     return sql | (llm.ORACLE_SQL if llm else {})

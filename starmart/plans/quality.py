@@ -49,6 +49,12 @@ def key_checks(df: DataFrame, key: str, unique: bool = False) -> DataFrame:
     )
 
 
+def observable_counters(key: str) -> dict[str, Column]:
+    """Counters of a key that need no other rows, for a table while it is written."""
+    column = F.col(key)
+    return {"n_keys": F.count(column), "n_null": F.count_if(column.isNull())}
+
+
 def _alerts(key: str, unique: bool, name: str, nulls: str) -> list[Column]:
     count = F.col(f"{key}_count")
     null_count = F.col(f"{key}_null" if nulls == "literal" else f"{key}_null_rows")

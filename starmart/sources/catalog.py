@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starmart.schemas import STAR_COLUMNS
 from starmart.sources.zones import stored_schema
@@ -32,11 +33,13 @@ def register_table(
     table: str,
     path: str,
     partition_by: list[str] | tuple[str, ...] = (),
+    contract_of: str | None = None,
 ) -> str:
     """(Re-)register the Parquet files at ``path``; files are never touched.
 
     Spark puts partition columns last. A partitioned table is therefore registered as
-    ``<table>_stored``, under a view that has the contract's column order.
+    ``<table>_stored``, under a view that has the column order of the contract of
+    ``contract_of``, which is the table's own unless it is given.
     """
     name = f"{database}.{table}"
     _drop(spark, name)
@@ -51,8 +54,44 @@ def register_table(
         f"PARTITIONED BY ({', '.join(partition_by)}) LOCATION {_quoted(path)}"
     )
     spark.catalog.recoverPartitions(stored)
-    wanted = STAR_COLUMNS.get(table, [])
+    wanted = STAR_COLUMNS.get(contract_of or table, [])
     columns = [c for c in wanted if c in schema.names]
     columns += [c for c in schema.names if c not in wanted]
     spark.sql(f"CREATE VIEW {name} AS SELECT {', '.join(columns)} FROM {stored}")
     return name
+
+
+def replace_view(spark: SparkSession, name: str, source: str) -> None:
+    """Make ``name`` a view of ``source``; where it is a view already, in one step.
+
+    A table of that name, from ``register_table``, is given up for the view.
+    """
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        _drop(spark, name)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {source}")
+
+
+def write_bucketed(
+    df: DataFrame, database: str, table: str, path: str, key: str, buckets: int
+) -> str:
+    """Store a table in ``buckets`` by a key, each sorted by it, and register it.
+
+    Tables in equally many buckets by their join keys are joined, and grouped by it,
+    without a shuffle, for as long as they are stored: the shuffle happens here, once per
+    refresh. A task writes a bucket, as one file. ``buckets`` is for the table's size (a
+    few hundred MB a bucket) and must be the same for tables that are to meet. A key with
+    very many rows is not split, neither here nor in a join that uses the buckets.
+    """
+    name = f"{database}.{table}"
+    _drop(spark := df.sparkSession, name)
+    (
+        df.repartition(buckets, F.col(key))
+        .write.mode("overwrite")
+        .option("path", path)
+        .bucketBy(buckets, key)
+        .sortBy(key)
+        .format("parquet")
+        .saveAsTable(name)
+    )
+    spark.catalog.refreshTable(name)
+    return name

@@ -93,7 +93,38 @@ def _one_line(field: StructField) -> Column:
 
 
 def land_raw(spark: SparkSession, source: str, raw_folder: str, table: str) -> str:
-    """Copy a text table line by line, unparsed, so that parsing can be replayed."""
+    """Copy a text table line by line, unparsed, so that parsing can be replayed.
+
+    A line ends at a line feed and at nothing else: carriage returns, alone or before a
+    line feed, are kept as they are.
+    """
     target = tbl_path(raw_folder, table)
-    spark.read.text(source).write.mode("overwrite").text(target)
+    lines = spark.read.option("lineSep", "\n").text(source)
+    lines.write.mode("overwrite").option("lineSep", "\n").text(target)
     return target
+
+
+# The column that tells good lines (NULL) from rejected ones (the line).
+REJECT_COLUMN = "rejected_line"
+REJECTED_FLAG = "is_rejected"
+
+
+def split_raw(
+    spark: SparkSession,
+    folder: str,
+    table: str,
+    staging: str,
+    lineitem_layout: str = "stock",
+) -> tuple[DataFrame, DataFrame]:
+    """All rows of a raw table, and its rejected lines with what could be read of them.
+
+    The text is parsed once, into Parquet that is dealt to two folders by whether the
+    line parsed whole. Reading the rejected lines opens only theirs.
+    """
+    path = f"{staging}/{table}"
+    parsed = read_raw(spark, folder, table, lineitem_layout, corrupt_column=REJECT_COLUMN)
+    flagged = parsed.withColumn(REJECTED_FLAG, F.col(REJECT_COLUMN).isNotNull())
+    flagged.write.mode("overwrite").partitionBy(REJECTED_FLAG).parquet(path)
+    stored = spark.read.schema(flagged.schema).parquet(path)
+    rejected = stored.where(REJECTED_FLAG).drop(REJECTED_FLAG)
+    return stored.drop(REJECTED_FLAG, REJECT_COLUMN), rejected

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql.types import StructField, StructType
 
 from starmart.operators.projections import contract
@@ -34,6 +34,29 @@ def write_zone(
     return path
 
 
+def write_counted(
+    df: DataFrame,
+    zone: str,
+    table: str,
+    counters: Mapping[str, Column],
+    partition_by: Sequence[str] = (),
+) -> dict[str, object]:
+    """``write_zone`` that also evaluates aggregates over the rows as they are written.
+
+    The counters cost no scan of their own. They are taken in the tasks that write, after
+    any shuffle, where a task that is tried again counts once. Aggregates that need all
+    rows of a value together (distinct ones) cannot be observed.
+    """
+    observation = Observation(f"counters of {table}")
+    path = zone_path(zone, table)
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    observed = df.observe(observation, *[c.alias(name) for name, c in counters.items()])
+    writer = observed.write.partitionBy(*partition_by) if partition_by else observed.write
+    writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    return observation.get
+
+
 def stored_schema(spark: SparkSession, path: str) -> StructType:
     """The schema of stored files; partition columns get their declared types.
 

@@ -42,6 +42,8 @@ TYPES = {
     "double": "DOUBLE",
     "string": "VARCHAR",
     "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
 }
 
 
