@@ -45,6 +45,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until it is no column of ``df``."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -77,3 +85,22 @@ def shingle_set(tokens: list[bytes], size: int = 5) -> np.ndarray:
     """Sorted distinct shingle hashes; a shorter text is one shingle as a whole."""
     hashes = word_hashes(tokens)
     return np.unique(shingle_hashes(hashes, min(size, len(hashes)) or 1))
+
+
+# --- filters of hashes, of fixed size -------------------------------------------
+
+
+def filter_bits(hashes: DataFrame, bits: int) -> bytes:
+    """A bit for each hash, of 2 ** bits; this and no more comes to the driver."""
+    slot = F.col("hash").bitwiseAND(F.lit((1 << bits) - 1))
+    word = F.shiftright(slot, 6).cast("int").alias("word")
+    bit = F.expr("shiftleft(1L, cast(hash & 63 as int))")
+    set_bits = hashes.groupBy(word).agg(F.bit_or(bit).alias("bits")).toArrow()
+    table = np.zeros(1 << (bits - 6), dtype=np.uint64)
+    table[set_bits["word"].to_numpy()] = set_bits["bits"].to_numpy().view(np.uint64)
+    return table.tobytes()
+
+
+def has_bit(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    slot = hashes & np.uint64(64 * len(bits) - 1)
+    return (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1

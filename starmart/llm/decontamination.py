@@ -12,8 +12,8 @@ shingle set.
 
 Items are the query set: they are taken in blocks of BLOCK_ITEMS and BLOCK_CHARS, which
 bounds what is broadcast; a longer item is a block of its own. Documents stream past each
-block and are never shuffled. With more than one block the documents are written between
-two of them, so that a task never runs more than one search.
+block and are not shuffled for it. Of more than one block only what was found is written,
+and documents that contain something are then told by id and a hash of their text.
 
 Defined results: NULL and blank items are contained in nothing; an item of fewer than
 five words is one shingle, looked for as a run of that many words. NULL and blank
@@ -29,10 +29,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from starmart.llm.common import shingle_hashes, word_hashes, written
+from starmart.llm.common import free_name, shingle_hashes, word_hashes, written
 
 SHINGLE = 5
 CONTAINMENT = 0.8
@@ -55,8 +56,9 @@ class ItemBlock:
     bounds: np.ndarray
 
 
-def tokens(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "replace").lower().split()
+def tokens(text: str | bytes | None) -> list[bytes]:
+    raw = text.encode("utf-8", "replace") if isinstance(text, str) else text or b""
+    return raw.lower().split()
 
 
 def partition_signature(size: int) -> int:
@@ -91,7 +93,7 @@ def index_items(items: list[tuple[int | None, str]]) -> ItemBlock:
     )
 
 
-def contained(block: ItemBlock, text: str | None) -> list[tuple[int | None, int, int]]:
+def contained(block: ItemBlock, text: str | bytes | None) -> list[tuple[int | None, int, int]]:
     """(item id, item shingles, shared shingles) of the items that ``text`` contains."""
     if not len(block.signature):
         return []
@@ -127,46 +129,73 @@ def item_blocks(items: DataFrame) -> Iterator[ItemBlock]:
     yield index_items(block)
 
 
-# The column with the items found; named so that it meets no column of the input.
-FOUND = "_items"
-MATCH = "array<struct<item_id:long,n_item:long,n_shared:long>>"
 MATCH_NAMES = ("item_id", "n_item", "n_shared")
+MATCH = T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in MATCH_NAMES]))
 MATCH_TYPE = pa.list_(
     pa.struct([("item_id", pa.int64()), ("n_item", pa.int64()), ("n_shared", pa.int64())])
 )
 
 
-def with_items(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with the items they contain as a further, last column."""
-    result = docs.withColumn(FOUND, F.array().cast(MATCH))
-
-    def searcher(block: ItemBlock):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                found = [
-                    before + [dict(zip(MATCH_NAMES, m, strict=True)) for m in contained(block, text)]
-                    for text, before in zip(
-                        batch["text"].to_pylist(), batch[FOUND].to_pylist(), strict=True
-                    )
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:-1], pa.array(found, MATCH_TYPE)], names=batch.schema.names
-                )
-
-        return run
-
-    for number, block in enumerate(item_blocks(items)):
-        result = written(result, "searched") if number else result
-        result = result.mapInArrow(searcher(block), result.schema)
+def with_items(docs: DataFrame, block: ItemBlock, name: str) -> DataFrame:
+    """The rows of ``docs`` with the items of a block that they contain as a further, last
+    column ``name``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [
+                [dict(zip(MATCH_NAMES, m, strict=True)) for m in contained(block, raw)]
+                for raw in batch["text"].cast(pa.binary()).to_pylist()
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(found, MATCH_TYPE)], names=[*batch.schema.names, name]
+            )
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema, T.StructField(name, MATCH)]))
+
+
+def by_blocks(docs: DataFrame, items: DataFrame, of_block) -> DataFrame:
+    """The rows that ``of_block`` gives for the documents and each block of items.
+
+    Blocks come one after the other: only the first is still open when this returns, and
+    only if there is no second.
+    """
+    blocks = item_blocks(items)
+    result = of_block(docs, next(blocks))
+    for number, block in enumerate(blocks):
+        result = written(result, "found") if not number else result
+        result = result.unionAll(written(of_block(docs, block), "found"))
     return result
 
 
 def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
     """One row per document and item it contains: doc_id, item_id, n_item, n_shared."""
-    found = with_items(docs.select("doc_id", "text"), items)
-    return found.select("doc_id", F.inline(FOUND))
+
+    def of_block(rows: DataFrame, block: ItemBlock) -> DataFrame:
+        return with_items(rows, block, "items").select("doc_id", F.inline("items"))
+
+    return by_blocks(docs.select("doc_id", "text"), items, of_block)
 
 
 def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that contain no item."""
-    return with_items(docs, items).filter(F.size(FOUND) == 0).drop(FOUND)
+    blocks = item_blocks(items)
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        name = free_name(docs, "_items")
+        return with_items(docs, first, name).filter(F.size(name) == 0).drop(name)
+
+    def of_block(rows: DataFrame, block: ItemBlock) -> DataFrame:
+        found = with_items(rows, block, "items").filter(F.size("items") > 0)
+        return found.select("doc_id", *text_key(F.col("text"))).distinct()
+
+    # Equal texts contain equal items, so a text's hash (of 128 bits) stands for it.
+    found = by_blocks(docs.select("doc_id", "text"), items, of_block).toDF("i", "a", "b")
+    one, two = text_key(F.col("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("i")) & (one == F.col("a")) & (two == F.col("b"))
+    columns = [F.col(f"d.{c}") for c in docs.columns]
+    keyed = docs.select(F.struct(*docs.columns).alias("d"), "doc_id", "text")
+    return keyed.join(found.distinct(), same, "left_anti").select(columns)
+
+
+def text_key(text: Column) -> tuple[Column, Column]:
+    return F.xxhash64(text).alias("a"), F.xxhash64(F.lit("items"), text).alias("b")

@@ -4,22 +4,29 @@ Every text node belongs to the path of elements from the root down to it. Per pa
 mean text length and the mean number of punctuation marks of its nodes are taken, each
 relative to the page's largest; both are smoothed over neighbouring nodes, fused into
 their mean, and compared with a threshold. The element that encloses nearly all of the
-text so selected is the article; its blocks, without those that are marked as something
-else (menus, adverts, comments and so on), are the main text.
-
-A mark is a whole class, id or role (or a compound of marks only), or the kind of element.
-It leaves an element out unless that holds the main part or only article that the page
-itself names. On a page that names none, or only a hidden or empty one, neither a mark nor
-hiding counts on an element with most of the text that the ratios select. Inside the
-article, words that a part of it may go by as well (WEAK: discussion, notice and so on)
-leave only those nodes out that the ratios do not select. Headings are never marked by name.
-
-Pages are independent: nothing is shuffled and a task holds one batch of pages.
+text so selected is the article. How large a share of the best path's score a node needs
+there follows from what marks it and the elements around it (REQUIRED): none where nothing
+does, as an article keeps its short lines and headings; the threshold for words that a part
+of an article may go by as well (WEAK: discussion, notice and so on); and more than any
+path has for menus, adverts, comments and so on. Outside the article only selected nodes
+count, and none at all where the page itself names its article or main part.
+
+A mark is a class, id or role, or the kind of element. Of a compound name the first or last
+part marks it (comments-section, user-comments), unless a part denies it (no-comments,
+has-sidebar); a weak one as strongly as others if all else in the name is a general word
+(related-posts, notice-box, but not related-work). A mark leaves an element out unless that
+holds the main part or only article that the page itself names. On a page that names none,
+or only a hidden or empty one, neither a mark nor hiding counts on an element with most of
+the text that the ratios select. Headings are never marked by name.
+
+Pages are independent: nothing is shuffled and a task holds one batch of pages. Time and
+memory grow in proportion to a page's length, however broken its markup.
 
 Defined results: NULL or empty html and pages without text give an empty text. Comments
-and elements that are never closed end with the page. A page of only short texts
-yields the best of its paths. Repeated rows get equal results. Columns of the input
-that are not needed are left alone.
+and elements that are never closed end with the page; end tags without a start tag are
+passed over. A page of only short texts yields the best of its paths. Bytes that are not
+UTF-8 read as U+FFFD. Repeated rows get equal results. Columns of the input that are not
+needed are left alone.
 """
 
 from __future__ import annotations
@@ -43,11 +50,12 @@ ARTICLE_SHARE = 0.8
 # A mark does not count on an element that holds more than this share of it.
 MOST = 0.5
 
+# Quotes hold a value together where they follow "=", and are letters elsewhere.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
+    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*+)>|<[!?/][^>]*>",
     re.DOTALL,
 )
-ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 NOT_SHOWN = re.compile(r"(?i)display\s*:\s*none|visibility\s*:\s*hidden")
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？؟،]")
 NAME_PARTS = re.compile(r"[a-z]+")
@@ -75,10 +83,23 @@ WEAK = set(
     "notice notices alert side related header respond reply replies discussion social sponsor "
     "sponsors recommended recommendations search copyright disclaimer toc banner masthead".split()
 )
+# Parts of a name that deny what another part says, that add nothing to it, and that make
+# a header one of the article.
+DENIALS = set("no not non without has have with hide".split())
+GENERAL = set(
+    "section sections area areas list lists box boxes bar bars block blocks slot slots unit units "
+    "container wrapper wrap panel pane column col row item items group inner outer content form "
+    "field button buttons icon icons link links image media module section left right top bottom "
+    "main primary secondary site page global user users reader readers visitor post posts article "
+    "articles entry story stories news blog more sticky floating inline mobile desktop".split()
+)
+OWN_HEADERS = set("article post entry story section content chapter title".split())
 # Elements that no name marks.
 UNMARKED = set("html body main article h1 h2 h3 h4 h5 h6".split())
-# What an element is left out for.
+# What an element is left out for, and the share of the best path's score that a node below
+# it needs all the same.
 SHOWN, WEAKLY, MARKED, UNSEEN = range(4)
+REQUIRED = np.array([0.0, THRESHOLD, np.inf, np.inf])
 # Start tags that end an open element of these kinds, up to the nearest container.
 ENDS = {
     "li": {"li"},
@@ -104,16 +125,23 @@ class Page:
         self.parents = [-1]
         self.tags = [""]
         self.marks = [SHOWN]
-        # Open elements: tag, path, number of the element.
+        # Open elements: tag, path, number of the element. Places in that list by tag, of
+        # containers, and of all that are not inline, so that none has to be looked for.
         self.open: list[tuple[str, int, int]] = [("", 0, 0)]
+        self.places: defaultdict[str, list[int]] = defaultdict(list)
+        self.containers = [0]
+        self.blocks = [0]
         self.block = 0
         self.parse(html)
 
     def parse(self, html: str) -> None:
-        at = 0
-        while match := TOKEN.search(html, at):
+        # Behind the last ">" no tag ends.
+        at, end_of_tags = 0, html.rfind(">") + 1
+        while match := TOKEN.search(html, at, end_of_tags):
             self.text(html[at : match.start()])
             at = match.end()
+            if match[0].startswith("<!--") and not match[0].endswith("-->"):
+                return
             closing, tag, attributes = match.groups()
             if not tag:
                 continue
@@ -121,13 +149,15 @@ class Page:
             if closing:
                 self.close(tag)
             elif tag in RAW:
-                end = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(html, at)
-                at = end.end() if end else len(html)
+                end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(html, at)
+                if not end:
+                    return
+                at = end.end()
             else:
                 self.start(tag, attributes)
         rest = html[at:]
         # What follows a tag that is never finished is not text.
-        cut = re.search(r"<(?=[a-zA-Z/!?])", rest)
+        cut = re.search(r"<[a-zA-Z/!?]", rest)
         self.text(rest[: cut.start()] if cut else rest)
 
     def text(self, raw: str) -> None:
@@ -166,49 +196,76 @@ class Page:
         self.parents.append(self.open[-1][2])
         self.tags.append(tag)
         self.marks.append(mark)
-        self.open.append((tag, path, len(self.parents) - 1))
         if attributes.endswith("/") and tag not in CONTAINERS and not inline:
-            self.open.pop()
+            return
+        depth = len(self.open)
+        self.open.append((tag, path, len(self.parents) - 1))
+        self.places[tag].append(depth)
+        if tag in CONTAINERS:
+            self.containers.append(depth)
+        if not inline:
+            self.blocks.append(depth)
 
     @staticmethod
     def marked(names: dict[str, str]) -> int:
-        mark = SHOWN
-        for name in ("class", "id", "role"):
-            for token in names.get(name, "").split():
-                parts = set(NAME_PARTS.findall(token))
-                if parts and parts <= MARKS:
-                    mark = max(mark, WEAKLY if parts <= WEAK else MARKED)
-        return mark
+        return max(
+            name_mark(token)
+            for name in ("class", "id", "role")
+            for token in names.get(name, "").split() or [""]
+        )
+
+    def end(self, depth: int) -> None:
+        """End the open element at this depth, and all inside it."""
+        while len(self.open) > depth:
+            tag = self.open.pop()[0]
+            self.places[tag].pop()
+            for places in (self.containers, self.blocks):
+                if places[-1] == len(self.open):
+                    places.pop()
 
     def end_implied(self, tags: set[str]) -> None:
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth][0] in tags:
-                del self.open[depth:]
-            elif self.open[depth][0] in CONTAINERS:
-                break
+        """End open elements of these tags, up to the nearest container."""
+        while True:
+            depth = max((self.places[tag][-1] for tag in tags if self.places[tag]), default=0)
+            if not depth or depth < self.containers[-1]:
+                return
+            self.end(depth)
 
     def close(self, tag: str) -> None:
         if tag not in INLINE:
             self.block += 1
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth][0] == tag:
-                del self.open[depth:]
-                break
-            if tag in INLINE and self.open[depth][0] not in INLINE:
-                break
+        places = self.places[tag]
+        # An inline end tag does not reach beyond the block it stands in.
+        if places and (tag not in INLINE or places[-1] > self.blocks[-1]):
+            self.end(places[-1])
+
+
+def name_mark(token: str) -> int:
+    """What a class, id or role says about an element."""
+    parts = NAME_PARTS.findall(token)
+    marks = MARKS.intersection(parts[:1] + parts[-1:])
+    if not marks or DENIALS.intersection(parts):
+        return SHOWN
+    rest = set(parts) - MARKS
+    if marks == {"header"} and rest & OWN_HEADERS:
+        return SHOWN
+    weak = marks <= WEAK and not (rest and rest <= GENERAL)
+    return WEAKLY if weak else MARKED
 
 
 def smooth(values: np.ndarray) -> np.ndarray:
     return np.convolve(np.pad(values, len(KERNEL) // 2, mode="edge"), KERNEL, "valid")
 
 
-def content_nodes(page: Page, left_out: list[bool]) -> np.ndarray:
-    """Places of the text nodes whose path counts as content, among those not left out."""
+def node_scores(page: Page, left_out: list[bool]) -> np.ndarray:
+    """The score of each text node's path as a share of the best; 0 for nodes without text
+    and for those left out, which have no part in it."""
+    share = np.zeros(len(page.texts))
     lengths = np.array([len(t.strip()) for t in page.texts], dtype=np.int64)
     out = np.array(left_out)[np.array(page.element_of, dtype=np.int64)]
     shown = np.flatnonzero((lengths > 0) & ~out)
     if not len(shown):
-        return shown
+        return share
     paths = np.array(page.path_of)[shown]
     marks = np.array([len(PUNCTUATION.findall(page.texts[i])) for i in shown])
     _, path, nodes = np.unique(paths, return_inverse=True, return_counts=True)
@@ -217,7 +274,8 @@ def content_nodes(page: Page, left_out: list[bool]) -> np.ndarray:
         ratio = (np.bincount(path, weights=values) / nodes)[path]
         fused += smooth(ratio / max(ratio.max(), 1)) / 2
     score = np.bincount(path, weights=fused) / nodes
-    return shown[(score >= THRESHOLD * score.max())[path]]
+    share[shown] = (score / score.max() if score.max() > 0 else np.ones(len(score)))[path]
+    return share
 
 
 def inherited(page: Page, own: list[bool]) -> list[bool]:
@@ -251,9 +309,9 @@ def counted_marks(page: Page, selected: np.ndarray) -> list[int]:
     return [SHOWN if size > most else mark for size, mark in zip(length, marks, strict=True)]
 
 
-def article(page: Page, selected: np.ndarray) -> int:
+def article(page: Page, selected: np.ndarray) -> tuple[int, bool]:
     """The element that holds nearly all of the selected text: the nearest one that the
-    page itself calls an article or its main part, else the smallest container."""
+    page itself calls an article or its main part (True), else the smallest container."""
     below: Counter[int] = Counter()
     for i in selected:
         below[page.element_of[i]] += len(page.texts[i])
@@ -263,36 +321,41 @@ def article(page: Page, selected: np.ndarray) -> int:
             break
         below[page.parents[element]] += below[element]
     else:
-        return 0
+        return 0, False
     above = [element]
     while page.parents[above[-1]] > 0:
         above.append(page.parents[above[-1]])
     for wanted in ({"article"}, {"main"}, CONTAINERS):
         if found := [e for e in above if page.tags[e] in wanted]:
-            return found[0]
-    return above[-1]
+            return found[0], wanted is not CONTAINERS
+    return above[-1], False
 
 
 def main_text(html: str | None) -> str:
     if not html:
         return ""
     page = Page(html)
-    by_ratios = content_nodes(page, [False] * len(page.parents))
-    marks = counted_marks(page, by_ratios)
-    out = inherited(page, [mark != SHOWN for mark in marks])
-    selected = content_nodes(page, out)
+    if not page.texts:
+        return ""
+    of_all = node_scores(page, [False] * len(page.parents))
+    marks = counted_marks(page, np.flatnonzero(of_all >= THRESHOLD))
+    for element in range(1, len(marks)):
+        marks[element] = max(marks[element], marks[page.parents[element]])
+    shown = node_scores(page, [mark != SHOWN for mark in marks])
+    selected = np.flatnonzero(shown >= THRESHOLD)
     if not len(selected):
         return ""
+    element, named = article(page, selected)
     own = [False] * len(page.parents)
-    own[article(page, selected)] = True
-    inside = inherited(page, own)
-    never = inherited(page, [mark > WEAKLY for mark in marks])
-    chosen, content = set(selected.tolist()), set(by_ratios.tolist())
+    own[element] = True
+    element_of = np.array(page.element_of)
+    inside = np.array(inherited(page, own))[element_of]
+    kept = inside & (of_all >= REQUIRED[np.array(marks)[element_of]])
+    if not named:
+        kept |= shown >= THRESHOLD
     blocks: defaultdict[int, list[str]] = defaultdict(list)
-    for i, element in enumerate(page.element_of):
-        part = not never[element] and (not out[element] or i in content)
-        if (inside[element] and part) or i in chosen:
-            blocks[page.block_of[i]].append(page.texts[i])
+    for i in np.flatnonzero(kept):
+        blocks[page.block_of[i]].append(page.texts[i])
     joined = (" ".join("".join(parts).split()) for parts in blocks.values())
     return "\n\n".join(text for text in joined if text)
 
@@ -302,7 +365,8 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(html) for html in batch["html"].to_pylist()]
+            raws = batch["html"].cast(pa.binary()).to_pylist()
+            texts = [main_text((raw or b"").decode("utf-8", "replace")) for raw in raws]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["page_id"],

@@ -7,12 +7,13 @@ largest cosine; it counts as rejected where that cosine is below what nearly all
 training texts of the language reach.
 
 The model is fitted on the driver, on a bounded sample of labelled rows: about SAMPLE
-documents, dealt evenly over at most MAX_LANGUAGES languages, none longer than
-MAX_TRAIN_CHARS. Prediction reads every whole text, without a shuffle.
+documents, dealt evenly over the languages, none longer than MAX_TRAIN_CHARS, and one row
+for an id and language. Classes are the MAX_LANGUAGES most frequent values of lang.
+Prediction reads every whole text, without a shuffle.
 
 Defined results: NULL texts and texts without a letter are ``und`` with score 0. So is
-every text where nothing could be learned. Repeated rows get equal results. Columns of
-the input that are not needed are left alone.
+every text where nothing could be learned. Repeated rows get equal results. Bytes that
+are not UTF-8 read as U+FFFD. Columns of the input that are not needed are left alone.
 """
 
 from __future__ import annotations
@@ -146,10 +147,9 @@ def training_sample(labelled: DataFrame, sample: int = SAMPLE) -> DataFrame:
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull()
     )
     usable = usable.filter(F.length("text") <= MAX_TRAIN_CHARS)
-    found = usable.groupBy("lang").agg(F.count("*").alias("n"))
-    sizes = {row["lang"]: row["n"] for row in found.limit(MAX_LANGUAGES + 1).collect()}
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    found = usable.groupBy("lang").agg(F.approx_count_distinct("doc_id", 0.02).alias("n"))
+    most = found.orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
+    sizes = {row["lang"]: row["n"] for row in most.collect()}
     if not sizes:
         return usable
     share = sample / len(sizes)
@@ -157,14 +157,21 @@ def training_sample(labelled: DataFrame, sample: int = SAMPLE) -> DataFrame:
         *[F.lit(v) for lang, n in sizes.items() for v in (lang, min(1.0, share / n))]
     )
     place = F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1 << 30)) / (1 << 30)
-    return usable.filter(place < shares[F.col("lang")])
+    picked = usable.filter(place < shares[F.col("lang")])
+    least = F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("m")
+    return picked.groupBy("doc_id", "lang").agg(least).select("doc_id", "m.text", "lang")
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> LanguageModel:
     """A model from rows (doc_id, text, lang); the caller leaves out what is held out."""
-    rows = training_sample(labelled, sample).orderBy("doc_id").collect()
-    rows = [r for r in rows if any(map(str.isalpha, r["text"]))]
-    return fit_rows([r["text"] for r in rows], [r["lang"] for r in rows])
+    rows = training_sample(labelled, sample).select(
+        "doc_id", F.col("text").cast("binary").alias("raw"), "lang"
+    )
+    found = rows.orderBy("doc_id", "lang").toArrow()
+    texts = [raw.decode("utf-8", "replace") for raw in found["raw"].to_pylist()]
+    lettered = [i for i, text in enumerate(texts) if any(map(str.isalpha, text))]
+    langs = found["lang"].to_pylist()
+    return fit_rows([texts[i] for i in lettered], [langs[i] for i in lettered])
 
 
 def predict_texts(
@@ -193,7 +200,11 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, scores, rejected = predict_texts(model, batch["text"].to_pylist())
+            texts = [
+                None if raw is None else raw.decode("utf-8", "replace")
+                for raw in batch["raw"].to_pylist()
+            ]
+            langs, scores, rejected = predict_texts(model, texts)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["doc_id"],
@@ -205,4 +216,5 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
             )
 
     schema = "doc_id long, lang_pred string, score double, rejected boolean"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("raw"))
+    return rows.mapInArrow(run, schema)

@@ -10,8 +10,13 @@ places leave. Whoever meets is verified by Spark's banded edit distance.
 Index and probes hold hashes only; lines that met fetch their text again. Equal lines
 share their hashes and count as one before anything is joined. Where very many lines
 share a segment (numbered headings, copies of a page with small changes), they are told
-apart by finer segments instead of being paired off; for more than one edit, which this
-does not cover, they are paired.
+apart instead of being paired off: the part of the line that may hold the edit is cut
+into FINER segments, of which all but one must agree, and so on within that one. Each
+round signs an eighth of what the last one did, so the whole costs a few passes over the
+line, whatever its length. The same is done until at most OPEN_CHARS are open, as Spark's
+edit distance takes time with the square of a text: only the open part is put to it, and
+what lies around must be equal. For more than one edit, which this does not cover, lines
+under a crowded segment are paired, and compared as a whole.
 
 A line of a document is a repeat if an equal or linked line occurs earlier (smaller
 doc_id, or same document, further up). Only lines with a word take part; others stay.
@@ -34,6 +39,7 @@ EDITS = 1
 # Index entries and probes that one signature may have before its lines are signed anew.
 CROWD = 50
 FINER = 8
+OPEN_CHARS = 256
 
 
 def has_word(line: Column) -> Column:
@@ -88,94 +94,154 @@ def signatures(length: Column, line: Column, edits: int) -> Column:
     return F.when(length > edits, F.array(*entries, *probes))
 
 
-def fine_signatures(length: Column, line: Column, parts: int) -> Column:
-    """As ``signatures`` for one edit, with all of the line but one of many segments.
+# What is left open about a signed line: its edit, if any, lies in the characters from
+# ``low`` up to ``high`` (places in the shorter line); all others agree. ``role`` is 1 for
+# a line that is one longer than the indexed ones: what follows the edit has moved by it.
+OPEN = ["sig", "role", "a", "low", "high"]
 
-    One edit leaves what precedes a segment and what follows it; the latter has moved by
-    the difference of the lengths.
-    """
 
-    def rest(gap: int, i: Column) -> Column:
-        short = length - gap
-        start, size = segment(short, i, parts)
-        before = F.substring(line, F.lit(1), start)
-        after = F.substring(line, start + size + gap + 1, length)
-        return F.when(short > 1, F.xxhash64(short, i, before, after))
-
-    numbers = F.sequence(F.lit(0), F.lit(parts - 1))
-    return F.concat(
-        F.transform(numbers, lambda i: rest(0, i)), F.transform(numbers, lambda i: rest(1, i))
+def first_open(met: DataFrame) -> DataFrame:
+    """OPEN rows after ``signatures`` for one edit: the half that is not signed is open."""
+    short = F.col("length") - F.col("role")
+    start, size = segment(short, F.lit(0), 2)
+    second = F.col("at") % 2 == 1
+    low = F.when(second, F.lit(0)).otherwise(start + size)
+    high = F.when(second, start + size).otherwise(short)
+    return met.select(
+        "sig", "role", "a", low.cast("int").alias("low"), high.cast("int").alias("high")
     )
 
 
-def shared_entries(signed: DataFrame, parts: int) -> DataFrame:
-    """sig, role (0: index entry, 1: probe) and a (line hash) of the signatures that more
-    than one line has, from lines (a, sigs)."""
-    entries = (
-        signed.select("a", F.posexplode_outer("sigs").alias("at", "sig"))
-        .filter("sig IS NOT NULL")
-        .select("sig", (F.col("at") >= parts).cast("int").alias("role"), "a")
+def narrowed(crowd: DataFrame, texts: DataFrame) -> DataFrame:
+    """OPEN rows signed anew, once for each place that the edit may have within the part
+    that is open; lines that an edit there makes equal agree in one of them."""
+    role, low, high = F.col("role"), F.col("low"), F.col("high")
+
+    def text(start: Column, stop: Column) -> Column:
+        return F.substring(F.col("line"), start + 1, stop - start)
+
+    def child(i: Column) -> Column:
+        size = high - low
+        start = low + F.floor(size * i / FINER).cast("int")
+        stop = low + F.floor(size * (i + 1) / FINER).cast("int")
+        rest = F.xxhash64("sig", i, text(low, start), text(stop + role, high + role))
+        return F.when(
+            stop > start, F.struct(rest.alias("sig"), start.alias("low"), stop.alias("high"))
+        )
+
+    def inserted(i: int) -> Column:
+        """Of a single open character: what is longer by one has it first (0) or second."""
+        place = low + i * role
+        sig = F.xxhash64("sig", F.lit(-1 - i), text(place, place + 1))
+        behind = low + (1 - i)
+        return F.struct(sig.alias("sig"), behind.alias("low"), behind.alias("high"))
+
+    children = F.when(high - low > 1, F.transform(F.sequence(F.lit(0), F.lit(FINER - 1)), child))
+    children = children.otherwise(F.array(inserted(0), inserted(1)))
+    return (
+        crowd.join(texts, "a")
+        .select("role", "a", F.explode(children).alias("c"))
+        .filter("c IS NOT NULL")
+        .select("c.sig", "role", "a", "c.low", "c.high")
     )
+
+
+def shared(entries: DataFrame) -> DataFrame:
+    """The entries (sig, role, a, more) of signatures that more than one line has, of
+    which one is indexed."""
     # Nearly all signatures belong to one line. Counting combines within tasks, so a
     # line that occurs often costs little.
-    shared = (
+    found = (
         entries.groupBy("sig")
-        .agg(F.min("a").alias("low"), F.max("a").alias("high"), F.min("role").alias("role"))
-        .filter("low != high AND role = 0")
+        .agg(F.min("a").alias("first"), F.max("a").alias("last"), F.min("role").alias("least"))
+        .filter("first != last AND least = 0")
         .select("sig")
     )
-    return entries.join(shared.hint("merge"), "sig", "left_semi").distinct()
+    return entries.join(found.hint("merge"), "sig", "left_semi").distinct()
+
+
+def entries_of(signed: DataFrame, parts: int) -> DataFrame:
+    """sig, role (0: index entry, 1: probe), a, at (which segment) and length of lines
+    (a, length, sigs)."""
+    return (
+        signed.select("a", "length", F.posexplode_outer("sigs").alias("at", "sig"))
+        .filter("sig IS NOT NULL")
+        .select("sig", (F.col("at") >= parts).cast("int").alias("role"), "a", "at", "length")
+    )
 
 
 def pairs_of(met: DataFrame) -> DataFrame:
-    own = met.filter("role = 0").select("sig", F.col("a").alias("x"))
-    other = met.select("sig", F.col("a").alias("y"))
-    pairs = own.join(other, "sig").filter("x != y")
-    return pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    """x, y, and of OPEN rows role (of y), low and high: an indexed line and another one
+    that share a signature; one pair of two that are indexed."""
+    parts = [c for c in ("low", "high") if c in met.columns]
+    own = met.filter("role = 0").select("sig", F.col("a").alias("x"), *parts)
+    other = met.select("sig", F.col("a").alias("y"), "role")
+    pairs = own.join(other, "sig").filter("x != y AND (role = 1 OR x < y)")
+    return pairs.select("x", "y", "role", *parts).distinct()
+
+
+def one_edit_apart(s: Column, t: Column) -> Column:
+    """Whether a line ``s`` and ``t``, longer by ``role``, differ by one edit between low
+    and high of ``s``, where they must not be equal."""
+    low, high, role = F.col("low"), F.col("high"), F.col("role")
+    longest = 1 << 30
+    around = (F.substring(s, F.lit(1), low) == F.substring(t, F.lit(1), low)) & (
+        F.substring(s, high + 1, F.lit(longest)) == F.substring(t, high + role + 1, F.lit(longest))
+    )
+    inside = F.levenshtein(
+        F.substring(s, low + 1, high - low), F.substring(t, low + 1, high + role - low), 1
+    )
+    return around & inside.between(0, 1)
 
 
 def line_links(signed: DataFrame, lines: DataFrame, edits: int = EDITS) -> DataFrame:
     """Pairs (x, y) of keys of different lines within ``edits`` edits, each pair once.
 
-    Signatures of up to CROWD entries give pairs. For one edit, the lines under the
-    others are signed again, with segments FINER times as many, until no signature is
-    crowded or segments are single characters, where all who meet are linked.
+    Signatures of up to CROWD entries with little open give pairs. For one edit, the lines
+    under the others are narrowed down, until that holds for all, or a single character
+    is open: there all who meet are linked, equally long ones at once, others by one step
+    more.
     """
-    met = written(shared_entries(signed, edits + 1), "met")
+    met = written(shared(entries_of(signed, edits + 1)), "met")
     texts = written(
         lines.select(F.xxhash64("line").alias("a"), "line")
         .join(met.select("a").distinct().hint("merge"), "a", "left_semi")
         .distinct(),
         "line_texts",
     )
-    parts, found = edits + 1, []
+    left = texts.select(F.col("a").alias("x"), F.col("line").alias("s"))
+    right = texts.select(F.col("a").alias("y"), F.col("line").alias("t"))
+    keys = [line_key(F.col("s")).alias("x"), line_key(F.col("t")).alias("y")]
+    if edits != 1:
+        near = F.levenshtein("s", "t", edits).between(1, edits)
+        pairs = pairs_of(met).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+        return pairs.distinct().join(left, "x").join(right, "y").filter(near).select(keys)
+    found, met = [], first_open(met)
     while True:
         crowded = met.groupBy("sig").count().filter(F.col("count") > CROWD).select("sig")
-        crowd = met.join(crowded, "sig", "left_semi").select("a").distinct()
-        crowd = written(texts.join(crowd, "a", "left_semi"), "crowd")
-        longest = crowd.agg(F.max(F.length("line"))).first()[0] or 0
-        if edits != 1 or longest <= parts:
-            found.append(written(pairs_of(met), "line_pairs"))
+        many = met.join(crowded, "sig", "left_semi")
+        few = met.join(crowded, "sig", "left_anti")
+        little = f"high - low <= {OPEN_CHARS}"
+        done = pairs_of(few.filter(little).unionAll(many.filter("high = low")))
+        alike = pairs_of(many.filter("high - low = 1 AND role = 0"))
+        found.append(written(done.unionAll(alike), "line_pairs"))
+        more = few.filter(f"NOT {little}").unionAll(many.filter("high > low"))
+        more = written(more, "crowd")
+        if more.isEmpty():
             break
-        found.append(written(pairs_of(met.join(crowded, "sig", "left_anti")), "line_pairs"))
-        parts *= FINER
-        length = F.length("line").alias("length")
-        signed_again = crowd.select("a", "line", length).select(
-            "a", fine_signatures(F.col("length"), F.col("line"), parts).alias("sigs")
-        )
-        met = written(shared_entries(signed_again, parts), "met")
+        met = written(shared(narrowed(more, texts)), "met")
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionAll(more)
-    left = texts.select(F.col("a").alias("x"), F.col("line").alias("s"))
-    right = texts.select(F.col("a").alias("y"), F.col("line").alias("t"))
-    near = F.levenshtein("s", "t", edits).between(1, edits)
+    near = one_edit_apart(F.col("s"), F.col("t"))
+    links = pairs.join(left, "x").join(right, "y").filter(near)
+    # Two lines may meet under several signatures.
     return (
-        pairs.distinct()
+        links.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+        .distinct()
         .join(left, "x")
         .join(right, "y")
-        .filter(near)
-        .select(line_key(F.col("s")).alias("x"), line_key(F.col("t")).alias("y"))
+        .select(keys)
     )
 
 
@@ -189,13 +255,14 @@ def line_classes(docs: DataFrame, edits: int = EDITS) -> tuple[DataFrame, DataFr
             "doc_id",
             "n",
             line_key(F.col("line")).alias("key"),
+            "length",
             signatures(F.col("length"), F.col("line"), edits).alias("sigs"),
         ),
         "lines",
     )
     places = signed.select("doc_id", "n", "key")
     links = written(
-        line_links(signed.select("key.a", "sigs"), lines.select("line"), edits), "line_links"
+        line_links(signed.select("key.a", "length", "sigs"), lines.select("line"), edits), "line_links"
     )
     both_ways = links.unionAll(links.select(F.col("y").alias("x"), F.col("x").alias("y")))
     firsts = written(

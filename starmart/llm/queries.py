@@ -51,8 +51,8 @@ def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def language_id_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = language_id.fit(docs.filter(~held_out(F.col("doc_id"))))
-    return language_id.identify(docs, model).withColumn(
-        "held_out", held_out(F.col("doc_id"))
+    return language_id.identify(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected"
     )
 
 

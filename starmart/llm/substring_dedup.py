@@ -7,14 +7,17 @@ is removed; the first occurrence stays.
 1. Each window has an anchor, the smallest hash among its runs of SHINGLE words. Equal
    windows have equal anchors, and neighbouring windows mostly share theirs, so a
    document has about one anchor for eight words. Anchors that occur once in all
-   documents rule their windows out.
+   documents rule their windows out. Those that recur set the bits of a filter of fixed
+   size, by which documents drop nearly all others before they are joined.
 2. Around the anchors that recur, documents give out contexts: the words of all
    neighbouring windows with that anchor. Contexts are dealt out by anchor. An anchor
    with very many contexts is dealt out over salts.
-3. A task takes the contexts of a few thousand anchors at a time. It confirms the
-   windows that recur among them, compiles these into an Aho-Corasick automaton over
-   words, and streams the contexts through it in the order of their places. All
-   occurrences of a window are located; every one but the first becomes a removal.
+3. A task takes the contexts of a few thousand anchors at a time. It confirms by hash
+   which windows recur, compiles these, as words, into an Aho-Corasick automaton, and
+   streams the contexts with one of them through it in the order of their places. All
+   occurrences of a window are located; every one but the first becomes a removal. Where
+   an anchor is salted, its windows are counted by hash over all salts beforehand, so
+   that an automaton holds recurring windows only.
 4. The first occurrences within each salt are compared once more, by window.
 5. Documents cut out the union of their removals.
 
@@ -23,30 +26,31 @@ their windows starts earlier.
 
 Defined results: NULL and blank texts have no words. Documents shorter than a window
 lose nothing. Rows without id take no part: they lose nothing and are no occurrence. Rows
-with the same id are one document, so equal places in both are equally early. An empty
-table gives an empty result. Columns that are not needed do not matter.
+with the same id are one document, so equal places in both are equally early; repeated rows
+give out their contexts once. An empty table gives an empty result. Columns that are not
+needed do not matter.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import shingle_hashes, word_hashes, written
+from starmart.llm.common import filter_bits, has_bit, shingle_hashes, word_hashes, written
 
 WINDOW = 20
 SHINGLE = 5
 # Contexts that one automaton serves, and contexts of one anchor before it is salted.
 SHARD = 4000
 SALT_ROWS = 50_000
+# The filters of recurring hashes have 2 ** FILTER_BITS bits.
+FILTER_BITS = 27
 
 KEY = ["doc_id", "text_hash"]
 
@@ -127,10 +131,10 @@ def copies(described: DataFrame) -> DataFrame:
 def recurring_anchors(described: DataFrame) -> DataFrame:
     """doc_id, text_hash and anchors (with their number of salts) of the documents that
     have recurring anchors."""
-    flat = described.select(*KEY, F.inline("anchors"))
     # Copies word for word have one hash unless their white space differs.
     recurring = (
-        flat.groupBy("anchor")
+        described.select("text_hash", F.inline("anchors"))
+        .groupBy("anchor")
         .agg(
             F.min("text_hash").alias("low"),
             F.max("text_hash").alias("high"),
@@ -140,14 +144,39 @@ def recurring_anchors(described: DataFrame) -> DataFrame:
         .filter("low != high OR most > 1")
         .select("anchor", F.ceil(F.col("total") / SALT_ROWS).cast("int").alias("salts"))
     )
+    recurring = written(recurring, "recurring_anchors")
+    bits = filter_bits(recurring.select(F.col("anchor").alias("hash")), FILTER_BITS)
     return (
-        flat.select(*KEY, "anchor")
+        passing(described, described.sparkSession.sparkContext.broadcast(bits))
         .join(recurring, "anchor")
         .groupBy(KEY)
         .agg(F.collect_set(F.struct("anchor", "salts")).alias("anchors"))
     )
 
 
+def passing(described: DataFrame, bits) -> DataFrame:
+    """doc_id, text_hash and anchor of the anchors whose bit is set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.frombuffer(bits.value, np.uint64)
+        for batch in batches:
+            lists = batch["anchors"]
+            own = lists.flatten().to_numpy().view(np.uint64)
+            keep = np.flatnonzero(has_bit(table, own))
+            owner = np.repeat(np.arange(len(batch)), lists.value_lengths().to_numpy())[keep]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch["doc_id"].take(pa.array(owner)),
+                    batch["text_hash"].take(pa.array(owner)),
+                    pa.array(own[keep].view(np.int64)),
+                ],
+                names=[*KEY, "anchor"],
+            )
+
+    rows = described.select(*KEY, F.col("anchors.anchor").alias("anchors"))
+    return rows.mapInArrow(run, "doc_id long, text_hash long, anchor long")
+
+
 CONTEXT = "doc_id long, text_hash long, anchor long, salts int, start int, context binary"
 
 
@@ -202,33 +231,56 @@ def batch_of(types: list, rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=[name for name, _ in types])
 
 
-def locate(shard: list[tuple]) -> list[tuple]:
+def window_hashes(words: bytes) -> np.ndarray:
+    return shingle_hashes(word_hashes(words.split(b" ")), WINDOW)
+
+
+def recurring_windows(shard: list[tuple], elsewhere: np.ndarray | None) -> list[np.ndarray]:
+    """Of each context, which of its windows may recur, by their hashes.
+
+    With salts, a window may recur in another shard; ``elsewhere`` has the bits of those
+    that do so.
+    """
+    hashes = [window_hashes(words) for *_, words in shard]
+    values, times = np.unique(np.concatenate(hashes), return_counts=True)
+    twice = values[times > 1]
+    out = []
+    for (_, _, salts, _, _), own in zip(shard, hashes, strict=True):
+        found = np.isin(own, twice)
+        if salts > 1 and elsewhere is not None:
+            found |= has_bit(elsewhere, own)
+        out.append(np.flatnonzero(found))
+    return out
+
+
+def locate(shard: list[tuple], elsewhere: np.ndarray | None = None) -> list[tuple]:
     """Removals (window NULL) and salted first occurrences of a shard's windows.
 
     A context is (doc_id, text_hash, salts, start, words); the contexts of an anchor lie
-    together in one shard.
+    together in one shard. Hashes choose the windows that the automaton gets; it decides,
+    by words, where each of them occurs.
     """
     numbers: dict[bytes, int] = {}
-    sequences = [
-        tuple([numbers.setdefault(w, len(numbers)) for w in words.split(b" ")])
-        for *_, words in shard
-    ]
-    seen: Counter = Counter()
-    for (_, _, salts, _, _), sequence in zip(shard, sequences, strict=True):
-        # With salts, a window may recur in another shard.
-        weight = 2 if salts > 1 else 1
-        for at in range(len(sequence) - WINDOW + 1):
-            seen[sequence[at : at + WINDOW]] += weight
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-    recurring = [window for window, times in seen.items() if times > 1]
-    if not recurring:
+    windows: dict[tuple, int] = {}
+    sequences: list[tuple | None] = []
+    for (*_, words), places in zip(shard, recurring_windows(shard, elsewhere), strict=True):
+        sequence = None
+        if len(places):
+            sequence = tuple([numbers.setdefault(w, len(numbers)) for w in words.split(b" ")])
+            for at in places.tolist():
+                windows.setdefault(sequence[at : at + WINDOW], len(windows))
+        sequences.append(sequence)
+    if not windows:
         return []
-    for number, window in enumerate(recurring):
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+    for window, number in windows.items():
         automaton.add_word(window, number)
     automaton.make_automaton()
-    first: list[tuple | None] = [None] * len(recurring)
+    first: list[tuple | None] = [None] * len(windows)
+    del windows
     out = []
-    for i in sorted(range(len(shard)), key=lambda i: (shard[i][0], shard[i][3])):
+    streamed = [i for i, sequence in enumerate(sequences) if sequence]
+    for i in sorted(streamed, key=lambda i: (shard[i][0], shard[i][3])):
         doc_id, text_hash, salts, start, words = shard[i]
         removed = []
         for end, number in automaton.iter(sequences[i]):
@@ -256,7 +308,7 @@ def joined(starts: list[int]) -> list[tuple[int, int]]:
     return ranges
 
 
-def located(found: DataFrame, by: list[str]) -> DataFrame:
+def located(found: DataFrame, by: list[str], bits=None) -> DataFrame:
     """``locate`` over contexts dealt out and ordered by the columns ``by``.
 
     A task cuts its rows into shards between two anchors; it holds one shard at a time.
@@ -264,6 +316,7 @@ def located(found: DataFrame, by: list[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, last = [], None
+        elsewhere = np.frombuffer(bits.value, np.uint64) if bits else None
         for batch in batches:
             columns = [
                 batch[c].to_pylist()
@@ -271,12 +324,12 @@ def located(found: DataFrame, by: list[str]) -> DataFrame:
             ]
             for row in zip(*columns, strict=True):
                 if len(shard) >= SHARD and row[5:] != last:
-                    yield batch_of(FOUND_TYPES, locate(shard))
+                    yield batch_of(FOUND_TYPES, locate(shard, elsewhere))
                     shard = []
                 shard.append(row[:5])
                 last = row[5:]
         if shard:
-            yield batch_of(FOUND_TYPES, locate(shard))
+            yield batch_of(FOUND_TYPES, locate(shard, elsewhere))
 
     return found.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, FOUND)
 
@@ -284,11 +337,17 @@ def located(found: DataFrame, by: list[str]) -> DataFrame:
 def removals(docs: DataFrame, described: DataFrame, gone: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The texts of documents with recurring anchors, and the word ranges to remove."""
     wanted = recurring_anchors(described).join(gone, KEY, "left_anti")
-    texts = written(identified(docs).join(wanted, KEY), "recurring_texts")
+    times = described.groupBy(KEY).agg(F.count("*").alias("times"))
+    wanted = written(wanted.join(times, KEY), "wanted")
+    once = identified(docs).join(wanted.filter("times = 1").drop("times"), KEY)
+    often = identified(docs).join(wanted.filter("times > 1").drop("times"), KEY)
+    # Rows that repeat a row are one document; tasks combine theirs before the shuffle.
+    often = often.groupBy(KEY).agg(F.any_value("raw").alias("raw"), F.any_value("anchors").alias("anchors"))
+    texts = written(once.unionAll(often), "recurring_texts")
     found = contexts(texts).withColumn(
         "salt", F.pmod(F.xxhash64("doc_id", "start"), F.col("salts"))
     )
-    by_anchor = written(located(found, ["anchor", "salt"]), "located")
+    by_anchor = written(located(found, ["anchor", "salt"], salted_windows(texts)), "located")
     firsts = by_anchor.filter("window IS NOT NULL").select(
         *KEY, "start", F.lit(1).alias("salts"), F.col("window").alias("context"),
         F.xxhash64("window").alias("anchor"),
@@ -300,6 +359,31 @@ def removals(docs: DataFrame, described: DataFrame, gone: DataFrame) -> tuple[Da
     )
 
 
+def salted_windows(texts: DataFrame):
+    """The filter of the windows that occur twice around salted anchors, as a broadcast;
+    None where no anchor is salted."""
+    salted = texts.withColumn("anchors", F.expr("filter(anchors, a -> a.salts > 1)")).filter(
+        F.size("anchors") > 0
+    )
+    if salted.isEmpty():
+        return None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = [window_hashes(words) for words in batch["context"].to_pylist()]
+            values, times = np.unique(
+                np.concatenate([*hashes, np.empty(0, np.uint64)]), return_counts=True
+            )
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(values.view(np.int64)), pa.array(times.astype(np.int64))],
+                names=["hash", "times"],
+            )
+
+    windows = contexts(salted).mapInArrow(run, "hash long, times long")
+    often = windows.groupBy("hash").agg(F.sum("times").alias("n")).filter("n > 1")
+    return texts.sparkSession.sparkContext.broadcast(filter_bits(often, FILTER_BITS))
+
+
 def cut(texts: DataFrame) -> DataFrame:
     """doc_id, text_hash, n_removed, kept (words joined by a space), from texts with
     ranges."""

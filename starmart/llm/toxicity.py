@@ -7,14 +7,16 @@ logistic output. Everything is trained in numpy.
 
 The model is fitted on the driver, on a bounded sample of labelled rows: about SAMPLE
 documents, half of each class where there are as many, none longer than
-MAX_TRAIN_CHARS. A fifth of them is kept back to calibrate scores, so that 0.3 is the
-best threshold over all languages, and to find the best threshold of each language.
-Neither language, source, label nor id is an input of a score. Scoring reads every
-whole text, without a shuffle.
+MAX_TRAIN_CHARS, one row for an id. Tasks turn their texts into hashes of two bytes, three
+a word, and only those come to the driver. A fifth of them is kept back to calibrate scores,
+so that 0.3 is the best threshold over all languages, and to find the best threshold of
+each language. Neither language, source, label nor id is an input of a score. Scoring
+reads every whole text, without a shuffle.
 
 Defined results: NULL, empty and blank texts score as a text without words. Without any
-usable label, or with one class only, all scores are 0. Repeated rows get equal results.
-Columns of the input that are not needed are left alone.
+usable label, or with one class only, all scores are 0. Repeated rows get equal results;
+of several rows of an id, the model is fitted on the one of least text hash. Bytes that are
+not UTF-8 read as U+FFFD. Columns of the input that are not needed are left alone.
 """
 
 from __future__ import annotations
@@ -48,7 +50,7 @@ MIN_TEXTS = 3
 MIN_ROWS = 20
 # Word positions that are convolved at once.
 BLOCK = 1 << 17
-# The column with the score; named so that it meets no column of the input.
+# The column with the score, unless the caller wants another name.
 SCORE = "_toxicity"
 
 WORD = re.compile(r"\w+")
@@ -93,6 +95,13 @@ def indexed(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return table, np.array(ids, dtype=np.int32), np.array(starts)
 
 
+def featurised(texts: list[str | None]) -> list[np.ndarray]:
+    """The features of each text's words, in order: a row of 1 + len(PREFIXES) a word."""
+    table, ids, starts = indexed(texts)
+    found = [ids[a : b - max(SPANS)] - 1 for a, b in zip(starts[:-1], starts[1:], strict=True)]
+    return [table[places].astype(np.uint16) for places in found]
+
+
 def pooled(model: ToxicityModel, table: np.ndarray, ids: np.ndarray, starts: np.ndarray):
     """The maximum of each filter over each text, in blocks of positions."""
     vectors = np.zeros((len(table) + 1, WIDTH), dtype=np.float32)
@@ -104,6 +113,8 @@ def pooled(model: ToxicityModel, table: np.ndarray, ids: np.ndarray, starts: np.
         projected = [vectors @ part for part in parts]
         columns = slice(s * FILTERS, (s + 1) * FILTERS)
         best = np.full((len(starts) - 1, FILTERS), -np.inf, dtype=np.float32)
+        # As in training, a text without words is one window of nothing.
+        best[np.diff(starts) == pad] = 0
         for begin in range(0, len(ids) - pad + 1, BLOCK):
             end = min(begin + BLOCK, len(ids) - span + 1)
             found = projected[0][ids[begin:end]]
@@ -113,7 +124,7 @@ def pooled(model: ToxicityModel, table: np.ndarray, ids: np.ndarray, starts: np.
             last = np.searchsorted(starts, end, side="left")
             cuts = np.maximum(starts[first:last], begin)
             # Windows that begin in the padding after a text do not count.
-            stops = np.minimum(starts[first + 1 : last + 1] - (pad - 1), end)
+            stops = np.minimum(starts[first + 1 : last + 1] - pad, end)
             keep = cuts < stops
             if keep.any():
                 bounds = np.stack([cuts[keep], stops[keep]], axis=1).ravel() - begin
@@ -140,17 +151,27 @@ class Adagrad:
         self.array[rows] -= RATE * gradient / np.sqrt(self.squares[rows])
 
 
-def known_features(table: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Whether a feature occurs in at least MIN_TEXTS of the texts."""
+def known_features(texts: list[np.ndarray]) -> np.ndarray:
+    """Whether a feature occurs in at least MIN_TEXTS of the featurised texts."""
     held = np.zeros(BUCKETS, dtype=np.int64)
-    for begin, end in zip(starts[:-1], starts[1:], strict=True):
-        places = np.unique(ids[begin:end])
-        held[np.unique(table[places[places > 0] - 1])] += 1
-    return held >= min(MIN_TEXTS, len(starts) - 1)
+    for words in texts:
+        held[np.unique(words)] += 1
+    return held >= min(MIN_TEXTS, len(texts))
+
+
+def feature_logits(model: ToxicityModel, texts: list[np.ndarray]) -> np.ndarray:
+    """``logits`` of featurised texts."""
+    pad = max(SPANS)
+    out = [np.empty(0)]
+    for text in texts:
+        ids = np.concatenate([np.arange(1, len(text) + 1), np.zeros(pad, dtype=np.int64)])
+        found = pooled(model, text, ids, np.array([0, len(ids)]))
+        out.append(found @ model.weights + model.bias)
+    return np.concatenate(out)
 
 
-def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> ToxicityModel:
-    """Stochastic gradient steps of one text each.
+def train(texts: list[np.ndarray], toxic: np.ndarray, seed: int = 7) -> ToxicityModel:
+    """Stochastic gradient steps of one featurised text each.
 
     Pooling passes a gradient only to the window that won, so a step touches a few rows
     of the embeddings, however long the text is.
@@ -163,8 +184,7 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> ToxicityModel:
         rng.normal(0, 0.3, len(SPANS) * FILTERS).astype(np.float32),
         0.0,
     )
-    table, ids, starts = indexed(texts)
-    known = known_features(table, ids, starts)
+    known = known_features(texts)
     model.embeddings[~known] = 0
     embeddings = Adagrad(model.embeddings)
     filters = [Adagrad(f) for f in model.filters]
@@ -173,9 +193,8 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> ToxicityModel:
     balance = np.where(toxic == 1, 0.5 / max(toxic.mean(), 1e-6), 0.5 / max(1 - toxic.mean(), 1e-6))
     for _ in range(EPOCHS):
         for d in rng.permutation(len(texts)):
-            words = ids[starts[d] : starts[d + 1]]
-            real = len(words) - max(SPANS)
-            rows = table[np.maximum(words - 1, 0)] if len(table) else np.zeros((len(words), 3), int)
+            real = len(texts[d])
+            rows = np.pad(texts[d].astype(np.int64), ((0, max(SPANS)), (0, 0)))
             x = model.embeddings[rows].sum(axis=1)
             x[real:] = 0
             windows, winners, hidden = [], [], []
@@ -223,10 +242,10 @@ def best_threshold(scores: np.ndarray, toxic: np.ndarray, weights: np.ndarray) -
 
 
 def calibrate(
-    model: ToxicityModel, texts: list[str], toxic: np.ndarray, langs: list, weights: np.ndarray
+    model: ToxicityModel, texts: list[np.ndarray], toxic: np.ndarray, langs: list, weights: np.ndarray
 ) -> None:
     """Sets scale and shift (so that THRESHOLD is best) and the languages' thresholds."""
-    raw = logits(model, texts)
+    raw = feature_logits(model, texts)
     a, b = 1.0, 0.0
     for _ in range(50):  # Newton steps for the logistic fit, with a small ridge
         p = 1 / (1 + np.exp(-np.clip(a * raw + b, -30, 30)))
@@ -250,7 +269,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     """About ``sample`` rows (doc_id, text, lang, toxic, weight), half of each class.
 
     Label rows are picked by a hash of their id against the count of their class; that
-    bounded set is broadcast to the documents, so no text is shuffled.
+    bounded set is broadcast to the documents. Each picked id gives one row, chosen
+    within tasks before the few that are left are shuffled, however many rows it has.
     """
     usable = labels.select("doc_id", "toxic").filter(
         F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)
@@ -264,52 +284,86 @@ def training_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     short = docs.select("doc_id", "text", "lang").filter(
         F.length("text") <= MAX_TRAIN_CHARS
     )
-    return short.join(F.broadcast(picked), "doc_id")
+    row = F.struct("text", "lang")
+    found = short.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "toxic", "weight")
+    return found.agg(F.min(F.struct(F.xxhash64("text").alias("h"), row.alias("r"))).alias("m")).select(
+        "doc_id", "m.r.text", "m.r.lang", "toxic", "weight"
+    )
+
+
+def with_features(sample: DataFrame) -> DataFrame:
+    """doc_id, lang, toxic, weight and words (the features, two bytes each) of a sample."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = readable(batch["raw"])
+            words = [found.tobytes() for found in featurised(texts)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], pa.array(words, pa.binary())],
+                names=[*batch.schema.names[:-1], "words"],
+            )
+
+    rows = sample.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "lang", F.col("toxic").cast("int").alias("toxic"),
+        F.col("weight").cast("double").alias("weight"), F.col("text").cast("binary").alias("raw"),
+    )
+    return rows.mapInArrow(run, "doc_id long, lang string, toxic int, weight double, words binary")
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityModel | None:
     """A model from documents and their labels; the caller leaves out what is held out."""
-    rows = training_sample(docs, labels, sample).orderBy("doc_id", "text").collect()
-    toxic = np.array([r["toxic"] for r in rows], dtype=np.float64)
+    rows = with_features(training_sample(docs, labels, sample)).orderBy("doc_id").toArrow()
+    toxic = rows["toxic"].to_numpy().astype(np.float64)
     kept_back = np.array(
-        [xxhash.xxh3_64_intdigest(str(r["doc_id"]).encode()) % 5 == 0 for r in rows], dtype=bool
+        [xxhash.xxh3_64_intdigest(str(i).encode()) % 5 == 0 for i in rows["doc_id"].to_pylist()],
+        dtype=bool,
     )
     parts = [np.flatnonzero(~kept_back), np.flatnonzero(kept_back)]
     if any(len(np.unique(toxic[part])) < 2 for part in parts):
-        parts = [np.arange(len(rows))] * 2
+        parts = [np.arange(len(toxic))] * 2
     if len(np.unique(toxic)) < 2:
         return None
-    texts = [r["text"] for r in rows]
+    width = 1 + len(PREFIXES)
+    texts = [
+        np.frombuffer(words.as_buffer(), np.uint16).reshape(-1, width) for words in rows["words"]
+    ]
     model = train([texts[i] for i in parts[0]], toxic[parts[0]])
-    weights = np.array([r["weight"] for r in rows])
+    langs, weights = rows["lang"].to_pylist(), rows["weight"].to_numpy()
     calibrate(
         model,
         [texts[i] for i in parts[1]],
         toxic[parts[1]],
-        [rows[i]["lang"] for i in parts[1]],
+        [langs[i] for i in parts[1]],
         weights[parts[1]],
     )
     return model
 
 
-def score(docs: DataFrame, model: ToxicityModel | None) -> DataFrame:
-    """The rows of ``docs`` with SCORE (0 to 1) as a further, last column."""
+def readable(texts: pa.Array) -> list[str | None]:
+    return [
+        t if t is None else t.decode("utf-8", "replace")
+        for t in texts.cast(pa.binary()).to_pylist()
+    ]
+
+
+def score(docs: DataFrame, model: ToxicityModel | None, name: str = SCORE) -> DataFrame:
+    """The rows of ``docs`` with the score (0 to 1) as a further, last column ``name``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch["text"].to_pylist()
+            texts = readable(batch["text"])
             found = model.scores(logits(model, texts)) if model else np.zeros(len(texts))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(found, pa.float64())],
-                names=[*batch.schema.names, SCORE],
+                names=[*batch.schema.names, name],
             )
 
-    return docs.mapInArrow(run, StructType([*docs.schema, StructField(SCORE, DoubleType())]))
+    return docs.mapInArrow(run, StructType([*docs.schema, StructField(name, DoubleType())]))
 
 
-def is_toxic(model: ToxicityModel | None) -> Column:
+def is_toxic(model: ToxicityModel | None, name: str = SCORE) -> Column:
     """The verdict on scored rows, by the threshold of the row's language."""
-    verdict = F.col(SCORE) >= THRESHOLD
+    verdict = F.col(name) >= THRESHOLD
     for lang, threshold in (model.thresholds if model else {}).items():
-        verdict = F.when(F.col("lang") == lang, F.col(SCORE) >= threshold).otherwise(verdict)
+        verdict = F.when(F.col("lang") == lang, F.col(name) >= threshold).otherwise(verdict)
     return verdict

@@ -3,6 +3,8 @@
 import hashlib
 import random
 import re
+import time
+import tracemalloc
 from collections import Counter, defaultdict
 
 import duckdb
@@ -107,9 +109,80 @@ def test_substring_dedup_by_force(spark, any_dir, monkeypatch, salt_rows):
     assert bag(rows) == bag(passages_by_force(texts(any_dir)))
 
 
+def test_rows_that_repeat_a_row_are_one_document(spark, monkeypatch):
+    seen = []
+    original = substring_dedup.located
+
+    def counted(found, by, bits=None):
+        seen.append(found.count())
+        return original(found, by, bits)
+
+    monkeypatch.setattr(substring_dedup, "located", counted)
+    rows = [(1, PROSE_WORDS), (2, "other words first " + PROSE_WORDS)] + [(3, PROSE_WORDS + " end")] * 2000
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [tuple(r) for r in substring_dedup.remove_passages(docs).select("doc_id", "n_words", "n_removed").collect()]
+    expected = [r[:3] for r in passages_by_force(rows)]
+    assert Counter(found) == Counter(expected)
+    assert seen[0] < 100
+
+
+PROSE_WORDS = " ".join(f"p{i}" for i in range(60))
+
+
+def test_an_anchor_with_many_surroundings_is_held_as_hashes():
+    """Windows that do not recur never become words of an automaton."""
+    rng = random.Random(3)
+    shard = []
+    for i in range(20_000):
+        around = [b"w%d" % rng.randrange(10**6) for _ in range(27)]
+        around[11:16] = [b"the", b"same", b"five", b"words", b"here"]
+        shard.append((i, i, 1, 0, b" ".join(around)))
+    shard += [(30_000, 1, 1, 5, shard[7][4]), (30_001, 2, 1, 9, shard[7][4])]
+    tracemalloc.start()
+    found = substring_dedup.locate(shard)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sorted(found) == [(30_000, 1, 5, 32, None), (30_001, 2, 9, 36, None)]
+    assert peak < 120e6
+
+
 # --- line dedup -----------------------------------------------------------------
 
 
+def test_crowds_of_long_lines_are_told_apart(spark):
+    """62 lines of 20,000 characters that differ in one in the middle, and some that lack
+    or have one more there."""
+    rng = random.Random(5)
+    base = "".join(rng.choices("abcdefgh ", k=20_000))
+    letters = "".join(map(chr, range(48, 110)))  # 62 of them
+    lines = [base[:9_999] + c + base[10_000:] for c in letters]
+    lines += [base[:9_999] + base[10_000:], base[:9_999] + "zz" + base[10_000:], base[:5] + "Z" + lines[0][5:]]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    start = time.perf_counter()
+    found = {r.doc_id: (r.n_links, r.n_removed) for r in line_dedup.dedup(docs).collect()}
+    assert time.perf_counter() - start < 60
+    n = len(letters)
+    expected = {}
+    for i, x in enumerate(lines):
+        links = [j for j, y in enumerate(lines) if i != j and one_edit(x, y)]
+        expected[i] = (len(links), int(any(j < i for j in links)))
+    assert expected[0] == (n - 1 + 2, 0)
+    assert found == expected
+
+
+@pytest.mark.parametrize("crowd", [0, 3])
+def test_crowds_by_force(spark, monkeypatch, crowd):
+    monkeypatch.setattr(line_dedup, "CROWD", crowd)
+    rng = random.Random(9)
+    lines = sorted({"".join(rng.choices("ab", k=rng.randrange(2, 7))) for _ in range(60)})
+    lines += [f"line number {i} of them" for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    found = {r.doc_id: r.n_links for r in line_dedup.dedup(docs).collect()}
+    assert found == {
+        i: sum(1 for j, y in enumerate(lines) if i != j and one_edit(x, y)) for i, x in enumerate(lines)
+    }
+
+
 def one_edit(a, b):
     short, long = sorted((a, b), key=len)
     start = next((i for i, c in enumerate(short) if c != long[i]), len(short))
@@ -281,11 +354,37 @@ def test_documents_without_words_are_not_ranked(spark):
 # --- decontamination ------------------------------------------------------------
 
 
-def test_items_in_blocks(spark, small_dir, monkeypatch):
-    """The blocks of the query set do not change the result."""
-    whole = run(spark, "op4_decontamination", small_dir)[1]
-    monkeypatch.setattr(decontamination, "BLOCK_ITEMS", 60)
-    assert bag(run(spark, "op4_decontamination", small_dir)[1]) == bag(whole)
+@pytest.mark.parametrize("items", [60, 1])
+def test_items_in_blocks(spark, odd_dir, monkeypatch, items):
+    """The blocks of the query set do not change the result, nor are documents rewritten."""
+    docs, bench = (spark.read.parquet(f"{odd_dir}/{t}.parquet") for t in ("documents", "benchmark"))
+    whole = bag(tuple(r) for r in decontamination.matches(docs, bench).collect())
+    kept = bag(tuple(r) for r in decontamination.decontaminated(docs, bench).collect())
+    monkeypatch.setattr(decontamination, "BLOCK_ITEMS", items)
+    rows = []
+    original = decontamination.written
+
+    def counted(df, name):
+        result = original(df, name)
+        rows.append((set(result.columns), result.count()))
+        return result
+
+    monkeypatch.setattr(decontamination, "written", counted)
+    assert bag(tuple(r) for r in decontamination.matches(docs, bench).collect()) == whole
+    assert bag(tuple(r) for r in decontamination.decontaminated(docs, bench).collect()) == kept
+    assert all("text" not in columns and n <= len(whole) for columns, n in rows)
+    assert bool(rows) == (items == 1)
+
+
+def test_reserved_names_are_free_to_use(spark, odd_dir):
+    docs = spark.read.parquet(f"{odd_dir}/documents.parquet").selectExpr(
+        "doc_id", "text", "lang", "1 AS _items", "2 AS _toxicity", "'x' AS __toxicity"
+    )
+    stages = dict(corpus_pipeline.STAGES)
+    for name in ("toxicity", "decontamination"):
+        out = stages[name](spark, docs, odd_dir)
+        assert out.columns == docs.columns
+        assert {tuple(r) for r in out.select("_items", "_toxicity", "__toxicity").collect()} == {(1, 2, "x")}
 
 
 def test_items_without_id_and_very_long_items(spark):
