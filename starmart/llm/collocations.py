@@ -7,14 +7,16 @@ per language. A phrase of 2 to SIZE words that occurs THRESHOLD times is a candi
 1. Summaries. Tasks count the hashes of their phrases and cut them by hash partition. A
    partition merges what it gets into one Misra-Gries summary: where more than ``capacity``
    hashes are held, the count of the (capacity + 1)-th is taken off all and what falls to
-   zero goes. Capacity exceeds the partition's mass (all its occurrences, summed first)
-   divided by the threshold, so at most threshold - 1 is ever taken off a count, and
-   every frequent phrase survives. A summary holds no more than that, however many
-   different phrases pass by. Single words and pairs are summarised first; of the longer
-   phrases only those take part of which each pair survived, as no other can be frequent.
+   zero goes. Capacity exceeds SLACK times the partition's mass (all its occurrences,
+   summed first) divided by the threshold, so less than a SLACK-th of the threshold is
+   ever taken off a count: every frequent phrase survives, and few others do. A summary
+   holds no more than that, however many different phrases pass by. Single words and
+   pairs are summarised first; of the longer phrases only those take part of which each
+   pair survived, as no other can be frequent.
 2. Exact count. Survivors set the bits of a filter of fixed size (2 ** FILTER_BITS). The
-   documents are read again; phrases whose bit is set are counted by their text. Rare
-   phrases that pass by chance cost a little and end at the threshold.
+   documents are read again; phrases whose bit is set are counted by their text. Tasks
+   deal their counts out by hash partition, in a few rows each, and a partition adds them
+   up. Rare phrases that pass by chance cost a little and end at the threshold.
 3. Scores. A candidate cut after its first k words has l = f(first part), r = f(rest)
    and the score floor(1000 * a * n / (l * r)), in exact decimals; the lowest cut counts.
    A candidate inside a longer one of at least SHARE percent of its count goes.
@@ -40,14 +42,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.llm.common import shingle_hashes, written
+from starmart.llm.common import filter_bits, has_bit, shingle_hashes, written
 
 SIZE = 5
 THRESHOLD = 100
 SHARE = 100
 TOP = 2000
-# Occurrences that one summary is for, on average; its capacity is a 1/THRESHOLD of it.
+# Occurrences that one summary is for, on average; its capacity is SLACK/THRESHOLD of it.
 PART_MASS = 5_000_000
+SLACK = 10
 # Bytes of text for one occurrence, to plan the number of partitions with.
 BYTES_A_WORD = 6
 # Text that a task cuts into words at once, and hashes it holds before passing them on.
@@ -105,11 +108,6 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
         yield from (Block(k, texts, known) for k, texts in waiting.items())
 
 
-def has_bit(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    slot = hashes & np.uint64(64 * len(bits) - 1)
-    return (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
-
-
 def added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashes, ascending, with the sums of their counts."""
     hashes = np.concatenate([h for h, _ in parts])
@@ -190,7 +188,7 @@ class MisraGries:
     def add(self, hashes: np.ndarray, counts: np.ndarray) -> None:
         self.waiting.append((hashes, counts))
         self.n_waiting += len(hashes)
-        if self.n_waiting > 4 * self.capacity:
+        if self.n_waiting > 2 * self.capacity:
             self.merge()
 
     def merge(self) -> None:
@@ -231,7 +229,7 @@ def survivors(counts: DataFrame, threshold: int) -> DataFrame:
                     mass += own_mass
                 else:
                     # All masses of a partition come before its first counts.
-                    summary = summary or MisraGries(mass // threshold + 1)
+                    summary = summary or MisraGries(SLACK * (mass // threshold + 1))
                     summary.add(
                         np.frombuffer(hashes, np.uint64),
                         np.frombuffer(values, np.uint32).astype(np.int64),
@@ -246,33 +244,33 @@ def survivors(counts: DataFrame, threshold: int) -> DataFrame:
     )
 
 
-def filter_bits(hashes: DataFrame, bits: int) -> bytes:
-    """A bit for each hash, of 2 ** bits; this and no more comes to the driver."""
-    slot = F.col("hash").bitwiseAND(F.lit((1 << bits) - 1))
-    word = F.shiftright(slot, 6).cast("int").alias("word")
-    bit = F.expr("shiftleft(1L, cast(hash & 63 as int))")
-    set_bits = hashes.groupBy(word).agg(F.bit_or(bit).alias("bits")).toArrow()
-    table = np.zeros(1 << (bits - 6), dtype=np.uint64)
-    table[set_bits["word"].to_numpy()] = set_bits["bits"].to_numpy().view(np.uint64)
-    return table.tobytes()
+def part_of(lang: str, phrase: str, parts: int) -> int:
+    return xxhash.xxh3_64_intdigest(f"{lang}\n{phrase}".encode()) % parts
 
 
-def exact_counts(docs: DataFrame, sizes: int, bits) -> DataFrame:
-    """lang, phrase and f of the phrases whose bit is set; the empty phrase has all words."""
+def exact_counts(docs: DataFrame, sizes: int, threshold: int, parts: int, bits) -> DataFrame:
+    """lang, phrase and f of the phrases of at least ``threshold`` occurrences whose bit is
+    set, and of the empty phrase, which has all words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(bits.value, np.uint64)
         held: Counter = Counter()
 
         def rows() -> pa.RecordBatch:
-            keys = [(lang, phrase.decode("utf-8", "replace")) for lang, phrase in held]
+            dealt: dict[int, tuple[list, list, list]] = {}
+            for (lang, raw), n in held.items():
+                phrase = raw.decode("utf-8", "replace")
+                own = dealt.setdefault(part_of(lang, phrase, parts), ([], [], []))
+                for column, value in zip(own, (lang, phrase, n), strict=True):
+                    column.append(value)
+            columns = list(zip(*dealt.values(), strict=True)) or [(), (), ()]
+            types = (pa.string(), pa.string(), pa.int64())
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([k[0] for k in keys], pa.string()),
-                    pa.array([k[1] for k in keys], pa.string()),
-                    pa.array(held.values(), pa.int64()),
+                    pa.array(dealt.keys(), pa.int32()),
+                    *[pa.array(c, pa.list_(t)) for c, t in zip(columns, types, strict=True)],
                 ],
-                names=["lang", "phrase", "f"],
+                names=["part", "langs", "phrases", "counts"],
             )
 
         for block in blocks(batches):
@@ -295,8 +293,35 @@ def exact_counts(docs: DataFrame, sizes: int, bits) -> DataFrame:
                 held.clear()
         yield rows()
 
-    found = docs.mapInArrow(run, "lang string, phrase string, f long")
-    return found.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    def added_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = None, Counter()
+
+        def rows() -> pa.RecordBatch:
+            kept = [(*k, n) for k, n in total.items() if n >= threshold or not k[1]]
+            columns = list(zip(*kept, strict=True)) or [(), (), ()]
+            types = (pa.string(), pa.string(), pa.int64())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
+                names=["lang", "phrase", "f"],
+            )
+
+        for batch in batches:
+            for i, part in enumerate(batch["part"].to_pylist()):
+                if part != now:
+                    yield rows()
+                    now, total = part, Counter()
+                own = [batch[c][i].as_py() for c in ("langs", "phrases", "counts")]
+                for lang, phrase, n in zip(*own, strict=True):
+                    total[lang, phrase] += n
+        yield rows()
+
+    dealt = "part int, langs array<string>, phrases array<string>, counts array<long>"
+    return (
+        docs.mapInArrow(run, dealt)
+        .repartition("part")
+        .sortWithinPartitions("part")
+        .mapInArrow(added_up, "lang string, phrase string, f long")
+    )
 
 
 def phrase_counts(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD) -> DataFrame:
@@ -317,8 +342,7 @@ def phrase_counts(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD)
         long = survivors(local_counts(texts, range(3, size + 1), parts, bits), threshold)
         found = found.unionAll(written(long, "frequent_phrases"))
     bits = spark.sparkContext.broadcast(filter_bits(found, FILTER_BITS))
-    counts = exact_counts(texts, size, bits)
-    return counts.filter((F.col("f") >= threshold) | (F.col("phrase") == ""))
+    return exact_counts(texts, size, threshold, parts, bits)
 
 
 def run_of(words: Column, start: Column, size: Column) -> Column:
