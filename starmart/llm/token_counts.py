@@ -12,6 +12,10 @@ entry has at most KEY_BYTES bytes; a longer pre-token goes by its digest); most
 are theirs. What a document has of all others is shuffled by pre-token and joined there; as
 the frequent ones are gone, no pre-token is hot. Both ways serve any amount of data.
 
+Texts repeat themselves long before they are cut: a byte-level tokenizer always cuts where
+a space or line feed follows something else, so tasks cut their texts there, count the
+chunks, and pre-tokenize a chunk once. Other tokenizers pre-tokenize whole texts.
+
 Special tokens that the tokenizer finds inside texts count one each, which is its default.
 No begin or end token is added, nothing is truncated or padded. ``tokenizer`` is the
 content of a tokenizers file (.json), read by the caller; files whose special tokens
@@ -37,12 +41,17 @@ from tokenizers import Tokenizer
 
 from starmart.llm.common import written
 
-COMMON = 1 << 16
+COMMON = 1 << 18
 KEY_BYTES = 64
-# Distinct pre-tokens that a task holds before it passes them on.
+# Distinct chunks that a task holds before it passes them on, or forgets them.
 HELD = 200_000
 LIMIT = 512
 
+CHUNK_START = re.compile(r"(?<=\S)(?=[ \n])")
+# Chunks of which a byte-level tokenizer makes a word, with its space, and the marks.
+PLAIN = re.compile(r"( ?)([A-Za-z]+)([.,;:!?]*)\Z")
+SPACE_BYTE = "\u0120"
+
 
 class PreTokens:
     """Cuts texts as the tokenizer does before its model comes in."""
@@ -55,22 +64,40 @@ class PreTokens:
                 raise ValueError(f"special token {token['content']!r} depends on its surroundings")
         names = sorted((t["content"] for t in added), key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, names))) if names else None
-
-    def of(self, text: str) -> tuple[Counter, int]:
-        """The pre-tokens of a text with their frequencies, and its special tokens."""
-        parts, specials = [text], 0
-        if self.special:
-            parts = self.special.split(text)
-            specials = len(parts) - 1
+        cut = json.loads(content).get("pre_tokenizer") or {}
+        self.by_chunk = (
+            self.tokenizer.normalizer is None
+            and cut.get("type") == "ByteLevel"
+            and cut["use_regex"]
+            and not cut["add_prefix_space"]
+        )
+
+    def pieces(self, part: str) -> list[str]:
+        """The pre-tokens of a part of a text that has no special token."""
+        if self.tokenizer.normalizer:
+            part = self.tokenizer.normalizer.normalize_str(part)
+        if not part:
+            return []
+        cut = self.tokenizer.pre_tokenizer
+        return [piece for piece, _ in cut.pre_tokenize_str(part)] if cut else [part]
+
+    def chunks(self, text: str) -> tuple[Counter, int]:
+        """Chunks of a text (see ``pieces_of``) with their frequencies, and its specials."""
+        parts = self.special.split(text) if self.special else [text]
         found: Counter = Counter()
-        normalizer, cut = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
         for part in parts:
-            if part and normalizer:
-                part = normalizer.normalize_str(part)
             if part:
-                pieces = cut.pre_tokenize_str(part) if cut else [(part, None)]
-                found.update([piece for piece, _ in pieces])
-        return found, specials
+                found.update(CHUNK_START.split(part) if self.by_chunk else self.pieces(part))
+        return found, len(parts) - 1
+
+    def pieces_of(self, chunk: str) -> list[str]:
+        if not self.by_chunk:
+            return [chunk]
+        if plain := PLAIN.match(chunk):
+            space, word, marks = plain.groups()
+            word = SPACE_BYTE + word if space else word
+            return [word, marks] if marks else [word]
+        return self.pieces(chunk)
 
     def size(self, piece: str) -> int:
         return len(self.tokenizer.model.tokenize(piece))
@@ -92,14 +119,18 @@ def piece_occurrences(docs: DataFrame, content) -> DataFrame:
         cut, held = PreTokens(content.value), Counter()
 
         def rows() -> pa.RecordBatch:
+            pieces: Counter = Counter()
+            for chunk, n in held.items():
+                for piece in cut.pieces_of(chunk):
+                    pieces[piece] += n
             return pa.RecordBatch.from_arrays(
-                [pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())],
+                [pa.array(pieces.keys(), pa.string()), pa.array(pieces.values(), pa.int64())],
                 names=["piece", "n"],
             )
 
         for batch in batches:
             for raw in batch["raw"].to_pylist():
-                held.update(cut.of(decoded(raw))[0])
+                held.update(cut.chunks(decoded(raw))[0])
                 if len(held) > HELD:
                     yield rows()
                     held.clear()
@@ -130,31 +161,44 @@ def piece_sizes(pieces: DataFrame, content) -> DataFrame:
 
 def summed(content, common) -> Callable:
     """doc_id, n_bytes, n_tokens (specials and common pre-tokens) and rest (all others)."""
-    entry = pa.struct([("key", pa.binary()), ("n", pa.int64())])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut, sizes = PreTokens(content.value), common.value
+        # Of each chunk: tokens of its common pre-tokens, and the keys of its others.
+        known: dict[str, tuple[int, tuple[bytes, ...]]] = {}
+
+        def valued(chunk: str) -> tuple[int, tuple[bytes, ...]]:
+            if len(known) > HELD:
+                known.clear()
+            keys = [key_of(piece) for piece in cut.pieces_of(chunk)]
+            size = sum(sizes.get(key, 0) for key in keys)
+            known[chunk] = size, tuple([key for key in keys if key not in sizes])
+            return known[chunk]
+
         for batch in batches:
-            tokens, rest, n_bytes = [], [], []
+            tokens, n_bytes, rest_keys, rest_counts, offsets = [], [], [], [], [0]
             for raw in batch["raw"].to_pylist():
-                found, total = cut.of(decoded(raw))
-                others = []
-                for piece, n in found.items():
-                    key = key_of(piece)
-                    size = sizes.get(key)
-                    if size is None:
-                        others.append({"key": key, "n": n})
-                    else:
-                        total += n * size
+                found, total = cut.chunks(decoded(raw))
+                others: Counter = Counter()
+                for chunk, n in found.items():
+                    size, keys = known.get(chunk) or valued(chunk)
+                    total += n * size
+                    for key in keys:
+                        others[key] += n
                 tokens.append(total)
-                rest.append(others)
+                rest_keys += others
+                rest_counts += others.values()
+                offsets.append(len(rest_keys))
                 n_bytes.append(len(raw or b""))
+            rest = pa.StructArray.from_arrays(
+                [pa.array(rest_keys, pa.binary()), pa.array(rest_counts, pa.int64())],
+                names=["key", "n"],
+            )
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["doc_id"],
                     pa.array(n_bytes, pa.int64()),
                     pa.array(tokens, pa.int64()),
-                    pa.array(rest, pa.list_(entry)),
+                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), rest),
                 ],
                 names=["doc_id", "n_bytes", "n_tokens", "rest"],
             )

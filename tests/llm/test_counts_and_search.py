@@ -129,6 +129,7 @@ def tokenizer_text(name):
 ODD_TEXTS = [
     None, "", " ", "\n\n  \t x", "It's we'll I'd THEY'RE", "<|endoftext|>", "a<|endoftext|>b",
     "<|endoftext|><|endoftext|> <|endoftext", "naïve \U0001f600‍\U0001f468 é", "1234567 89",
+    "a \x1c b\x1c c\t d \u2028 e\u180e f", " lead", "x.\x1c.\n y \x85 z", "\n \n", "a\u3000 b \u3000c",
     "日本語のテキスト、です。", "x" * 5_000, "-" * 300, "a  b   c \r\n\r\n d\x00\x1c\x85　e", "ſ K Å ﬁ",
 ]
 
@@ -148,6 +149,20 @@ def test_token_counts_by_encoding(spark, any_table, name, common):
     assert bag(found) == bag(expected)
 
 
+def test_chunks_have_the_pre_tokens_of_the_text():
+    cut = token_counts.PreTokens(tokenizer_text("byte_bpe_50k.json"))
+    rng = random.Random(6)
+    letters = "ab1.' \n\t\r\x1c\x85\u00a0\u2028\u200b\u3000é\U0001f600ſ" + "s' t" * 3
+    for _ in range(5_000):
+        text = "".join(rng.choices(letters, k=rng.randrange(25)))
+        expected = Counter(cut.pieces(text))
+        found = Counter()
+        for chunk, n in cut.chunks(text)[0].items():
+            for piece in cut.pieces_of(chunk):
+                found[piece] += n
+        assert found == expected, repr(text)
+
+
 @pytest.fixture(params=["small", "odd"])
 def any_table(request, spark, sf_dir, odd_dir):
     if request.param == "odd":
