@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.llm import decontamination, line_dedup, mixing, near_dedup, toxicity
-from starmart.llm.common import held_out, read, written
+from starmart.llm.common import free_name, held_out, read, written
 
 # Documents are near-duplicates from this percentage of common shingles on.
 SIMILARITY = 80
@@ -29,8 +29,9 @@ SIMILARITY = 80
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = read(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id")))
     model = toxicity.fit(docs, labels)
-    scored = toxicity.score(docs, model)
-    return scored.filter(~toxicity.is_toxic(model)).drop(toxicity.SCORE)
+    score = free_name(docs, toxicity.SCORE)
+    scored = toxicity.score(docs, model, score)
+    return scored.filter(~toxicity.is_toxic(model, score)).drop(score)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
