@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -149,18 +150,28 @@ def test_token_counts_by_encoding(spark, any_table, name, common):
     assert bag(found) == bag(expected)
 
 
-def test_chunks_have_the_pre_tokens_of_the_text():
-    cut = token_counts.PreTokens(tokenizer_text("byte_bpe_50k.json"))
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_chunks_have_the_pre_tokens_of_the_text(name):
+    content = tokenizer_text(name)
+    whole = token_counts.PreTokens(content)
+    cut = token_counts.PreTokens(token_counts.without_model(content))
     rng = random.Random(6)
-    letters = "ab1.' \n\t\r\x1c\x85\u00a0\u2028\u200b\u3000é\U0001f600ſ" + "s' t" * 3
-    for _ in range(5_000):
-        text = "".join(rng.choices(letters, k=rng.randrange(25)))
-        expected = Counter(cut.pieces(text))
-        found = Counter()
-        for chunk, n in cut.chunks(text)[0].items():
-            for piece in cut.pieces_of(chunk):
-                found[piece] += n
-        assert found == expected, repr(text)
+    letters = list("ab1.' \n\t\r\x1c\x85\u00a0\u1680\u2007\u2028\u205f\u200b\u3000é\U0001f600ſŁ_*日")
+    letters += ["s' t", " été", "<|endoftext|>", "\n\n", "Ünï..."]
+    texts = ["".join(rng.choices(letters, k=rng.randrange(25))) for _ in range(8_000)]
+    texts = [text or None for text in texts]
+    # A part of a batch, as its offsets do not start at 0.
+    raw = pa.array([text and text.encode() for text in texts], pa.binary())[1_000:]
+    text_no, code, distinct, specials = cut.chunks(raw)
+    found = [Counter() for _ in range(len(raw))]
+    specials = specials.tolist()
+    for t, c in zip(text_no.tolist(), code.tolist(), strict=True):
+        pieces, n = cut.pieces_of(distinct[c].as_py().decode())
+        found[t].update(pieces)
+        specials[t] += n
+    for t, text in enumerate(texts[1_000:]):
+        pieces, n = whole.whole(text or "")
+        assert (found[t], specials[t]) == (Counter(pieces), n), repr(text)
 
 
 @pytest.fixture(params=["small", "odd"])
