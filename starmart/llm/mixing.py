@@ -108,8 +108,13 @@ def units(docs: DataFrame) -> DataFrame:
         .alias("size"),
     )
     counted = rows.groupBy(rows.columns).agg(F.count("*").alias("copies"))
-    return counted.select(
-        *rows.columns, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")
+    # A row may have any number of repeats, so they are numbered in runs of RANGE, which
+    # are dealt to all tasks.
+    before = F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(RANGE).cast("long"))
+    runs = counted.select("*", F.explode(before).alias("before"))
+    last = F.least(F.col("copies"), F.col("before") + RANGE)
+    return runs.repartition(*rows.columns, "before").select(
+        *rows.columns, F.explode(F.sequence(F.col("before") + 1, last)).alias("copy")
     )
 
 
@@ -247,13 +252,24 @@ def drawn_blocks(docs: DataFrame, shards: int | None = None, seed: int = SEED) -
 
 
 def taken(docs: DataFrame, shards: int | None = None, seed: int = SEED) -> DataFrame:
-    """doc_id, size, source_size, target, taken (words in the mix) of every document."""
+    """doc_id, size, source_size, target, taken (words in the mix) of every document, and
+    where the tree puts them: first_shard and last_shard, and dealt, the exclusive or of
+    a hash of each draw (shard, block, pass). These are NULL if nothing is drawn."""
     drawn = F.sum(F.when(F.col("pass").isNotNull(), F.col("words")).otherwise(0))
+    draw = F.when(F.col("pass").isNotNull(), F.xxhash64("shard", "block", "pass"))
     return (
         drawn_blocks(docs, shards, seed)
         .groupBy(*UNIT, "source_no", "source_size", "target")
-        .agg(drawn.cast("long").alias("taken"))
-        .select("doc_id", "size", "source_size", "target", "taken")
+        .agg(
+            drawn.cast("long").alias("taken"),
+            F.min("shard").alias("first_shard"),
+            F.max("shard").alias("last_shard"),
+            F.bit_xor(draw).alias("dealt"),
+        )
+        .select(
+            *["doc_id", "size", "source_size", "target", "taken"],
+            *["first_shard", "last_shard", "dealt"],
+        )
     )
 
 

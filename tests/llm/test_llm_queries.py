@@ -297,7 +297,7 @@ def test_mixing(spark, any_dir):
         r[:4] for r in rows
     )
     by_target = defaultdict(lambda: [0, 0])
-    for _, size, source_size, target, taken in rows:
+    for _, size, source_size, target, taken, *_ in rows:
         assert 0 <= taken <= 3 * size
         by_target[(source_size, target)][0] += taken
     for (size, target), (taken, _) in by_target.items():
@@ -337,6 +337,59 @@ def test_mix_holds_the_blocks_it_counts(spark, odd_dir):
             assert words(r.text) == by_doc[r.doc_id][begin : begin + mixing.BLOCK]
 
 
+def test_mixing_by_a_sequential_deal(spark, monkeypatch):
+    """One order of blocks per source, dealt by hand to the shards by the tree's quotas."""
+    monkeypatch.setattr(mixing, "RANGE", 7)
+    rows = [(i, f"w{i} " * (150 * i % 1900), "abc"[i % 5 % 3]) for i in range(60)]
+    rows += [(100, "again " * 300, "b")] * 25 + [(101, None, None), (102, "x " * 700, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    order = ["a", "b", "c", None]
+    sizes = [sum(len(words(t)) for _, t, s in rows if s == source) for source in order]
+    copies, blocks = Counter(), []
+    for doc_id, text, source in rows:
+        copies[doc_id] += 1
+        size = len(words(text))
+        for block in range(-(-size // mixing.BLOCK)):
+            blocks.append((doc_id, text, size, copies[doc_id], block, order.index(source)))
+    placed = spark.createDataFrame(
+        blocks, "doc_id long, text string, size long, copy long, block int, source_no long"
+    ).selectExpr(
+        "source_no", "xxhash64(1, doc_id, xxhash64(text), size, copy, block, source_no) AS place",
+        "doc_id", "copy", "block", "size",
+    ).collect()
+    draws = []
+    for no, target in enumerate(mixing.targets(sizes)):
+        ranked = sorted((r for r in placed if r.source_no == no), key=lambda r: r.place)
+        passes, own, before = int(target // sizes[no]), [], 0
+        for r in ranked:
+            n = min(mixing.BLOCK, r.size - r.block * mixing.BLOCK)
+            own.append((r, n, passes + (before + n / 2 <= target - passes * sizes[no])))
+            before += n
+        draws.append([(r, n, k) for k in range(passes + 1) for r, n, d in own if d > k])
+    quotas = mixing.split_quotas([len(d) for d in draws], 5)
+    expected, taken = [], Counter()
+    for no, own in enumerate(draws):
+        shards = [shard for shard in range(5) for _ in range(quotas[shard][no])]
+        for (r, n, k), shard in zip(own, shards, strict=True):
+            expected.append((r.doc_id, r.copy, r.block, k, shard))
+            taken[r.doc_id, r.copy] += n
+    found = mixing.drawn_blocks(docs, 5).filter("pass IS NOT NULL")
+    columns = ["doc_id", "copy", "block", "pass", "shard"]
+    assert bag(tuple(r) for r in found.select(columns).collect()) == bag(expected)
+    by_doc = defaultdict(set)
+    for doc_id, _, _, _, shard in expected:
+        by_doc[doc_id].add(shard)
+    result = mixing.taken(docs, 5).collect()
+    assert len(result) == len(rows) and len(by_doc) > 50
+    assert sum(r.taken for r in result) == sum(taken.values())
+    for r in result:
+        shards = by_doc.get(r.doc_id)
+        assert (r.first_shard is None) == (r.dealt is None) == (r.taken == 0)
+        if copies[r.doc_id] == 1 and shards:
+            assert (r.first_shard, r.last_shard) == (min(shards), max(shards))
+            assert r.taken == taken[r.doc_id, 1]
+
+
 def test_documents_without_words_are_not_ranked(spark):
     """They have no block, so the number of ranges does not allow for them."""
     rows = [(i, " ", "a") for i in range(500)] + [(1000, "some words", "a"), (1001, None, None)]
