@@ -231,8 +231,14 @@ def batch_of(types: list, rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=[name for name, _ in types])
 
 
-def window_hashes(words: bytes) -> np.ndarray:
-    return shingle_hashes(word_hashes(words.split(b" ")), WINDOW)
+def window_hashes(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all windows of these contexts, in order, and whose each is."""
+    if not found:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    hashes = shingle_hashes(word_hashes(b" ".join(found).split(b" ")), WINDOW)
+    owner = np.repeat(np.arange(len(found)), [words.count(b" ") + 1 for words in found])
+    begin, end = owner[: len(hashes)], owner[WINDOW - 1 :]
+    return hashes[begin == end], begin[begin == end]
 
 
 def recurring_windows(shard: list[tuple], elsewhere: np.ndarray | None) -> list[np.ndarray]:
@@ -241,16 +247,16 @@ def recurring_windows(shard: list[tuple], elsewhere: np.ndarray | None) -> list[
     With salts, a window may recur in another shard; ``elsewhere`` has the bits of those
     that do so.
     """
-    hashes = [window_hashes(words) for *_, words in shard]
-    values, times = np.unique(np.concatenate(hashes), return_counts=True)
-    twice = values[times > 1]
-    out = []
-    for (_, _, salts, _, _), own in zip(shard, hashes, strict=True):
-        found = np.isin(own, twice)
-        if salts > 1 and elsewhere is not None:
-            found |= has_bit(elsewhere, own)
-        out.append(np.flatnonzero(found))
-    return out
+    hashes, owner = window_hashes([words for *_, words in shard])
+    _, which, times = np.unique(hashes, return_inverse=True, return_counts=True)
+    recurs = times[which] > 1
+    if elsewhere is not None:
+        salted = np.array([salts > 1 for _, _, salts, _, _ in shard])
+        recurs |= salted[owner] & has_bit(elsewhere, hashes)
+    first = np.searchsorted(owner, np.arange(len(shard)))
+    places = np.flatnonzero(recurs)
+    ends = np.searchsorted(owner[places], np.arange(len(shard)), side="right")
+    return np.split(places - first[owner[places]], ends[:-1])
 
 
 def locate(shard: list[tuple], elsewhere: np.ndarray | None = None) -> list[tuple]:
@@ -370,10 +376,8 @@ def salted_windows(texts: DataFrame):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = [window_hashes(words) for words in batch["context"].to_pylist()]
-            values, times = np.unique(
-                np.concatenate([*hashes, np.empty(0, np.uint64)]), return_counts=True
-            )
+            hashes, _ = window_hashes(batch["context"].to_pylist())
+            values, times = np.unique(hashes, return_counts=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(values.view(np.int64)), pa.array(times.astype(np.int64))],
                 names=["hash", "times"],
