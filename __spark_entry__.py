@@ -42,6 +42,7 @@ from starmart.operators import (  # noqa: E402
 from starmart.plans import clean, jobs, marts, quality, star  # noqa: E402
 from starmart.session import scratch_dir  # noqa: E402
 from starmart.sources import (  # noqa: E402
+    bucket_count,
     create_database,
     land_raw,
     publish,
@@ -267,7 +268,7 @@ def published_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{database}.fact_sales")
 
 
-BUCKETS = 8
+BUCKETS = 8  # At least.
 
 
 def fact_sales_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,11 +276,12 @@ def fact_sales_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = scratch_dir(spark)
     database = f"starmart_{uuid.uuid4().hex}"
     create_database(spark, database, f"{scratch}/db")
-    stored = []
-    for name, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey")):
+    keys, stored = {"orders": "o_orderkey", "lineitem": "l_orderkey"}, []
+    buckets = bucket_count(spark, [f"{sf_dir}/{name}.parquet" for name in keys], BUCKETS)
+    for name, key in keys.items():
         df = clean_table(spark, sf_dir, name)
         path = f"{scratch}/{name}"
-        stored.append(spark.table(write_bucketed(df, database, name, path, key, BUCKETS)))
+        stored.append(spark.table(write_bucketed(df, database, name, path, key, buckets)))
     return star.fact_sales(*stored)
 
 

@@ -1,4 +1,9 @@
-from starmart.sources.catalog import create_database, register_table, write_bucketed
+from starmart.sources.catalog import (
+    bucket_count,
+    create_database,
+    register_table,
+    write_bucketed,
+)
 from starmart.sources.snapshots import expire, publish, read_published, register_published
 from starmart.sources.tbl import (
     land_raw,
@@ -11,6 +16,7 @@ from starmart.sources.tbl import (
 from starmart.sources.zones import read_zone, write_counted, write_zone
 
 __all__ = [
+    "bucket_count",
     "create_database",
     "expire",
     "land_raw",

@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.schemas import STAR_COLUMNS
+from starmart.sources.files import stored_bytes
 from starmart.sources.zones import stored_schema
 
 
+# Parquet of one bucket: some hundred MB where a task sorts its rows.
+BUCKET_BYTES = 16 * 2**20
+# Spark refuses tables with more.
+MAX_BUCKETS = "spark.sql.sources.bucketing.maxBuckets"
+
+
 def _quoted(text: str) -> str:
     escaped = text.replace("\\", "\\\\").replace("'", "\\'")
     return f"'{escaped}'"
@@ -71,6 +80,17 @@ def replace_view(spark: SparkSession, name: str, source: str) -> None:
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {source}")
 
 
+def bucket_count(spark: SparkSession, paths: Sequence[str], at_least: int = 1) -> int:
+    """How many buckets tables that are to meet need, by the stored size of their sources.
+
+    Their number follows the largest table, so that a task sorts as much of a large
+    table as of a small one. Beyond the number that Spark allows, buckets grow.
+    """
+    largest = max(stored_bytes(spark, path) for path in paths)
+    allowed = int(spark.conf.get(MAX_BUCKETS, "100000"))
+    return min(max(at_least, -(-largest // BUCKET_BYTES)), allowed)
+
+
 def write_bucketed(
     df: DataFrame, database: str, table: str, path: str, key: str, buckets: int
 ) -> str:
@@ -78,8 +98,8 @@ def write_bucketed(
 
     Tables in equally many buckets by their join keys are joined, and grouped by it,
     without a shuffle, for as long as they are stored: the shuffle happens here, once per
-    refresh. A task writes a bucket, as one file. ``buckets`` is for the table's size (a
-    few hundred MB a bucket) and must be the same for tables that are to meet. A key with
+    refresh. A task writes a bucket, as one file, and sorts it: ``buckets`` must grow with
+    the table (``bucket_count``) and be the same for tables that are to meet. A key with
     very many rows is not split, neither here nor in a join that uses the buckets.
     """
     name = f"{database}.{table}"

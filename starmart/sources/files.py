@@ -23,6 +23,12 @@ def names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(status.getPath().getName() for status in system.listStatus(path))
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file, or of all files in a folder."""
+    system, hadoop_path = _at(spark, path)
+    return system.getContentSummary(hadoop_path).getLength()
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     system, hadoop_path = _at(spark, path)
     stream = system.open(hadoop_path)

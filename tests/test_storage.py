@@ -161,6 +161,20 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path, with_conf):
     assert len(files) == 4
 
 
+def test_buckets_follow_the_size_of_the_largest_table(spark, tmp_path, monkeypatch, with_conf):
+    from starmart.sources import bucket_count, catalog
+
+    paths = [str(tmp_path / name) for name in ("few", "many")]
+    for path, n in zip(paths, (10, 50_000), strict=True):
+        spark.range(n).select(F.md5(F.col("id").cast("string"))).coalesce(1).write.parquet(path)
+    assert bucket_count(spark, paths) == 1 and bucket_count(spark, paths, 8) == 8
+    monkeypatch.setattr(catalog, "BUCKET_BYTES", 2**16)
+    found = bucket_count(spark, paths, 8)
+    assert 20 < found < 60 and bucket_count(spark, paths[:1], 8) == 8
+    with with_conf({"spark.sql.sources.bucketing.maxBuckets": "12"}):
+        assert bucket_count(spark, paths) == 12
+
+
 # --- counters at write time -----------------------------------------------------
 
 
