@@ -104,6 +104,22 @@ def test_a_small_side_is_broadcast(spark):
     assert "BroadcastHashJoin" in plan(df)
 
 
+def test_both_joins_read_one_shuffle(spark, with_conf):
+    many = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c")], "k int, a string")
+    named = spark.createDataFrame([(1, "x"), (2, "y"), (2, "z"), (None, "n")], "key int, b string")
+    one = named.withColumnsRenamed({"key": "k"}).withColumn("c", F.upper("b"))
+    with with_conf(
+        {
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        }
+    ):
+        df = full_outer(many, one, "k")
+        assert bag(df) == bag(many.join(one, "k", "outer"))
+        df.collect()
+        assert "ReusedExchange" in plan(df)
+
+
 def test_builders_run_no_job(spark):
     """Building a DataFrame is free; only an action computes."""
     orders = spark.range(10).selectExpr("id AS o_orderkey", "id AS o_custkey")
