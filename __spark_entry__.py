@@ -145,7 +145,7 @@ def raw_folder(spark: SparkSession, sf_dir: str) -> str:
             .alias(f.name)
             for f in schemas.raw_schema(name)
         ]
-        write_tbl(source.select(fields), tbl_path(folder, name))
+        write_tbl(source.select(fields), tbl_path(folder, name), jobs.RAW_COMPRESSION)
     return folder
 
 

@@ -53,6 +53,8 @@ from starmart.sources.snapshots import Snapshot
 from starmart.sources.zones import zone_path
 
 PARTITIONS = {"fact_sales": ["s_year"]}
+# Text takes a quarter of its size. It is kept for replays and read once a refresh.
+RAW_COMPRESSION = "gzip"
 
 
 def write_tables(tables: Mapping[str, DataFrame], zone: str) -> None:
@@ -61,9 +63,9 @@ def write_tables(tables: Mapping[str, DataFrame], zone: str) -> None:
 
 
 def run_land(spark: SparkSession, source: str, raw: str) -> None:
-    """Copy the eight text tables into the raw zone unchanged."""
+    """Copy the eight text tables into the raw zone, line by line, as compressed files."""
     for table in TABLES:
-        land_raw(spark, tbl_path(source, table), raw, table)
+        land_raw(spark, tbl_path(source, table), raw, table, RAW_COMPRESSION)
 
 
 def run_clean(

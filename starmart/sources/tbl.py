@@ -63,12 +63,13 @@ def read_raw(
     return df
 
 
-def write_tbl(df: DataFrame, path: str) -> None:
+def write_tbl(df: DataFrame, path: str, compression: str = "none") -> None:
     """Write a table in the raw text form, trailing separator included.
 
     ``read_tbl`` gives the same rows back: blanks, quotes, separators, backslashes and
     microseconds are kept, and empty texts (in quotes) are told from NULLs. A line is a
-    row, so a text with a line break is an error.
+    row, so a text with a line break is an error. ``compression`` is a codec of Spark's
+    text files; they are read back by their names.
     """
     micros = "yyyy-MM-dd HH:mm:ss.SSSSSS"
     (
@@ -80,6 +81,7 @@ def write_tbl(df: DataFrame, path: str) -> None:
         .option("ignoreTrailingWhiteSpace", "false")
         .option("timestampFormat", micros)
         .option("timestampNTZFormat", micros)
+        .option("compression", compression)
         .csv(path)
     )
 
@@ -92,15 +94,19 @@ def _one_line(field: StructField) -> Column:
     return F.when(value.rlike("[\\n\\r\\x00]"), broken).otherwise(value).alias(field.name)
 
 
-def land_raw(spark: SparkSession, source: str, raw_folder: str, table: str) -> str:
+def land_raw(
+    spark: SparkSession, source: str, raw_folder: str, table: str, compression: str = "none"
+) -> str:
     """Copy a text table line by line, unparsed, so that parsing can be replayed.
 
     A line ends at a line feed and at nothing else: carriage returns, alone or before a
-    line feed, are kept as they are.
+    line feed, are kept as they are. A file holds what a task reads, so compressed files,
+    which no two tasks can share, stay of a size.
     """
     target = tbl_path(raw_folder, table)
     lines = spark.read.option("lineSep", "\n").text(source)
-    lines.write.mode("overwrite").option("lineSep", "\n").text(target)
+    writer = lines.write.mode("overwrite").option("lineSep", "\n")
+    writer.option("compression", compression).text(target)
     return target
 
 

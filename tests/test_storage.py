@@ -7,6 +7,8 @@ from starmart.plans import jobs, star
 from starmart.plans.quality import observable_counters
 from starmart.schemas import TABLES, raw_schema
 from starmart.sources import (
+    bucket_count,
+    catalog,
     create_database,
     expire,
     land_raw,
@@ -16,8 +18,9 @@ from starmart.sources import (
     split_raw,
     write_bucketed,
     write_counted,
+    write_zone,
 )
-from starmart.sources.files import names, write_new
+from starmart.sources.files import names, stored_bytes, write_new
 from starmart.sources.snapshots import snapshot, versions
 from tests.conftest import bag, plan
 from tests.test_sources_and_jobs import LINES
@@ -162,8 +165,6 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path, with_conf):
 
 
 def test_buckets_follow_the_size_of_the_largest_table(spark, tmp_path, monkeypatch, with_conf):
-    from starmart.sources import bucket_count, catalog
-
     paths = [str(tmp_path / name) for name in ("few", "many")]
     for path, n in zip(paths, (10, 50_000), strict=True):
         spark.range(n).select(F.md5(F.col("id").cast("string"))).coalesce(1).write.parquet(path)
@@ -192,6 +193,30 @@ def test_counters_of_a_written_table(spark, tmp_path, partitions):
     assert empty == {"n_keys": 0, "n_null": 0}
 
 
+# --- what is written ---
+
+
+def test_a_partitioned_write_shuffles_only_when_asked(spark, tmp_path):
+    df = facts(spark, 400).repartition(4)
+    for rebalance, files in ((False, 4), (True, 1)):
+        zone = str(tmp_path / f"rebalance_{rebalance}")
+        path = write_zone(df, zone, "fact_sales", ["s_year"], rebalance)
+        for year in (1990, 1991, 1992):
+            stored = [n for n in names(spark, f"{path}/s_year={year}") if "parquet" in n]
+            assert len(stored) == files and ".zstd" in stored[0]
+        assert bag(spark.read.parquet(path)) == bag(facts(spark, 400))
+
+
+def test_landing_writes_less_than_it_reads(spark, raw, tmp_path):
+    line = LINES["lineitem"][0]
+    with open(f"{raw}/lineitem.tbl", "w") as lines:
+        lines.writelines(f"{n}{line}\n" for n in range(2_000))
+    jobs.run_land(spark, raw, str(tmp_path / "raw"))
+    read, landed = (f"{folder}/lineitem.tbl" for folder in (raw, tmp_path / "raw"))
+    assert 0 < stored_bytes(spark, landed) < stored_bytes(spark, read) / 4
+    assert bag(spark.read.text(landed)) == bag(spark.read.text(read))
+
+
 # --- one parse ------------------------------------------------------------------
 
 
