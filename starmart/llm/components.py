@@ -2,7 +2,7 @@
 
 Each round links every node to the smallest node around it; no group of neighbours is
 ever gathered, and a node with very many neighbours costs one combined minimum and one
-join. Rounds end when no link changes, after about the logarithm of the longest chain.
+join. Rounds end when only stars are left, after about the logarithm of the longest chain.
 """
 
 from __future__ import annotations
@@ -25,8 +25,19 @@ def _large_star(links: DataFrame) -> DataFrame:
 def _small_star(links: DataFrame) -> DataFrame:
     """A node and its smaller neighbours now link to the smallest of them."""
     least = links.groupBy("x").agg(F.min("y").alias("m"))
-    kept = links.join(least, "x").select(F.col("y").alias("x"), F.col("m").alias("y"))
-    return kept.unionAll(least.select("x", F.col("m").alias("y"))).filter("x != y")
+    # Both ends of a link from one join: used twice, the minimum would be computed twice.
+    ends = F.explode(F.array("x", "y")).alias("x")
+    return links.join(least, "x").select(ends, F.col("m").alias("y")).filter("x != y")
+
+
+def _only_stars(links: DataFrame) -> bool:
+    """Whether each node has one link to a smaller node, which has none itself."""
+    down = links.select(F.col("x").alias("node"), F.lit(1).alias("smaller"))
+    up = links.select(F.col("y").alias("node"), F.lit(0).alias("smaller"))
+    nodes = down.unionAll(up).groupBy("node").agg(
+        F.sum("smaller").alias("links"), F.min("smaller").alias("only")
+    )
+    return nodes.filter("links > 1 OR links > only").agg(F.count("*")).first()[0] == 0
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -36,10 +47,6 @@ def components(links: DataFrame) -> DataFrame:
     """
     now = links.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
     now = written(now.filter("x != y").distinct(), "links")
-    before = None
-    while True:
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)"))).first()
-        if state == before:
-            return now.select(F.col("x").alias("node"), F.col("y").alias("component"))
-        before = state
+    while not _only_stars(now):
         now = written(_small_star(_large_star(now).distinct()).distinct(), "links")
+    return now.select(F.col("x").alias("node"), F.col("y").alias("component"))

@@ -72,17 +72,22 @@ def shingles(text: str | bytes | None) -> np.ndarray:
     return shingle_set(raw.lower().split())
 
 
+def smallest(values: np.ndarray, count: int) -> np.ndarray:
+    """The first hashes of a sorted set; a slice would hold the whole set in memory."""
+    return values[:count].view(np.int64).copy()
+
+
 def sketch(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, set_key (the set's identity) and sketch of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, keys, sketches = [], [], []
-            for raw in batch["raw"].to_pylist():
-                values = shingles(raw)
+            for raw in batch["raw"]:
+                values = shingles(raw.as_py())
                 sizes.append(len(values))
                 keys.append(hashlib.md5(values.tobytes()).digest() if len(values) else None)
-                sketches.append(values[:SKETCH].view(np.int64))
+                sketches.append(smallest(values, SKETCH))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["doc_id"],
@@ -238,7 +243,7 @@ def crowd_sketches(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingles(raw)[:CROWD_SKETCH].view(np.int64) for raw in batch["raw"].to_pylist()]
+            found = [smallest(shingles(raw.as_py()), CROWD_SKETCH) for raw in batch["raw"]]
             yield pa.RecordBatch.from_arrays(
                 [batch["node"], pa.array(found, pa.list_(pa.int64()))], names=["node", "sketch"]
             )
@@ -255,8 +260,8 @@ def whole_lists(texts: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for node, raw in zip(batch["node"].to_pylist(), batch["raw"].to_pylist(), strict=True):
-                values = shingles(raw).view(np.int64)
+            for node, raw in zip(batch["node"].to_pylist(), batch["raw"], strict=True):
+                values = shingles(raw.as_py()).view(np.int64)
                 columns = [np.full(len(values), node), np.full(len(values), len(values)), values]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.int64()) for c in columns], names=["node", "n", "value"]
@@ -307,12 +312,10 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep, last, left = [], None, None
-            for x, s, t in zip(
-                batch["x"].to_pylist(), batch["s"].to_pylist(), batch["t"].to_pylist(), strict=True
-            ):
+            for x, s, t in zip(batch["x"].to_pylist(), batch["s"], batch["t"], strict=True):
                 if x != last:
-                    last, left = x, shingles(s)
-                right = shingles(t)
+                    last, left = x, shingles(s.as_py())
+                right = shingles(t.as_py())
                 shared = len(np.intersect1d(left, right, assume_unique=True))
                 keep.append(100 * shared >= percent * (len(left) + len(right) - shared))
             kept = batch.filter(pa.array(keep, pa.bool_()))
@@ -325,6 +328,11 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def stars(found: DataFrame) -> DataFrame:
+    """The links that say what components found, in place of those it was given."""
+    return found.select(F.col("node").alias("x"), F.col("component").alias("y"))
+
+
 def near_duplicates(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row."""
     sketched = written(sketch(docs), "sketches")
@@ -372,8 +380,7 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     bucket_links = written(
         verified(written(buckets, "bucket_candidates"), crowd_texts, percent), "bucket_links"
     )
-    hub_links = hub_links.unionAll(bucket_links)
-    found = components(hub_links)
+    found = components(stars(found).unionAll(bucket_links))
     whole = whole_lists(crowd_texts, percent)
     rest = remaining_pairs(
         short, found, nodes.select("node", "sketch"), SKETCH, lowest, percent
@@ -383,8 +390,7 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     rest_links = written(
         verified(written(rest.distinct(), "rest_candidates"), texts, percent), "rest_links"
     )
-    links = hub_links.unionAll(rest_links).unionAll(copies)
-    joined = components(links)
+    joined = components(stars(found).unionAll(rest_links).unionAll(copies))
     component = F.coalesce("component", F.when(F.col("doc_id").isNotNull(), F.col("doc_id")))
     return (
         sketched.select("doc_id", "n_shingles")

@@ -11,7 +11,15 @@ import duckdb
 import pytest
 
 import corpus_pipeline
-from starmart.llm import decontamination, line_dedup, mixing, near_dedup, substring_dedup
+from starmart.llm import (
+    components,
+    decontamination,
+    line_dedup,
+    mixing,
+    near_dedup,
+    substring_dedup,
+)
+from starmart.llm.common import written
 from starmart.llm.queries import ORACLE_SQL, QUERIES
 
 TABLES = "documents pages benchmark labels".split()
@@ -275,6 +283,38 @@ def test_near_dedup_of_a_large_group_around_the_threshold(spark):
     assert got == components_by_force(rows, 85)
 
 
+def test_components_by_force(spark):
+    rng = random.Random(9)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)]
+    links += [(400 + i, 401 + i) for i in range(40)] + [(500, i) for i in range(501, 540)]
+    least = {n: n for link in links for n in link}
+    for _ in least:
+        for x, y in links:
+            least[x] = least[y] = min(least[x], least[y])
+    found = components.components(spark.createDataFrame(links, "x long, y long"))
+    assert sorted(found.collect()) == sorted((n, m) for n, m in least.items() if n != m)
+
+
+def test_components_of_stars_take_no_round(spark, monkeypatch):
+    """Components that are found already are not worked out again."""
+    names = []
+    monkeypatch.setattr(
+        components, "written", lambda df, name: names.append(name) or written(df, name)
+    )
+    links = [(5, 1), (6, 1), (2, 7), (2, 8), (9, 9)]
+    found = components.components(spark.createDataFrame(links, "x long, y long"))
+    assert sorted(found.collect()) == [(5, 1), (6, 1), (7, 2), (8, 2)]
+    assert len(names) == 1
+
+
+def test_a_sketch_does_not_hold_the_whole_set():
+    """A batch of sketches must not keep the hashes of all its texts in memory."""
+    values = near_dedup.shingles(" ".join(map(str, range(5000))))
+    kept = near_dedup.smallest(values, near_dedup.SKETCH)
+    assert kept.tolist() == values[: near_dedup.SKETCH].view("int64").tolist()
+    assert kept.base is None
+
+
 def test_sketches_hardly_ever_miss():
     assert near_dedup.chance_of_a_miss(0.85) < 1e-7
     assert near_dedup.chance_of_a_miss(0.80) < 1e-5
