@@ -339,15 +339,18 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     members = sketched.filter("doc_id IS NOT NULL AND n_shingles > 0")
     # One node per set: its smallest id.
     leaders = members.groupBy("set_key").agg(F.min("doc_id").alias("node"))
-    owned = written(members.select("doc_id", "set_key").join(leaders, "set_key"), "owned")
+    sketch_of_node = F.when(F.col("doc_id") == F.col("node"), F.col("sketch")).alias("sketch")
+    owned = members.join(leaders, "set_key").select(
+        "doc_id", "node", "set_key", F.col("n_shingles").alias("n"), sketch_of_node
+    )
+    owned = written(owned, "owned")
     copies = owned.filter("doc_id != node").select(
         F.col("doc_id").alias("x"), F.col("node").alias("y")
     )
     nodes = written(
-        members.join(leaders, "set_key")
-        .filter("doc_id = node")
+        owned.filter("doc_id = node")
         .dropDuplicates(["node", "set_key"])
-        .select("node", F.col("n_shingles").alias("n"), "sketch"),
+        .select("node", "n", "sketch"),
         "nodes",
     )
     lists = written(value_lists(nodes, percent), "value_lists")
